@@ -146,6 +146,7 @@ GEO_SCHEMA = T.StructType(
         T.StructField("longitude", T.DoubleType(), False),
         T.StructField("region_code", T.StringType(), False),
         T.StructField("elevation", T.DoubleType(), False),
+        T.StructField("geo_id", T.IntegerType(), False),
     ]
 )
 
@@ -156,8 +157,8 @@ def _split(text: str) -> list[list[str]]:
 
 def geo_rows() -> list[tuple]:
     return [
-        (code, name, city, float(lat), float(lon), region, float(alt))
-        for code, name, city, lat, lon, region, alt in _split(DEPARTMENT_ROWS)
+        (code, name, city, float(lat), float(lon), region, float(alt), key)
+        for key, (code, name, city, lat, lon, region, alt) in enumerate(_split(DEPARTMENT_ROWS), 1)
     ]
 
 
