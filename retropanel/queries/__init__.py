@@ -1,0 +1,6 @@
+"""Registered queries, grouped as in the operator inventory."""
+
+from retropanel.queries import q_sources, views  # noqa: F401
+from retropanel.queries.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
