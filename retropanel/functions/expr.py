@@ -200,6 +200,14 @@ def pad_code(c: ColumnLike, width: int = 2) -> Column:
     return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
 
 
+def known_code(name: str, codes: Sequence[str], width: int = 2) -> Column:
+    """True where the padded code is in a fixed list (one hashed ``IN`` set)."""
+    text = f"trim(cast({name} as string))"
+    padded = f"if(length({text}) < {width}, lpad({text}, {width}, '0'), {text})"
+    listed = ", ".join("'" + c.replace("'", "''") + "'" for c in codes)
+    return F.expr(f"coalesce({padded} in ({listed}), false)")
+
+
 def is_heat_pump(*texts: ColumnLike, pattern: str = S.HEAT_PUMP_PATTERN) -> Column:
     hit = F.lit(False)
     for text in texts:

@@ -105,10 +105,7 @@ def series_source(df: DataFrame, order: Sequence[str], name: str = "insee") -> S
     def fill(d: DataFrame) -> DataFrame:
         if coded:
             return interpolate(d, "ipi_value", ["nace_r2"], "date_id")
-        wide = d.withColumn("_series", F.lit(name))
-        for c in values:
-            wide = interpolate(wide, c, ["_series"], "date_id")
-        return wide.drop("_series")
+        return interpolate(d.withColumn("_series", F.lit(name)), values, ["_series"], "date_id").drop("_series")
 
     return Source(
         name,
@@ -137,8 +134,7 @@ def certificate_source(
     day = E.parse_date("date_etablissement_dpe")
     valid_day = F.coalesce(day.between(F.lit(start).cast("date"), F.lit(as_of).cast("date")), F.lit(False))
     valid_label = F.coalesce(F.trim("etiquette_dpe").isin(*S.VALID_LABELS), F.lit(False))
-    dept = E.pad_code("code_departement_ban")
-    valid_dept = F.coalesce(dept.isin(*departments), F.lit(False))
+    valid_dept = E.known_code("code_departement_ban", departments)
     return Source(
         "dpe",
         ("numero_dpe",),

@@ -1,14 +1,15 @@
 """Duplicate counting and removal.
 
-Keep-last is an aggregate, not a ``row_number`` window: ``max_by`` combines on the map side, so a
-key that holds a third of all rows reaches the reducer as one row per map task.
+Keep-last filters ``row_number() = 1``, which Spark turns into a group limit on both sides of the
+shuffle: every map task passes on one row per key, so a key that holds a third of all rows reaches the
+reducer as one row per map task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -24,11 +25,8 @@ def duplicate_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The row with the greatest ``order`` tuple of each key; NULL keys form one key."""
-    payload = F.struct(*[F.col(c) for c in df.columns])
-    rank = F.struct(*[F.col(c) for c in order])
-    return df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(
-        F.max_by(payload, rank).alias("_row")
-    ).select("_row.*")
+    newest = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
+    return df.withColumn("_rn", F.row_number().over(newest)).filter("_rn = 1").drop("_rn")
 
 
 def exact_distinct(df: DataFrame) -> DataFrame:

@@ -23,28 +23,30 @@ def _after(w: WindowSpec) -> WindowSpec:
 
 
 def interpolate(
-    df: DataFrame, value: str, series: Sequence[str], order: str, limit: int = 3
+    df: DataFrame, values: str | Sequence[str], series: Sequence[str], order: str, limit: int = 3
 ) -> DataFrame:
     """Linear interpolation by position, forward, at most ``limit`` cells per gap.
 
-    Leading gaps stay NULL; a trailing gap repeats the last value up to the limit.
+    Leading gaps stay NULL; a trailing gap repeats the last value up to the limit. All columns share
+    one window, so they cost one sort.
     """
+    names = [values] if isinstance(values, str) else list(values)
     w = Window.partitionBy(*series).orderBy(order)
-    seen = F.col(value).isNotNull()
-    placed = df.withColumn("_pos", F.row_number().over(w)).withColumns(
-        {
-            "_pv": F.last(value, ignorenulls=True).over(_before(w)),
-            "_pp": F.last(F.when(seen, F.col("_pos")), ignorenulls=True).over(_before(w)),
-            "_nv": F.first(value, ignorenulls=True).over(_after(w)),
-            "_np": F.first(F.when(seen, F.col("_pos")), ignorenulls=True).over(_after(w)),
-        }
-    )
-    step = F.col("_pos") - F.col("_pp")
-    line = F.col("_pv") + (F.col("_nv") - F.col("_pv")) * step / (F.col("_np") - F.col("_pp"))
-    filled = F.when(seen, F.col(value)).when(
-        step <= limit, F.when(F.col("_nv").isNull(), F.col("_pv")).otherwise(line)
-    )
-    return placed.withColumn(value, filled).drop("_pos", "_pv", "_pp", "_nv", "_np")
+    placed = df.withColumn("_pos", F.row_number().over(w))
+    edges: dict[str, Column] = {}
+    for c in names:
+        cell = F.when(F.col(c).isNotNull(), F.struct(F.col(c).alias("v"), F.col("_pos").alias("p")))
+        edges[f"_b_{c}"] = F.last(cell, ignorenulls=True).over(_before(w))
+        edges[f"_a_{c}"] = F.first(cell, ignorenulls=True).over(_after(w))
+    filled: dict[str, Column] = {}
+    for c in names:
+        left, right = F.col(f"_b_{c}"), F.col(f"_a_{c}")
+        step = F.col("_pos") - left["p"]
+        line = left["v"] + (right["v"] - left["v"]) * step / (right["p"] - left["p"])
+        filled[c] = F.when(F.col(c).isNotNull(), F.col(c)).when(
+            step <= limit, F.when(right.isNull(), left["v"]).otherwise(line)
+        )
+    return placed.withColumns(edges).withColumns(filled).drop("_pos", *edges)
 
 
 def series_breaks(

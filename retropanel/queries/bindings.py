@@ -26,8 +26,15 @@ CERT_ORDER = ("date_etablissement_dpe", "numero_dpe")
 WX_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
 
 
+_HANDLES: dict[tuple[SparkSession, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """Lazy handle of a given table; the footer is read once per session."""
+    key = (spark, f"{sf}/{name}.parquet")
+    if key not in _HANDLES:
+        _HANDLES[key] = spark.read.parquet(key[1])
+    return _HANDLES[key]
 
 
 def cert_raw(spark: SparkSession, sf: str) -> DataFrame:

@@ -24,6 +24,7 @@ def build_session(app: str = "retropanel", master: str | None = None, **conf: st
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",  # no call-site capture per column
         **conf,
     }
     for key, value in settings.items():
