@@ -57,10 +57,13 @@ def grow_tree(points: np.ndarray, rng: np.random.Generator) -> list[tuple]:
 
 def _complete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Columns as doubles with NULL replaced by the column's exact median."""
-    medians = exact_quantiles(df, columns, (0.5,)).select("column", "q50")
-    table = medians.agg(F.map_from_entries(F.collect_list(F.struct("column", "q50")))).scalar()
+    rows = exact_quantiles(df, columns, (0.5,)).select("column", "q50").collect()  # one per column
+    medians = {r["column"]: r["q50"] for r in rows}
     return df.withColumns(
-        {f"_f{i}": F.coalesce(F.col(c).cast("double"), table[c]) for i, c in enumerate(columns)}
+        {
+            f"_f{i}": F.coalesce(F.col(c).cast("double"), F.lit(medians.get(c, 0.0)))
+            for i, c in enumerate(columns)
+        }
     )
 
 
@@ -138,5 +141,5 @@ def score(df: DataFrame, columns: Sequence[str], row_id: Sequence[str], seed: in
 def flag_isolated(scored: DataFrame, contamination: float = 0.05) -> Column:
     """True above the score that leaves the wanted share of rows; exact quantile of the scores."""
     cut = exact_quantiles(scored, ["anomaly_score"], (1.0 - min(contamination, 0.5),)).drop("column", "n")
-    limit = cut.toDF("cut").agg(F.max("cut")).scalar()
-    return F.col("anomaly_score") > limit
+    row = cut.first()
+    return F.col("anomaly_score") > F.lit(row[0] if row else None)

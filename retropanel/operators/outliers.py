@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from retropanel.functions import expr as E
@@ -42,31 +42,37 @@ def mad_scale(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Median and median absolute deviation per column; columns without spread are left out."""
     med = exact_quantiles(df, columns, (0.5,)).filter(F.col("n") >= MIN_VALUES)
     med = med.select("column", "n", F.col("q50").alias("median"))
-    table = as_map(med, "median")
-    gaps = df.select(*[F.abs(F.col(c).cast("double") - table[c]).alias(c) for c in columns])
-    mad = exact_quantiles(gaps, columns, (0.5,)).select("column", F.col("q50").alias("mad"))
-    return med.join(mad, "column").filter(F.col("mad") > 0)
+    center = fitted(med)
+    names = [c for c in columns if c in center]
+    if not names:
+        return med.withColumn("mad", F.lit(None).cast("double")).filter("mad > 0")
+    gaps = df.select(
+        *[F.abs(F.col(c).cast("double") - F.lit(center[c]["median"])).alias(c) for c in names]
+    )
+    mad = exact_quantiles(gaps, names, (0.5,)).select("column", F.col("q50").alias("mad"))
+    known = df.sparkSession.createDataFrame(
+        [(c, center[c]["n"], center[c]["median"]) for c in names], "column string, n bigint, median double"
+    )
+    return known.join(mad, "column").filter(F.col("mad") > 0)
 
 
-def as_map(df: DataFrame, *values: str) -> Column:
-    """Per-column parameters as one scalar map: as many entries as the table has columns."""
-    entry = F.col(values[0]) if len(values) == 1 else F.struct(*values)
-    return df.agg(F.map_from_entries(F.collect_list(F.struct(F.col("column"), entry.alias("v"))))).scalar()
+def fitted(parameters: DataFrame) -> dict[str, Row]:
+    """Per-column parameters on the driver: as many rows as the table has analysed columns."""
+    return {r["column"]: r for r in parameters.collect()}
 
 
-def iqr_flags(bounds: Column, columns: Sequence[str]) -> dict[str, Column]:
+def iqr_flags(bounds: Mapping[str, Row]) -> dict[str, Column]:
     out = {}
-    for c in columns:
-        x, b = F.col(c).cast("double"), bounds[c]
-        out[c] = F.coalesce((x < b["lower"]) | (x > b["upper"]), F.lit(False))
+    for c, b in bounds.items():
+        x = F.col(c).cast("double")
+        out[c] = F.coalesce((x < F.lit(b["lower"])) | (x > F.lit(b["upper"])), F.lit(False))
     return out
 
 
-def zscore_flags(scale: Column, columns: Sequence[str], limit: float = ZSCORE_LIMIT) -> dict[str, Column]:
+def zscore_flags(scale: Mapping[str, Row], limit: float = ZSCORE_LIMIT) -> dict[str, Column]:
     out = {}
-    for c in columns:
-        x, s = F.col(c).cast("double"), scale[c]
-        z = F.lit(ZSCORE_FACTOR) * (x - s["median"]) / s["mad"]
+    for c, s in scale.items():
+        z = F.lit(ZSCORE_FACTOR) * (F.col(c).cast("double") - F.lit(s["median"])) / F.lit(s["mad"])
         out[c] = F.coalesce(F.abs(z) > limit, F.lit(False))
     return out
 
@@ -116,13 +122,11 @@ def zscore_report(df: DataFrame, columns: Sequence[str], limit: float = ZSCORE_L
 
 
 def flag_univariate(df: DataFrame, columns: Sequence[str], factor: float = IQR_FACTOR) -> DataFrame:
-    bounds = as_map(iqr_bounds(df, columns, factor), "lower", "upper")
-    scale = as_map(mad_scale(df, columns), "median", "mad")
+    """Row flags: outside the fences, or beyond the robust z-limit, on any column."""
+    bounds = fitted(iqr_bounds(df, columns, factor))
+    scale = fitted(mad_scale(df, columns))
     return df.withColumns(
-        {
-            "_outlier_iqr": _any(iqr_flags(bounds, columns)),
-            "_outlier_zscore": _any(zscore_flags(scale, columns)),
-        }
+        {"_outlier_iqr": _any(iqr_flags(bounds)), "_outlier_zscore": _any(zscore_flags(scale))}
     )
 
 
@@ -161,11 +165,9 @@ def winsorize(
 ) -> DataFrame:
     """Bring values outside the fences back to them."""
     names = list(columns) if columns else analysed_columns(df, exclude)
-    bounds = as_map(iqr_bounds(df, names, factor), "lower", "upper")
     out = {}
-    for c in names:
-        x, b = F.col(c).cast("double"), bounds[c]
-        out[c] = F.when(x < b["lower"], b["lower"]).when(x > b["upper"], b["upper"]).otherwise(x)
+    for c, b in fitted(iqr_bounds(df, names, factor)).items():
+        out[c] = E.clip(F.col(c).cast("double"), F.lit(b["lower"]), F.lit(b["upper"]))
     return df.withColumns(out)
 
 

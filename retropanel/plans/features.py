@@ -10,6 +10,8 @@ from retropanel.functions import expr as E
 from retropanel.operators import windows as W
 from retropanel.operators.aggregates import completeness
 
+Scalars = dict[str, float | int | None]
+
 
 def series_features(
     panel: DataFrame, cfg: S.PanelSettings = S.PanelSettings(), shift_target_windows: bool = False
@@ -37,23 +39,23 @@ def series_features(
     return out
 
 
-def _scaled(c: str, scalars: Column) -> Column:
+def _scaled(c: str, scalars: Scalars) -> Column:
     """Value over the larger of the table maximum and 1."""
-    return F.col(c) / F.greatest(scalars[c], F.lit(1.0))
+    return F.col(c) / F.lit(max(scalars[c] or 0.0, 1.0))
 
 
-def scaling_maxima(panel: DataFrame) -> Column:
-    """Table-wide maxima (and first year) of the scaled columns in one scalar subquery."""
+def scaling_maxima(panel: DataFrame) -> Scalars:
+    """Table-wide maxima (and first year) of the scaled columns: one aggregate row."""
     names = E.present(
         panel, ("hdd_sum", "cdd_sum", "nb_jours_gel", "altitude_mean", "altitude", "densite_pop")
     )
     aggs = {c: F.max(F.col(c).cast("double")) for c in names}
     if "year" in panel.columns:
         aggs["year"] = F.min("year")
-    return W.global_scalars(panel, aggs)
+    return panel.agg(*[a.alias(c) for c, a in aggs.items()]).first().asDict() if aggs else {}
 
 
-def interactions(panel: DataFrame, scalars: Column) -> DataFrame:
+def interactions(panel: DataFrame, scalars: Scalars) -> DataFrame:
     have = set(panel.columns)
     plan: dict[str, Column] = {}
     if {"hdd_sum", "confiance_menages"} <= have:
@@ -73,13 +75,13 @@ def interactions(panel: DataFrame, scalars: Column) -> DataFrame:
     return panel.withColumns(plan)
 
 
-def heat_pump_efficiency(panel: DataFrame, scalars: Column) -> DataFrame:
+def heat_pump_efficiency(panel: DataFrame, scalars: Scalars) -> DataFrame:
     """Efficiency proxy, mountain flag, viability score and their interactions, per present column."""
     have = set(panel.columns)
     alt = E.first_present(panel, ("altitude_mean", "altitude"))
     frost = "nb_jours_gel" in have
     zero = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
-    ratio = lambda c: zero(c) / F.greatest(scalars[c], F.lit(1.0))
+    ratio = lambda c: zero(c) / F.lit(max(scalars[c] or 0.0, 1.0))
     plan: dict[str, Column] = {}
     if alt or frost:
         cop = F.lit(4.5)
@@ -128,10 +130,10 @@ def heat_pump_efficiency(panel: DataFrame, scalars: Column) -> DataFrame:
     return out.withColumns(more)
 
 
-def trends(panel: DataFrame, scalars: Column) -> DataFrame:
+def trends(panel: DataFrame, scalars: Scalars) -> DataFrame:
     plan: dict[str, Column] = {}
     if "year" in panel.columns:
-        plan["year_trend"] = F.col("year") - scalars["year"]
+        plan["year_trend"] = F.col("year") - F.lit(scalars["year"])
     if {"temp_mean", "dept", "month"} <= set(panel.columns):
         usual = F.avg("temp_mean").over(Window.partitionBy("dept", "month"))
         plan["delta_temp_vs_mean"] = E.half_even(F.col("temp_mean") - usual, 2)

@@ -318,12 +318,12 @@ def w5(spark, sf):
 
 @query(
     "w6_group_deviation",
-    f"SELECT date_id, dept, {he('temp_mean - avg(temp_mean) OVER (PARTITION BY dept, date_id % 100)', 2)} AS delta_temp_vs_mean FROM v_wx_month",
+    f"SELECT date_id, dept, {he('hdd_sum - avg(hdd_sum) OVER (PARTITION BY dept, date_id % 100)', 2)} AS delta_hdd_vs_mean FROM v_wx_month",
 )
 def w6(spark, sf):
     df = PL.weather_features(B.wx(spark, sf)).withColumn("month", E.month_of("date_id"))
-    return W.deviation_from_group(df, "temp_mean", ["dept", "month"], "delta_temp_vs_mean").select(
-        "date_id", "dept", "delta_temp_vs_mean"
+    return W.deviation_from_group(df, "hdd_sum", ["dept", "month"], "delta_hdd_vs_mean").select(
+        "date_id", "dept", "delta_hdd_vs_mean"
     )
 
 
@@ -392,7 +392,7 @@ def w12(spark, sf):
 @query("w13_trend_index", "SELECT date_id, dept, CAST(date_id // 100 - (SELECT min(date_id // 100) FROM v_facts) AS INTEGER) AS year_trend FROM v_facts")
 def w13(spark, sf):
     df = B.facts(spark, sf).withColumn("year", E.year_of("date_id"))
-    return P.trends(df, W.global_scalars(df, {"year": F.min("year")})).select("date_id", "dept", "year_trend")
+    return P.trends(df, P.scaling_maxima(df)).select("date_id", "dept", "year_trend")
 
 
 @query(

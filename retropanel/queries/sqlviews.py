@@ -20,7 +20,7 @@ def clip(x: str, low: float, high: float) -> str:
 
 
 def pct(a: str, b: str, digits: int = 2) -> str:
-    return he(f"1e2 * {a} / greatest({b}, 1)", digits)
+    return he(f"1e2 * ({a}) / greatest({b}, 1)", digits)
 
 
 def values(rows: list[tuple]) -> str:
