@@ -13,12 +13,19 @@ from retropanel.operators.quantiles import average_ranks, exact_quantiles
 from retropanel.operators.reshape import unpivot_all, unpivot_values
 
 
-def safe_corr(a: Column | str, b: Column | str) -> Column:
-    """Pearson correlation over pairs without NULL; NULL where one side does not vary."""
+def _pair(a: Column | str, b: Column | str) -> tuple[Column, Column]:
     x, y = E.col(a).cast("double"), E.col(b).cast("double")
     both = x.isNotNull() & y.isNotNull()
-    r = F.corr(F.when(both, x), F.when(both, y))
-    return F.nanvl(r, F.lit(None).cast("double"))
+    return F.when(both, x), F.when(both, y)
+
+
+def safe_corr(a: Column | str, b: Column | str) -> Column:
+    """Pearson correlation over pairs without NULL; NULL where one side does not vary.
+
+    The built-in ``corr`` divides by zero on a constant side, which is an error under ANSI mode.
+    """
+    x, y = _pair(a, b)
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
 def _rows(df: DataFrame, keys: Sequence[str], cells: Mapping[str, Column], value: str) -> DataFrame:
@@ -164,13 +171,13 @@ def linear_fits(df: DataFrame, features: Sequence[str], target: str, min_rows: i
     """Slope, intercept and correlation of the target on each feature."""
     cells = {}
     for f in features:
-        both = F.col(f).isNotNull() & F.col(target).isNotNull()
-        x, y = F.when(both, F.col(f).cast("double")), F.when(both, F.col(target).cast("double"))
+        x, y = _pair(f, target)
+        slope = F.try_divide(F.covar_pop(x, y), F.var_pop(x))
         cells[f] = F.struct(
-            F.count_if(both).alias("n"),
-            F.regr_slope(y, x).alias("slope"),
-            F.regr_intercept(y, x).alias("intercept"),
-            F.corr(x, y).alias("r"),
+            F.count(x).alias("n"),
+            slope.alias("slope"),
+            (F.avg(y) - slope * F.avg(x)).alias("intercept"),
+            safe_corr(f, target).alias("r"),
         )
     rows = _rows(df, [], cells, "v").select(F.col("name").alias("feature"), "v.*")
     return rows.filter(F.col("n") > min_rows)
