@@ -122,7 +122,7 @@ def is_monthly(c: ColumnLike) -> Column:
 
 def period_to_id(c: ColumnLike) -> Column:
     """``YYYY-MM`` or ``YYYY-MM-DD`` to ``YYYYMM``."""
-    return F.regexp_replace(F.substring(col(c).cast("string"), 1, 7), "-", "").try_cast("int")
+    return F.replace(F.substring(col(c).cast("string"), 1, 7), F.lit("-"), F.lit("")).try_cast("int")
 
 
 def year_of(c: ColumnLike) -> Column:

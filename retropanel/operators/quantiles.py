@@ -24,22 +24,109 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linearly interpolated quantiles of every column, per group if ``by`` is given.
 
-    Rows: ``by`` + ``column``, ``n``, one ``qNN`` per probability. Two passes:
+    Rows: ``by`` + ``column``, ``n``, one ``qNN`` per probability; columns without values have none.
+    A mergeable sketch first brackets each wanted rank. Values below and above a bracket are then only
+    counted; values inside are counted per value. So the last step sees the few distinct values around
+    the rank: neither a huge column nor a huge group is sorted in one task, and the result is exact.
+    """
+    if by:
+        return _grouped_quantiles(df, columns, probs, list(by), accuracy)
+    return _table_quantiles(df, columns, probs, accuracy)
 
-    1. a mergeable sketch per column brackets each wanted rank (small, combined on the map side);
-    2. values below and above a bracket are only counted; values inside are counted per value.
 
-    The window therefore sees the few distinct values around the wanted rank, so neither a huge
-    column nor a huge group is sorted in one task, and the result is exact.
-    """
-    by = list(by)
+def _marks(probs: Sequence[float], accuracy: int) -> list[float]:
+    slack = 4.0 / accuracy
+    return [m for p in probs for m in (max(p - slack, 0.0), min(p + slack, 1.0))]
+
+
+def _table_quantiles(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], accuracy: int
+) -> DataFrame:
+    """Whole-table quantiles; brackets and counts are one row each, kept on the driver."""
+    wide = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    marks = _marks(probs, accuracy)
+    names = range(len(columns))
+    sketch = wide.agg(
+        *[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)],
+        *[F.percentile_approx(c, marks, accuracy).alias(f"b{i}") for i, c in enumerate(columns)],
+    ).first()
+    specs = [
+        (len(probs) * i + k, c, quantile_name(p), p * (sketch[f"n{i}"] - 1), *sketch[f"b{i}"][2 * k : 2 * k + 2], sketch[f"n{i}"])
+        for i, c in zip(names, columns)
+        if sketch[f"n{i}"]
+        for k, p in enumerate(probs)
+    ]
+    fields = [f"{quantile_name(p)} double" for p in probs]
+    if not specs:
+        return df.sparkSession.createDataFrame([], ", ".join(["column string", "n bigint", *fields]))
+    edges = wide.agg(
+        *[
+            e.alias(f"{name}{s}")
+            for s, c, _, _, lo, hi, _ in specs
+            for name, e in (
+                ("below", F.count_if(F.col(c) < lo)),
+                ("under", F.max(F.when(F.col(c) < lo, F.col(c)))),
+                ("over", F.min(F.when(F.col(c) > hi, F.col(c)))),
+            )
+        ]
+    ).first()
+    hits = []
+    for c in dict.fromkeys(c for _, c, *_ in specs):
+        near = F.lit(False)
+        for _, name, _, _, lo, hi, _ in specs:
+            if name == c:
+                near = near | F.col(c).between(lo, hi)
+        hits.append(F.when(near, F.struct(F.lit(c).alias("column"), F.col(c).alias("v"))))
+    near_values = (
+        wide.select(F.explode(F.array_compact(F.array(*hits))).alias("h"))
+        .groupBy(F.col("h.column").alias("column"), F.col("h.v").alias("v"))
+        .agg(F.count(F.lit(1)).alias("c"))
+    )
+    table = df.sparkSession.createDataFrame(
+        [
+            (s, c, q, float(pos), n, lo, hi, edges[f"below{s}"], edges[f"under{s}"], edges[f"over{s}"])
+            for s, c, q, pos, lo, hi, n in specs
+        ],
+        "s int, column string, q string, pos double, n bigint, lo double, hi double, below bigint, under double, over double",
+    )
+    inside = near_values.join(F.broadcast(table), "column").filter(F.col("v").between(F.col("lo"), F.col("hi")))
+    w = Window.partitionBy("s").orderBy("v")
+    upto = F.col("below") + F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    placed = inside.withColumn("upto", upto).withColumn("start", F.col("upto") - F.col("c"))
+
+    def at(k):
+        return F.coalesce(
+            F.max(F.when((F.col("start") <= k) & (k < F.col("upto")), F.col("v"))),
+            F.max(F.when(k == F.col("below") - 1, F.col("under"))),
+            F.max(F.when(k >= F.col("below"), F.col("over"))),
+        )
+
+    picked = placed.groupBy("column", "n", "q", "pos").agg(
+        at(F.floor("pos")).alias("a"), at(F.ceil("pos")).alias("z")
+    )
+    return _spread(picked, ["column"], probs)
+
+
+def _spread(picked: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFrame:
+    """Interpolate between the two order statistics and put the probabilities side by side."""
+    share = F.col("pos") - F.floor("pos")
+    value = F.col("a") + (F.col("z") - F.col("a")) * share
+    return picked.groupBy(*keys, "n").agg(
+        *[
+            F.max(F.when(F.col("q") == quantile_name(p), value)).alias(quantile_name(p))
+            for p in probs
+        ]
+    )
+
+
+def _grouped_quantiles(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: list[str], accuracy: int
+) -> DataFrame:
     keys = [*by, "column"]
     long = unpivot_values(df, by, columns, "column", "value")
-    slack = 4.0 / accuracy
-    marks = [m for p in probs for m in (max(p - slack, 0.0), min(p + slack, 1.0))]
     sketch = long.groupBy(*keys).agg(
         F.count("value").alias("n"),
-        F.percentile_approx("value", marks, accuracy).alias("b"),
+        F.percentile_approx("value", _marks(probs, accuracy), accuracy).alias("b"),
     )
     wanted = F.array(
         *[
@@ -53,10 +140,9 @@ def exact_quantiles(
         ]
     )
     brackets = sketch.select(*keys, "n", F.explode(wanted).alias("w")).select(*keys, "n", "w.*")
-    side = brackets if by else F.broadcast(brackets)  # without groups: columns x probabilities rows
     zone = F.when(F.col("value") < F.col("lo"), 0).when(F.col("value") > F.col("hi"), 2).otherwise(1)
     tally = (
-        long.join(side, keys)
+        long.join(brackets, keys)
         .withColumn("zone", zone)
         .groupBy(*keys, "n", "q", "pos", "zone", F.when(F.col("zone") == 1, F.col("value")).alias("v"))
         .agg(F.count(F.lit(1)).alias("c"), F.min("value").alias("mn"), F.max("value").alias("mx"))
@@ -76,16 +162,10 @@ def exact_quantiles(
         )
         return F.max(F.when(hit, value))
 
-    low, high = F.floor("pos"), F.ceil("pos")
-    picked = placed.groupBy(*keys, "n", "q", "pos").agg(at(low).alias("a"), at(high).alias("z"))
-    share = F.col("pos") - F.floor("pos")
-    value = F.col("a") + (F.col("z") - F.col("a")) * share
-    return picked.groupBy(*keys, "n").agg(
-        *[
-            F.max(F.when(F.col("q") == quantile_name(p), value)).alias(quantile_name(p))
-            for p in probs
-        ]
+    picked = placed.groupBy(*keys, "n", "q", "pos").agg(
+        at(F.floor("pos")).alias("a"), at(F.ceil("pos")).alias("z")
     )
+    return _spread(picked, keys, probs)
 
 
 def short_group_quantiles(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from retropanel.functions import expr as E
 from retropanel.operators.quantiles import average_ranks, exact_quantiles
 from retropanel.operators.reshape import unpivot_all, unpivot_values
+from retropanel.session import materialize
 
 
 def _pair(a: Column | str, b: Column | str) -> tuple[Column, Column]:
@@ -137,7 +138,8 @@ def lag_correlations(df: DataFrame, variables: Sequence[str], lags: Sequence[int
 def spearman(df: DataFrame, columns: Sequence[str], target: str, min_rows: int = 100) -> DataFrame:
     """Rank correlation with average ranks over complete pairs.
 
-    Rows collapse to (column, x, y) counts first; ranks come from value counts over range partitions.
+    Rows collapse to (column, x, y) counts, written once because five later steps read them; ranks come
+    from value counts over range partitions.
     """
     pairs = unpivot_values(
         df.filter(F.col(target).isNotNull()).withColumn("_y", F.col(target).cast("double")),
@@ -146,7 +148,9 @@ def spearman(df: DataFrame, columns: Sequence[str], target: str, min_rows: int =
         "column",
         "x",
     )
-    cells = pairs.groupBy("column", "x", F.col("_y").alias("y")).agg(F.count(F.lit(1)).alias("w"))
+    cells = materialize(
+        pairs.groupBy("column", "x", F.col("_y").alias("y")).agg(F.count(F.lit(1)).alias("w"))
+    )
     sides = cells.select("column", F.lit("x").alias("side"), F.col("x").alias("value"), "w").unionByName(
         cells.select("column", F.lit("y").alias("side"), F.col("y").alias("value"), "w")
     )
