@@ -177,10 +177,11 @@ def fit_seasonal(df: DataFrame, target: str, regressors: Sequence[str] = REGRESS
             return empty
         for r in have:
             filled = pdf.groupby("split")[r].transform(lambda s: s.ffill().bfill())
-            pdf[r] = filled.fillna(pdf.loc[train, r].median()).fillna(0.0)
+            known = pdf.loc[train, r].dropna()
+            pdf[r] = filled.fillna(known.median() if len(known) else 0.0)
         center = {"t0": _month_number(pdf.loc[train, "date_id"]).mean()}
         for r in have:
-            center[r] = (pdf.loc[train, r].mean(), pdf.loc[train, r].std(ddof=0) or 1.0)
+            center[r] = (pdf.loc[train, r].mean(), float(pdf.loc[train, r].std(ddof=0)) or 1.0)
         x, y = seasonal_design(pdf, have, center), pdf["label"].to_numpy(dtype=float)
         xt, yt = x[train.to_numpy()], y[train.to_numpy()]
         weight = np.full(x.shape[1], penalty)

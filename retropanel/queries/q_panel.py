@@ -175,9 +175,9 @@ def a18(spark, sf):
 
 @query(
     "a19_box_statistics",
-    f"""SELECT c_mktsegment, count(*) AS n, {he('quantile_cont(o_totalprice, 0.25)', 4)} AS q25, {he('quantile_cont(o_totalprice, 0.5)', 4)} AS q50, {he('quantile_cont(o_totalprice, 0.75)', 4)} AS q75,
-  {he('quantile_cont(o_totalprice, 0.25) - 1.5 * (quantile_cont(o_totalprice, 0.75) - quantile_cont(o_totalprice, 0.25))', 4)} AS fence_low,
-  {he('quantile_cont(o_totalprice, 0.75) + 1.5 * (quantile_cont(o_totalprice, 0.75) - quantile_cont(o_totalprice, 0.25))', 4)} AS fence_high
+    f"""SELECT c_mktsegment, count(*) AS n, {he('quantile_cont(o_totalprice, 0.25)', 6)} AS q25, {he('quantile_cont(o_totalprice, 0.5)', 6)} AS q50, {he('quantile_cont(o_totalprice, 0.75)', 6)} AS q75,
+  {he('quantile_cont(o_totalprice, 0.25) - 1.5 * (quantile_cont(o_totalprice, 0.75) - quantile_cont(o_totalprice, 0.25))', 6)} AS fence_low,
+  {he('quantile_cont(o_totalprice, 0.75) + 1.5 * (quantile_cont(o_totalprice, 0.75) - quantile_cont(o_totalprice, 0.25))', 6)} AS fence_high
 FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1""",
 )
 def a19(spark, sf):
@@ -186,7 +186,7 @@ def a19(spark, sf):
     q = exact_quantiles(df, ["o_totalprice"], (0.25, 0.5, 0.75), ["c_mktsegment"])
     iqr = F.col("q75") - F.col("q25")
     out = q.withColumns({"fence_low": F.col("q25") - 1.5 * iqr, "fence_high": F.col("q75") + 1.5 * iqr})
-    return E.round_doubles(out.drop("column"), 4)
+    return E.round_doubles(out.drop("column"), 6)
 
 
 @query(
@@ -397,17 +397,18 @@ def w13(spark, sf):
 
 @query(
     "w14_cumulative_share",
-    f"""WITH i AS (SELECT p_brand AS feature, CAST(count(*) AS DOUBLE) AS importance FROM part GROUP BY 1),
-c AS (SELECT *, row_number() OVER (ORDER BY importance DESC, feature) AS rank, sum(importance) OVER (ORDER BY importance DESC, feature ROWS UNBOUNDED PRECEDING) * 1e2 / sum(importance) OVER () AS cum FROM i)
-SELECT feature, importance, CAST(rank AS INTEGER) AS rank, {he('cum', 6)} AS cum_pct, CAST((SELECT min(rank) FROM c WHERE cum >= 50) AS INTEGER) AS rank_at_50, CAST((SELECT min(rank) FROM c WHERE cum >= 80) AS INTEGER) AS rank_at_80 FROM c""",
+    f"""WITH i AS (SELECT p_type, p_brand AS feature, CAST(count(*) AS DOUBLE) AS importance FROM part GROUP BY 1, 2),
+c AS (SELECT *, row_number() OVER (PARTITION BY p_type ORDER BY importance DESC, feature) AS rank, sum(importance) OVER (PARTITION BY p_type ORDER BY importance DESC, feature ROWS UNBOUNDED PRECEDING) * 1e2 / sum(importance) OVER (PARTITION BY p_type) AS cum FROM i)
+SELECT p_type, feature, importance, CAST(rank AS INTEGER) AS rank, {he('cum', 6)} AS cum_pct, CAST(min(rank) FILTER (WHERE cum >= 50) OVER (PARTITION BY p_type) AS INTEGER) AS rank_at_50,
+ CAST(min(rank) FILTER (WHERE cum >= 80) OVER (PARTITION BY p_type) AS INTEGER) AS rank_at_80 FROM c""",
 )
 def w14(spark, sf):
-    table = B.table(spark, sf, "part").groupBy(F.col("p_brand").alias("feature")).agg(
+    table = B.table(spark, sf, "part").groupBy("p_type", F.col("p_brand").alias("feature")).agg(
         F.count(F.lit(1)).cast("double").alias("importance")
-    ).withColumn("model", F.lit("count"))
-    shares = W.cumulative_share(table, "importance", "model", "feature")
-    marks = W.first_reaching(shares, "model", (50, 80))
-    return shares.join(marks, "model").withColumn("cum_pct", E.half_even("cum_pct", 6)).drop("model")
+    )
+    shares = W.cumulative_share(table, "importance", "p_type", "feature")
+    marks = W.first_reaching(shares, "p_type", (50, 80))
+    return shares.join(marks, "p_type").withColumn("cum_pct", E.half_even("cum_pct", 6))
 
 
 @query(
