@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from retropanel import settings as S
-from retropanel.operators.quantiles import exact_quantiles
+from retropanel.operators.quantiles import sized_quantiles
 
 # Columns never used as inputs, targets, and name parts of target-derived inputs.
 EXCLUDED = (
@@ -65,7 +65,7 @@ def non_empty(train: DataFrame, features: Sequence[str]) -> list[str]:
 
 def train_medians(train: DataFrame, features: Sequence[str]) -> dict[str, float]:
     """Exact training medians: one number per feature."""
-    rows = exact_quantiles(train, features, (0.5,)).select("column", "q50").collect()
+    rows = sized_quantiles(train, features, (0.5,)).select("column", "q50").collect()
     return {r["column"]: r["q50"] for r in rows}
 
 

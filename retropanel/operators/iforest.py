@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retropanel.operators.quantiles import exact_quantiles
+from retropanel.operators.quantiles import sized_quantiles
 
 SAMPLE_SIZE = 256
 TREES = 100
@@ -57,7 +57,7 @@ def grow_tree(points: np.ndarray, rng: np.random.Generator) -> list[tuple]:
 
 def _complete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Columns as doubles with NULL replaced by the column's exact median."""
-    rows = exact_quantiles(df, columns, (0.5,)).select("column", "q50").collect()  # one per column
+    rows = sized_quantiles(df, columns, (0.5,)).select("column", "q50").collect()  # one per column
     medians = {r["column"]: r["q50"] for r in rows}
     return df.withColumns(
         {
@@ -140,6 +140,6 @@ def score(df: DataFrame, columns: Sequence[str], row_id: Sequence[str], seed: in
 
 def flag_isolated(scored: DataFrame, contamination: float = 0.05) -> Column:
     """True above the score that leaves the wanted share of rows; exact quantile of the scores."""
-    cut = exact_quantiles(scored, ["anomaly_score"], (1.0 - min(contamination, 0.5),)).drop("column", "n")
+    cut = sized_quantiles(scored, ["anomaly_score"], (1.0 - min(contamination, 0.5),)).drop("column", "n")
     row = cut.first()
     return F.col("anomaly_score") > F.lit(row[0] if row else None)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from retropanel.functions import expr as E
 from retropanel.operators import iforest
-from retropanel.operators.quantiles import exact_quantiles
+from retropanel.operators.quantiles import sized_quantiles
 from retropanel.operators.reshape import unpivot_values
 from retropanel.session import materialize
 
@@ -28,7 +28,7 @@ def analysed_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
 
 def iqr_bounds(df: DataFrame, columns: Sequence[str], factor: float = IQR_FACTOR) -> DataFrame:
     """Tukey fences per column, for columns with enough values."""
-    q = exact_quantiles(df, columns, (0.25, 0.75)).filter(F.col("n") >= MIN_VALUES)
+    q = sized_quantiles(df, columns, (0.25, 0.75)).filter(F.col("n") >= MIN_VALUES)
     iqr = F.col("q75") - F.col("q25")
     return q.select(
         "column",
@@ -40,7 +40,7 @@ def iqr_bounds(df: DataFrame, columns: Sequence[str], factor: float = IQR_FACTOR
 
 def mad_scale(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Median and median absolute deviation per column; columns without spread are left out."""
-    med = exact_quantiles(df, columns, (0.5,)).filter(F.col("n") >= MIN_VALUES)
+    med = sized_quantiles(df, columns, (0.5,)).filter(F.col("n") >= MIN_VALUES)
     med = med.select("column", "n", F.col("q50").alias("median"))
     center = fitted(med)
     names = [c for c in columns if c in center]
@@ -49,7 +49,7 @@ def mad_scale(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     gaps = df.select(
         *[F.abs(F.col(c).cast("double") - F.lit(center[c]["median"])).alias(c) for c in names]
     )
-    mad = exact_quantiles(gaps, names, (0.5,)).select("column", F.col("q50").alias("mad"))
+    mad = sized_quantiles(gaps, names, (0.5,)).select("column", F.col("q50").alias("mad"))
     known = df.sparkSession.createDataFrame(
         [(c, center[c]["n"], center[c]["median"]) for c in names], "column string, n bigint, median double"
     )

@@ -34,6 +34,27 @@ def exact_quantiles(
     return _table_quantiles(df, columns, probs, accuracy)
 
 
+SMALL_TABLE = 1_000_000
+
+
+def sized_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """``exact_quantiles`` of a stored frame, by the built-in aggregate where the counted rows are few.
+
+    The row count decides: up to a million rows one aggregation holds all values, beyond it the
+    bracketing passes run.
+    """
+    if not columns or df.count() > SMALL_TABLE:
+        return exact_quantiles(df, columns, probs)
+    x = {c: F.col(c).cast("double") for c in columns}
+    row = df.agg(
+        *[F.count(v).alias(f"n{i}") for i, v in enumerate(x.values())],
+        *[F.percentile(v, [float(p) for p in probs]).alias(f"q{i}") for i, v in enumerate(x.values())],
+    ).first()
+    data = [(c, row[f"n{i}"], *row[f"q{i}"]) for i, c in enumerate(columns) if row[f"n{i}"]]
+    fields = [f"{quantile_name(p)} double" for p in probs]
+    return df.sparkSession.createDataFrame(data, ", ".join(["column string", "n bigint", *fields]))
+
+
 def _marks(probs: Sequence[float], accuracy: int) -> list[float]:
     slack = 4.0 / accuracy
     return [m for p in probs for m in (max(p - slack, 0.0), min(p + slack, 1.0))]

@@ -7,6 +7,8 @@ series are monthly averages; area attributes come from customers.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,10 +16,12 @@ from retropanel import settings as S
 from retropanel.functions import expr as E
 from retropanel.operators import cleaning as C
 from retropanel.plans import panel as P
+from retropanel.plans.features import engineer
 from retropanel.plans.process import RawSources, clean_panel
 from retropanel.queries import sqlviews as V
 from retropanel.session import materialize
 from retropanel.sources.dimensions import departments_for_scope, geo_dimension
+from retropanel.sources.readers import path_exists
 
 CFG = S.PanelSettings(
     certificate_start=V.START, as_of=V.AS_OF, train_end=V.TRAIN_END, val_end=V.VAL_END
@@ -192,6 +196,25 @@ def panel(spark: SparkSession, sf: str) -> DataFrame:
     return clean_panel(sources(spark, sf), geo_dimension(spark), CFG)
 
 
+_STORED: dict[tuple[SparkSession, str, str], tuple[str, DataFrame]] = {}
+
+
+def _stored(spark: SparkSession, sf: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A stage table of this session: written on first use, as a run of the chain writes it."""
+    key = (spark, sf, name)
+    if key not in _STORED or not path_exists(spark, _STORED[key][0]):
+        df = materialize(build())
+        _STORED[key] = (df.inputFiles()[0].rsplit("/", 1)[0], df)
+    return _STORED[key][1]
+
+
 def stored_panel(spark: SparkSession, sf: str) -> DataFrame:
     """The panel written once, for plans that read it several times."""
-    return materialize(panel(spark, sf))
+    return _stored(spark, sf, "panel", lambda: panel(spark, sf))
+
+
+def stored_features(spark: SparkSession, sf: str) -> DataFrame:
+    """Features of the stored panel with target windows that end the month before."""
+    return _stored(
+        spark, sf, "features", lambda: engineer(stored_panel(spark, sf), CFG, shift_target_windows=True)
+    )

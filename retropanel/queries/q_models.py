@@ -11,7 +11,6 @@ from retropanel.models import prepare as PR
 from retropanel.models import train as TR
 from retropanel.operators import aggregates as A
 from retropanel.operators import windows as W
-from retropanel.plans import features as P
 from retropanel.queries import bindings as B
 from retropanel.queries.registry import query
 from retropanel.queries.sqlviews import TRAIN_END, VAL_END, he, next_id
@@ -22,8 +21,7 @@ HORIZON = 6
 
 
 def features(spark, sf):
-    """Stored features of the stored panel, with target windows that end the month before."""
-    return materialize(P.engineer(B.stored_panel(spark, sf), B.CFG, shift_target_windows=True))
+    return B.stored_features(spark, sf)
 
 
 def prepared(spark, sf, without_target_lags=False):

@@ -17,7 +17,8 @@ from retropanel.plans import panel as PL
 from retropanel.queries import bindings as B
 from retropanel.queries.registry import query
 from retropanel.queries.sqlviews import change, clip, date_id, he, next_id, pad, pct
-from retropanel.sources.dimensions import calendar, geo_dimension
+from retropanel.session import materialize
+from retropanel.sources.dimensions import geo_dimension
 
 COUNTS = "nb_dpe_total, nb_installations_pac, nb_installations_clim, nb_dpe_classe_ab"
 
@@ -475,4 +476,4 @@ def w0(spark, sf):
     None,
 )
 def feature_panel(spark, sf):
-    return P.engineer(B.stored_panel(spark, sf))
+    return P.engineer(materialize(B.panel(spark, sf)))
