@@ -10,7 +10,7 @@ from __future__ import annotations
 import hashlib
 import json
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -121,14 +121,18 @@ class Automaton:
         return out
 
 
-def _splitter(vocabulary: str):
-    """Text to pre-tokens: the file's own normaliser, then the pattern. ASCII only needs lower case."""
+def _splitter(vocabulary: str) -> Callable[[str], list[str]]:
+    """Text to pre-tokens: the library's own normaliser and pre-tokeniser, which for ASCII are lower case
+    and the pattern."""
     from tokenizers import Tokenizer
 
     library, pattern = Tokenizer.from_str(vocabulary), regex.compile(WORD_PATTERN)
 
     def split(text: str) -> list[str]:
-        return pattern.findall(text.lower() if text.isascii() else library.normalizer.normalize_str(text))
+        if text.isascii():
+            return pattern.findall(text.lower())
+        text = library.normalizer.normalize_str(text)
+        return [text[a:b] for _, (a, b) in library.pre_tokenizer.pre_tokenize_str(text)]
 
     return split
 
@@ -145,9 +149,7 @@ def frequent_words(docs: DataFrame, text: str = "text", size: int = 65_536) -> l
         for batch in batches:
             for _, chunk in ragged.chunks(ragged.texts(batch.column(0)), 8 * ragged.CHUNK_BYTES):
                 found = ragged.words(chunk)
-                place, distinct = pd.factorize(ragged.hashes(chunk.data, found.starts, found.ends))
-                example = np.zeros(len(distinct), np.int64)
-                example[place[::-1]] = np.arange(len(place))[::-1]
+                place, distinct, example = ragged.distinct(ragged.hashes(chunk.data, found.starts, found.ends))
                 counts = np.bincount(place, minlength=len(distinct))
                 starts, ends = found.starts[example], found.ends[example]
                 short = ends - starts <= LONGEST

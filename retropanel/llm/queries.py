@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retropanel.llm import lexicon, packing, token_counts, token_files
+from retropanel.llm import host_rules, lexicon, line_dedup, packing, simhash, token_counts, token_files
 from retropanel.llm.common import table, vocabulary
 from retropanel.session import scratch_path
 
@@ -25,6 +25,11 @@ def tokenizer(name: str) -> str:
     return vocabulary(public_tokenizers.path(name))
 
 
+@query
+def op3_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_rules.quality_verdicts(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_simple8b_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
@@ -32,6 +37,18 @@ def op4_simple8b_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op7_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 @query
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.cut(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))

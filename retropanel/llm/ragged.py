@@ -6,7 +6,8 @@ Words and units are (start, end) arrays into that byte array; everything here wo
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -138,14 +139,14 @@ class Words(NamedTuple):
         return np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
 
 
-def words(rows: Texts) -> Words:
-    """Maximal runs of bytes other than space and 0x09-0x0D; none crosses a row border."""
+def words(rows: Texts, gaps: np.ndarray = _SPACE) -> Words:
+    """Maximal runs of bytes not marked in ``gaps`` (space and 0x09-0x0D); none crosses a row border."""
     data, offsets = rows
     n = len(data)
     if n == 0:
         none = np.zeros(0, np.int64)
         return Words(none, none, np.zeros(len(offsets), np.int64))
-    space = _SPACE[data]
+    space = gaps[data]
     edge = np.ones(n + 1, bool)
     edge[1:n] = space[1:] != space[:-1]
     edge[offsets] = True
@@ -220,3 +221,50 @@ def row_sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 def lowered(data: np.ndarray) -> np.ndarray:
     """A-Z in lower case, all other bytes as they are."""
     return np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
+
+
+def joined(rows: Texts, found: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words with one space after each, and where each now starts and ends."""
+    lengths = found.ends - found.starts
+    starts = np.cumsum(lengths + 1) - lengths - 1
+    out = np.full(int(lengths.sum()) + len(lengths), 0x20, np.uint8)
+    inside = np.zeros(len(rows.data) + 1, np.int8)
+    inside[found.starts] += 1
+    np.subtract.at(inside, found.ends, 1)
+    taken = np.cumsum(inside[:-1], dtype=np.int8).view(bool)
+    kept = np.ones(len(out), bool)
+    kept[starts + lengths] = False
+    out[kept] = rows.data[taken]
+    return out, starts, starts + lengths
+
+
+class Memo:
+    """Rows of numbers by 64-bit key, computed once while remembered; when full, all are forgotten."""
+
+    def __init__(self, width: int, remember: int = 400_000) -> None:
+        self.width, self.remember = width, remember
+        self.slots: dict[int, int] = {}
+        self.rows = np.zeros((0, width), np.float64)
+
+    def get(self, keys: np.ndarray, compute: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+        """A row for each of the distinct keys; ``compute`` gets the places of those not held."""
+        if len(self.slots) + len(keys) > self.remember:
+            self.slots, self.rows = {}, np.zeros((0, self.width), np.float64)
+        slot = np.fromiter(map(self.slots.get, keys.tolist(), repeat(-1)), np.int64, len(keys))
+        new = np.flatnonzero(slot < 0)
+        if len(new):
+            at = len(self.slots)
+            slot[new] = np.arange(at, at + len(new))
+            self.slots.update(zip(keys[new].tolist(), range(at, at + len(new))))
+            self.rows = np.concatenate([self.rows, compute(new)])
+        return self.rows[slot]
+
+
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(which distinct key each is, the distinct keys, the first place of each)."""
+    import pandas as pd
+
+    which, own = pd.factorize(keys)
+    first = np.empty(len(own), np.int64)
+    first[which[::-1]] = np.arange(len(which) - 1, -1, -1)
+    return which, own, first
