@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retropanel.llm import host_rules, lexicon, line_dedup, packing, simhash, token_counts, token_files
+from retropanel.llm import host_rules, language_id, lexicon, line_dedup, packing, simhash, token_counts, token_files, toxicity
 from retropanel.llm.common import table, vocabulary
 from retropanel.session import scratch_path
 
@@ -25,6 +25,19 @@ def tokenizer(name: str) -> str:
     return vocabulary(public_tokenizers.path(name))
 
 
+def check_sum(modulus: int) -> Column:
+    """The CRC-32 of doc_id's decimal text, modulo; what the folds of operators 2 and 6 are defined by."""
+    return F.crc32(F.col("doc_id").cast("string")) % modulus
+
+
+@query
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    models = language_id.fit(docs.filter(check_sum(4) != 2))
+    rows = language_id.identify(docs.select("doc_id", "text"), models)
+    return rows.select("doc_id", (check_sum(4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 @query
 def op3_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.quality_verdicts(table(spark, sf_dir, "documents"))
@@ -43,6 +56,14 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").filter(check_sum(5) != 0))
+    rows = toxicity.toxicity_scores(docs.select("doc_id", "text"), model)
+    return rows.select("doc_id", (check_sum(5) == 0).alias("held_out"), "score", "predicted")
+
+
 @query
 def op7_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash.near_duplicates(table(spark, sf_dir, "documents"))
