@@ -50,19 +50,21 @@ def with_text_columns(docs: DataFrame, text: str, new: T.StructType, make: Calla
     column that has the name of a new one gives way to it.
     """
     keep = [c for c in keep if c not in new.fieldNames()]
-    rows = docs.select(F.col(f"`{text}`").cast("string").alias(_TEXT), *[F.col(f"`{c}`") for c in keep])
+    # a kept text column travels once
+    kept_text = text in keep and docs.schema[text].dataType == T.StringType()
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep], *([] if kept_text else [F.col(f"`{text}`").cast("string").alias(_TEXT)]))
+    at_text = keep.index(text) if kept_text else len(keep)
     kinds = [arrow_type(f.dataType) for f in new.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = make()
         for batch in batches:
-            kept = [batch.column(i + 1) for i in range(len(keep))]
-            for at, chunk in ragged.chunks(ragged.texts(batch.column(0))):
+            for at, chunk in ragged.chunks(ragged.texts(batch.column(at_text))):
                 n = len(chunk.offsets) - 1
                 made = [pa.array(c, k) for c, k in zip(columns(chunk), kinds)]
-                yield pa.RecordBatch.from_arrays([c.slice(at, n) for c in kept] + made, [*keep, *new.fieldNames()])
+                yield pa.RecordBatch.from_arrays([batch.column(i).slice(at, n) for i in range(len(keep))] + made, [*keep, *new.fieldNames()])
 
-    return rows.mapInArrow(run, T.StructType([*rows.select(*[f"`{c}`" for c in keep]).schema.fields, *new.fields]))
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields[: len(keep)], *new.fields]))
 
 
 def bytes_of(ids: np.ndarray, bounds: np.ndarray) -> list[bytes]:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retropanel.llm import host_rules, language_id, lexicon, line_dedup, packing, simhash, token_counts, token_files, toxicity
+from retropanel.llm import exact_knn, host_rules, language_id, lexicon, line_dedup, packing, simhash, token_counts, token_files, toxicity
 from retropanel.llm.common import table, vocabulary
 from retropanel.session import scratch_path
 
@@ -30,6 +30,11 @@ def check_sum(modulus: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % modulus
 
 
+@query
+def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_knn.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @query
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
