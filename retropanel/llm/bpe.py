@@ -19,6 +19,7 @@ from retropanel.llm import ragged
 #: The pre-token pattern of byte-level vocabularies, with spaces kept.
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NONE = np.iinfo(np.int32).max
+PER_CALL = 1000
 
 
 def byte_letters() -> list[str]:
@@ -112,7 +113,7 @@ class UnitEncoder:
     results: when so many units are held, all are forgotten and encoded again as they come.
     """
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], whole: Callable[[str], list[int]], specials: list[bytes], cut: Callable[[ragged.Texts], ragged.Words] = ragged.units, remember: int = 300_000) -> None:
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], whole: Callable[[str], list[int]], specials: list[bytes], cut: Callable[[ragged.Texts], ragged.Words] = ragged.units, remember: int = 500_000) -> None:
         self.encode, self.whole, self.specials, self.cut, self.remember = encode, whole, specials, cut, remember
         self.forget()
 
@@ -123,16 +124,12 @@ class UnitEncoder:
 
     def slots_of(self, rows: ragged.Texts, found: ragged.Words) -> np.ndarray:
         """The slot of every unit of a chunk; unseen units are encoded into new slots."""
-        import pandas as pd
-
-        place, distinct = pd.factorize(ragged.hashes(rows.data, found.starts, found.ends))
+        place, distinct, example = ragged.distinct(ragged.hashes(rows.data, found.starts, found.ends))
         if len(self.slots) + len(distinct) > self.remember:
             self.forget()
         slot = np.fromiter(map(self.slots.get, distinct.tolist(), [-1] * len(distinct)), np.int64, len(distinct))
         new = np.flatnonzero(slot < 0)
         if len(new):
-            example = np.zeros(len(distinct), np.int64)
-            example[place[::-1]] = np.arange(len(place))[::-1]
             data = rows.data.tobytes()
             texts = [data[a:b].decode("utf-8", "replace") for a, b in zip(found.starts[example[new]].tolist(), found.ends[example[new]].tolist())]
             ids, bounds = self.encode(texts)
@@ -213,8 +210,25 @@ def library_encoder(vocabulary: str) -> UnitEncoder:
         library.no_truncation()
         library.no_padding()
 
+        newline = library.encode("\n", add_special_tokens=False).ids
+
         def encode(units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            return ragged_ids([e.ids for e in library.encode_batch_fast(units, add_special_tokens=False)])
+            """Units that neither start nor end a run of white space go to the library as the lines of a
+            few long texts: there a newline is a pre-token of its own, so the ids between newlines are
+            those of the units."""
+            lines = [i for i, u in enumerate(units) if not u[-1].isspace() and (not u[0].isspace() or u[0] == " " and not u[1].isspace())] if len(newline) == 1 else []
+            rest = sorted(set(range(len(units))).difference(lines))
+            joined = ["\n".join([units[i] for i in lines[k : k + PER_CALL]]) + "\n" for k in range(0, len(lines), PER_CALL)]
+            ids = np.concatenate([np.zeros(0, np.uint32), *(np.array(e.ids, np.uint32) for e in library.encode_batch_fast(joined, add_special_tokens=False))])
+            ends = np.flatnonzero(ids == newline[0]) if newline else np.zeros(0, np.int64)
+            ids = np.delete(ids, ends)
+            ends -= np.arange(len(ends))
+            others, bounds = ragged_ids([e.ids for e in library.encode_batch_fast([units[i] for i in rest], add_special_tokens=False)])
+            # back into the order of the units
+            first, n = np.zeros(len(units), np.int64), np.zeros(len(units), np.int64)
+            n[lines], n[rest] = np.diff(ends, prepend=0), np.diff(bounds)
+            first[lines], first[rest] = ends - n[lines], bounds[:-1] + len(ids)
+            return np.concatenate([ids, others])[ragged.spread(first, n)], np.concatenate([[0], np.cumsum(n)])
 
         return UnitEncoder(encode, lambda text: library.encode(text, add_special_tokens=False).ids, special_strings(vocabulary))
 
@@ -225,12 +239,20 @@ def merging_encoder(vocabulary: str) -> UnitEncoder:
     """Byte-level ids by rank-synchronous merging of all unseen pre-tokens of a chunk at once."""
 
     def make() -> UnitEncoder:
-        table, pattern = MergeTable(vocabulary), regex.compile(BYTE_PATTERN)
+        from tokenizers import Tokenizer
+
+        table, pattern, library = MergeTable(vocabulary), regex.compile(BYTE_PATTERN), Tokenizer.from_str(vocabulary)
         specials = {t["content"]: t["id"] for t in json.loads(vocabulary)["added_tokens"]}
         around = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(specials, key=len, reverse=True)) + ")") if specials else None
 
+        def split(text: str) -> list[str]:
+            """Pre-tokens; beyond ASCII the library says what a letter is."""
+            if text.isascii():
+                return pattern.findall(text)
+            return [text[a:b] for _, (a, b) in library.pre_tokenizer.pre_tokenize_str(text)]
+
         def encode(units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            tokens = [pattern.findall(u) for u in units]
+            tokens = [split(u) for u in units]
             ids, bounds = table.merge(ragged.of_strings([t for u in tokens for t in u]))
             return ids, bounds[np.concatenate([[0], np.cumsum([len(u) for u in tokens])]).astype(np.int64)]
 
