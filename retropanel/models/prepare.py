@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import RobustScaler, VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from retropanel import settings as S
-from retropanel.operators.quantiles import sized_quantiles
+from retropanel.operators.quantiles import exact_quantiles
 
 # Columns never used as inputs, targets, and name parts of target-derived inputs.
 EXCLUDED = (
@@ -65,7 +65,7 @@ def non_empty(train: DataFrame, features: Sequence[str]) -> list[str]:
 
 def train_medians(train: DataFrame, features: Sequence[str]) -> dict[str, float]:
     """Exact training medians: one number per feature."""
-    rows = sized_quantiles(train, features, (0.5,)).select("column", "q50").collect()
+    rows = exact_quantiles(train, features, (0.5,)).select("column", "q50").collect()
     return {r["column"]: r["q50"] for r in rows}
 
 
@@ -75,6 +75,29 @@ def impute(df: DataFrame, medians: dict[str, float]) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class RobustScale:
+    """Median and interquartile range per feature; a feature without range becomes 0."""
+
+    median: tuple[float, ...]
+    range: tuple[float, ...]
+
+    @classmethod
+    def fit(cls, train: DataFrame, features: Sequence[str]) -> RobustScale:
+        """Exact interpolated quartiles of the training rows: one row per feature."""
+        found = {r["column"]: r for r in exact_quantiles(train, features, (0.25, 0.5, 0.75)).collect()}
+        return cls(
+            tuple(found[f]["q50"] if f in found else 0.0 for f in features),
+            tuple(found[f]["q75"] - found[f]["q25"] if f in found else 0.0 for f in features),
+        )
+
+    def columns(self, features: Sequence[str]) -> dict[str, Column]:
+        return {
+            f"_scaled{i}": (F.col(c).cast("double") - F.lit(m)) / F.lit(r) if r else F.lit(0.0)
+            for i, (c, m, r) in enumerate(zip(features, self.median, self.range))
+        }
+
+
 @dataclass(frozen=True)
 class Prepared:
     """Split rows with an imputed and a scaled vector, and what was fitted on training rows."""
@@ -82,11 +105,17 @@ class Prepared:
     rows: DataFrame
     features: list[str]
     medians: dict[str, float]
-    scaler: object
+    scaler: RobustScale
 
     def transform(self, df: DataFrame) -> DataFrame:
-        raw = VectorAssembler(inputCols=self.features, outputCol="raw")
-        return self.scaler.transform(raw.transform(impute(df, self.medians)))
+        return vectors(impute(df, self.medians), self.features, self.scaler)
+
+
+def vectors(filled: DataFrame, features: list[str], scaler: RobustScale) -> DataFrame:
+    """Add ``raw`` and ``features``, the inputs as they are and scaled."""
+    scaled = scaler.columns(features)
+    both = VectorAssembler(inputCols=features, outputCol="raw").transform(filled).withColumns(scaled)
+    return VectorAssembler(inputCols=list(scaled), outputCol="features").transform(both).drop(*scaled)
 
 
 def prepare(
@@ -97,12 +126,9 @@ def prepare(
     train = split.filter("split = 'train'")
     features = non_empty(train, select_features(split, target, without_target_lags))
     medians = train_medians(train, features)
-    raw = VectorAssembler(inputCols=features, outputCol="raw")
-    filled = raw.transform(impute(split, medians))
-    scaler = RobustScaler(
-        inputCol="raw", outputCol="features", withCentering=True, withScaling=True, relativeError=1e-4
-    ).fit(filled.filter("split = 'train'"))
-    rows = scaler.transform(filled).withColumn("label", F.col(target).cast("double"))
+    filled = impute(split, medians)
+    scaler = RobustScale.fit(filled.filter("split = 'train'"), features)
+    rows = vectors(filled, features, scaler).withColumn("label", F.col(target).cast("double"))
     return Prepared(rows, features, medians, scaler)
 
 

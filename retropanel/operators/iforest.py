@@ -15,10 +15,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retropanel.operators.quantiles import sized_quantiles
+from retropanel.operators.quantiles import exact_quantiles
 
 SAMPLE_SIZE = 256
 TREES = 100
+#: Rows the trees are drawn from: a tree's worth for each.
+POOL_ROWS = SAMPLE_SIZE * TREES
 TREE_SCHEMA = "tree int, node int, feature int, split double, left int, right int, depth double"
 
 
@@ -57,7 +59,7 @@ def grow_tree(points: np.ndarray, rng: np.random.Generator) -> list[tuple]:
 
 def _complete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Columns as doubles with NULL replaced by the column's exact median."""
-    rows = sized_quantiles(df, columns, (0.5,)).select("column", "q50").collect()  # one per column
+    rows = exact_quantiles(df, columns, (0.5,)).select("column", "q50").collect()  # one per column
     medians = {r["column"]: r["q50"] for r in rows}
     return df.withColumns(
         {
@@ -67,13 +69,21 @@ def _complete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def fit_forest(df: DataFrame, columns: Sequence[str], row_id: Sequence[str], seed: int = 42) -> pd.DataFrame:
-    """Grow the forest; returns at most ``TREES * 2 * SAMPLE_SIZE`` node rows."""
+def fit_forest(
+    df: DataFrame, columns: Sequence[str], row_id: Sequence[str], seed: int = 42, pool_rows: int = POOL_ROWS
+) -> pd.DataFrame:
+    """Grow the forest; returns at most ``TREES * 2 * SAMPLE_SIZE`` node rows.
+
+    The trees draw from the ``pool_rows`` rows with the smallest hashes. A threshold on the hash leaves
+    about twice as many before anything is sorted.
+    """
     names = [f"_f{i}" for i in range(len(columns))]
+    share = min(1.0, 2.0 * pool_rows / max(df.count(), 1))
     pool = (
         df.select(*names, F.xxhash64(F.lit(seed), *row_id).alias("_h"))
+        .filter(F.col("_h") <= F.lit(int(-(2**63) + share * (2**64 - 1)) if share < 1 else 2**63 - 1))
         .orderBy("_h", *names)
-        .limit(SAMPLE_SIZE * TREES)
+        .limit(pool_rows)
     )
     spread = pool.select(*names, F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "_h")
     from pyspark.sql import Window
@@ -116,10 +126,12 @@ def path_lengths(points: np.ndarray, trees: list[dict[str, np.ndarray]]) -> np.n
     return total / len(trees)
 
 
-def score(df: DataFrame, columns: Sequence[str], row_id: Sequence[str], seed: int = 42) -> DataFrame:
-    """Add ``anomaly_score`` in (0, 1); higher is more isolated."""
+def score(
+    df: DataFrame, columns: Sequence[str], row_id: Sequence[str], seed: int = 42, pool_rows: int = POOL_ROWS
+) -> DataFrame:
+    """Add ``anomaly_score`` in (0, 1); higher is more isolated. ``pool_rows`` bounds what the trees see."""
     full = _complete(df, columns)
-    nodes = fit_forest(full, columns, row_id, seed)
+    nodes = fit_forest(full, columns, row_id, seed, pool_rows)
     size = float(SAMPLE_SIZE)
     trees = pack(nodes)
     if trees:
@@ -140,6 +152,6 @@ def score(df: DataFrame, columns: Sequence[str], row_id: Sequence[str], seed: in
 
 def flag_isolated(scored: DataFrame, contamination: float = 0.05) -> Column:
     """True above the score that leaves the wanted share of rows; exact quantile of the scores."""
-    cut = sized_quantiles(scored, ["anomaly_score"], (1.0 - min(contamination, 0.5),)).drop("column", "n")
+    cut = exact_quantiles(scored, ["anomaly_score"], (1.0 - min(contamination, 0.5),)).drop("column", "n")
     row = cut.first()
     return F.col("anomaly_score") > F.lit(row[0] if row else None)

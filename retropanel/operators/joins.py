@@ -53,8 +53,8 @@ def star_join(fact: DataFrame, time: DataFrame, geo: DataFrame, economy: DataFra
 
 
 def lookup_or(df: DataFrame, dim: DataFrame, key: str, value: str, default: Column) -> DataFrame:
-    """Dictionary lookup with a default for unknown keys."""
-    return df.join(F.broadcast(dim.select(key, value)), key, "left").withColumn(
+    """Dictionary lookup with a default for unknown keys; Spark broadcasts the dictionary if it is small."""
+    return df.join(dim.select(key, value), key, "left").withColumn(
         value, F.coalesce(value, default)
     )
 

@@ -14,30 +14,30 @@ from retropanel.operators.windows import month_gaps
 
 # Which column name fragments belong to which source, in order of precedence.
 SOURCE_PATTERNS = {
-    "Weather": ["temp_", "hdd", "cdd", "precip", "wind", "pac_inefficient", "elevation", "extreme_cold", "extreme_hot", "frost_days"],
-    "DPE": ["nb_dpe", "nb_installations", "pct_pac", "pct_clim", "pct_classe"],
-    "INSEE": ["confiance_menages", "climat_affaires", "chomage", "permis_construire", "prix_immobilier", "taux_pauvrete", "revenu_median", "densite_pop"],
-    "Eurostat": ["ipi_", "eurostat"],
-    "SITADEL": ["sitadel", "logements_autorises", "logements_commences"],
-    "Feature engineering": ["lag_", "rolling_", "diff_", "trend_", "interact_", "ratio_", "seasonal_", "momentum_"],
+    "Weather (Open-Meteo)": ["temp_", "hdd", "cdd", "precip", "wind", "pac_inefficient", "elevation", "extreme_cold", "extreme_hot", "frost_days"],
+    "DPE (ADEME)": ["nb_dpe", "nb_installations", "pct_pac", "pct_clim", "pct_classe"],
+    "INSEE (economic)": ["confiance_menages", "climat_affaires", "chomage", "permis_construire", "prix_immobilier", "taux_pauvrete", "revenu_median", "densite_pop"],
+    "Eurostat (industry)": ["ipi_", "eurostat"],
+    "SITADEL (construction)": ["sitadel", "logements_autorises", "logements_commences"],
+    "Feature eng. (lag/rolling)": ["lag_", "rolling_", "diff_", "trend_", "interact_", "ratio_", "seasonal_", "momentum_"],
 }
 OTHER_SOURCE = "Other / Identifier"
 
-# Metric | direction that is bad | warning | critical.
-ALERT_ROWS = """
-raw_age_days|above|7|30
-weather_rows|below|200000|100000
-certificate_rows|below|500000|100000
-panel_rows|below|2000|500
-panel_departments|below|90|50
-target_null_pct|above|5|20
-feature_null_pct|above|15|40
-consensus_outlier_pct|above|10|25
-best_model_r2|below|0.5|0.2
-best_model_mape|above|30|50
-run_minutes|above|60|120
-failed_collectors|above|0|2
-"""
+# Metric, direction that is bad, warning, critical.
+ALERT_ROWS = [
+    ("raw_age_days", "above", 7.0, 30.0),
+    ("weather_rows", "below", 200000.0, 100000.0),
+    ("certificate_rows", "below", 500000.0, 100000.0),
+    ("panel_rows", "below", 2000.0, 500.0),
+    ("panel_departments", "below", 90.0, 50.0),
+    ("target_null_pct", "above", 5.0, 20.0),
+    ("feature_null_pct", "above", 15.0, 40.0),
+    ("consensus_outlier_pct", "above", 10.0, 25.0),
+    ("best_model_r2", "below", 0.5, 0.2),
+    ("best_model_mape", "above", 30.0, 50.0),
+    ("run_minutes", "above", 60.0, 120.0),
+    ("failed_collectors", "above", 0.0, 2.0),
+]
 
 
 def source_of(column: Column | str) -> Column:
@@ -156,17 +156,14 @@ def validate(df: DataFrame, source: str, required: Sequence[str], checks: Sequen
 
 def gate(checks: DataFrame) -> None:
     """Stop the run where a check failed with severity error."""
-    failed = checks.filter(F.col("status") == "error").select("source", "check", "value").take(20)
+    # one row per declared check, so few
+    failed = checks.filter(F.col("status") == "error").select("source", "check", "value").collect()
     if failed:
         raise ValueError("; ".join(f"{r['source']}: {r['check']} = {r['value']}" for r in failed))
 
 
 def alert_rules(spark) -> DataFrame:
-    rows = [line.split("|") for line in ALERT_ROWS.strip().splitlines()]
-    return spark.createDataFrame(
-        [(m, d, float(w), float(c)) for m, d, w, c in rows],
-        "metric string, bad string, warning double, critical double",
-    )
+    return spark.createDataFrame(ALERT_ROWS, "metric string, bad string, warning double, critical double")
 
 
 def alerts(metrics: DataFrame, rules: DataFrame) -> DataFrame:
@@ -174,7 +171,7 @@ def alerts(metrics: DataFrame, rules: DataFrame) -> DataFrame:
     worse = lambda mark: F.when(F.col("bad") == "above", F.col("value") > F.col(mark)).otherwise(
         F.col("value") < F.col(mark)
     )
-    return metrics.join(F.broadcast(rules), "metric").select(
+    return metrics.join(rules, "metric").select(
         "metric",
         "value",
         F.when(worse("critical"), "CRITICAL").when(worse("warning"), "WARNING").otherwise("OK").alias("level"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,6 +12,10 @@ from retropanel.operators.reshape import unpivot_values
 from retropanel.session import materialize
 
 
+#: Rows inside a bracket that are ordered at once.
+FEW_ROWS = 1 << 16
+
+
 def quantile_name(p: float) -> str:
     return f"q{round(p * 100):02d}"
 
@@ -26,38 +31,82 @@ def exact_quantiles(
 
     Rows: ``by`` + ``column``, ``n``, one ``qNN`` per probability; columns without values have none.
     A mergeable sketch first brackets each wanted rank. Values below and above a bracket are then only
-    counted; values inside are counted per value. So the last step sees the few distinct values around
-    the rank: neither a huge column nor a huge group is sorted in one task, and the result is exact.
+    counted; values inside are counted per value. Whole-table brackets are narrowed by further sketch
+    passes until few rows are left inside; group brackets are ranked over range partitions. So neither a
+    column nor a group is sorted in one task, and the result is exact.
     """
     if by:
         return _grouped_quantiles(df, columns, probs, list(by), accuracy)
     return _table_quantiles(df, columns, probs, accuracy)
 
 
-SMALL_TABLE = 1_000_000
+def _marks(probs: Sequence[float], accuracy: int) -> list[float]:
+    slack = 4.0 / accuracy
+    return [m for p in probs for m in (max(p - slack, 0.0), min(p + slack, 1.0))]
+
+
+@dataclass
+class _Bracket:
+    """Values that hold one wanted rank: ``below`` rows lie under ``lo``, ``inside`` from lo to hi."""
 
+    column: str
+    q: str
+    pos: float
+    n: int
+    lo: float
+    hi: float
+    below: int = 0
+    inside: int = 0
+    under: float | None = None
+    over: float | None = None
 
-def sized_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """``exact_quantiles`` of a stored frame, by the built-in aggregate where the counted rows are few.
 
-    The row count decides: up to a million rows one aggregation holds all values, beyond it the
-    bracketing passes run.
-    """
-    if not columns or df.count() > SMALL_TABLE:
-        return exact_quantiles(df, columns, probs)
-    x = {c: F.col(c).cast("double") for c in columns}
-    row = df.agg(
-        *[F.count(v).alias(f"n{i}") for i, v in enumerate(x.values())],
-        *[F.percentile(v, [float(p) for p in probs]).alias(f"q{i}") for i, v in enumerate(x.values())],
+def _measure(wide: DataFrame, brackets: Sequence[_Bracket]) -> None:
+    """Count around the brackets: one aggregate row."""
+    row = wide.agg(
+        *[
+            e.alias(f"{name}{i}")
+            for i, b in enumerate(brackets)
+            for c in (F.col(b.column),)
+            for name, e in (
+                ("below", F.count_if(c < b.lo)),
+                ("inside", F.count_if(c.between(b.lo, b.hi))),
+                ("under", F.max(F.when(c < b.lo, c))),
+                ("over", F.min(F.when(c > b.hi, c))),
+            )
+        ]
     ).first()
-    data = [(c, row[f"n{i}"], *row[f"q{i}"]) for i, c in enumerate(columns) if row[f"n{i}"]]
-    fields = [f"{quantile_name(p)} double" for p in probs]
-    return df.sparkSession.createDataFrame(data, ", ".join(["column string", "n bigint", *fields]))
+    for i, b in enumerate(brackets):
+        b.below, b.inside, b.under, b.over = (row[f"{k}{i}"] for k in ("below", "inside", "under", "over"))
 
 
-def _marks(probs: Sequence[float], accuracy: int) -> list[float]:
-    slack = 4.0 / accuracy
-    return [m for p in probs for m in (max(p - slack, 0.0), min(p + slack, 1.0))]
+def _narrow(wide: DataFrame, brackets: Sequence[_Bracket], accuracy: int) -> None:
+    """Sketch the values inside the brackets only: each pass leaves about a thousandth of the rows.
+
+    A bracket that doesn't shrink holds one or two values that fill it, and few others.
+    """
+    wide_ones = [b for b in brackets if b.inside > FEW_ROWS and b.lo < b.hi]
+    while wide_ones:
+        row = wide.agg(
+            *[
+                F.percentile_approx(
+                    F.when(F.col(b.column).between(b.lo, b.hi), F.col(b.column)),
+                    _marks([min(max((b.pos - b.below) / max(b.inside - 1, 1), 0.0), 1.0)], accuracy),
+                    accuracy,
+                ).alias(f"b{i}")
+                for i, b in enumerate(wide_ones)
+            ]
+        ).first()
+        before = [(b.lo, b.hi) for b in wide_ones]
+        for i, b in enumerate(wide_ones):
+            b.lo, b.hi = row[f"b{i}"]
+        _measure(wide, wide_ones)
+        wide_ones = [b for b, old in zip(wide_ones, before) if b.inside > FEW_ROWS and b.lo < b.hi and (b.lo, b.hi) != old]
+
+
+def _groups(items: Sequence, size: int = 64) -> list[Sequence]:
+    """Aggregates of one stage stay few enough for generated code."""
+    return [items[i : i + size] for i in range(0, len(items), size)]
 
 
 def _table_quantiles(
@@ -66,37 +115,30 @@ def _table_quantiles(
     """Whole-table quantiles; brackets and counts are one row each, kept on the driver."""
     wide = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     marks = _marks(probs, accuracy)
-    names = range(len(columns))
-    sketch = wide.agg(
-        *[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)],
-        *[F.percentile_approx(c, marks, accuracy).alias(f"b{i}") for i, c in enumerate(columns)],
-    ).first()
-    specs = [
-        (len(probs) * i + k, c, quantile_name(p), p * (sketch[f"n{i}"] - 1), *sketch[f"b{i}"][2 * k : 2 * k + 2], sketch[f"n{i}"])
-        for i, c in zip(names, columns)
-        if sketch[f"n{i}"]
-        for k, p in enumerate(probs)
-    ]
+    brackets: list[_Bracket] = []
+    for part in _groups(columns):
+        sketch = wide.agg(
+            *[F.count(c).alias(f"n{i}") for i, c in enumerate(part)],
+            *[F.percentile_approx(c, marks, accuracy).alias(f"b{i}") for i, c in enumerate(part)],
+        ).first()
+        brackets += [
+            _Bracket(c, quantile_name(p), float(p * (sketch[f"n{i}"] - 1)), sketch[f"n{i}"], *sketch[f"b{i}"][2 * k : 2 * k + 2])
+            for i, c in enumerate(part)
+            if sketch[f"n{i}"]
+            for k, p in enumerate(probs)
+        ]
     fields = [f"{quantile_name(p)} double" for p in probs]
-    if not specs:
+    if not brackets:
         return df.sparkSession.createDataFrame([], ", ".join(["column string", "n bigint", *fields]))
-    edges = wide.agg(
-        *[
-            e.alias(f"{name}{s}")
-            for s, c, _, _, lo, hi, _ in specs
-            for name, e in (
-                ("below", F.count_if(F.col(c) < lo)),
-                ("under", F.max(F.when(F.col(c) < lo, F.col(c)))),
-                ("over", F.min(F.when(F.col(c) > hi, F.col(c)))),
-            )
-        ]
-    ).first()
+    for part in _groups(brackets):
+        _measure(wide, part)
+        _narrow(wide, part, accuracy)
     hits = []
-    for c in dict.fromkeys(c for _, c, *_ in specs):
+    for c in dict.fromkeys(b.column for b in brackets):
         near = F.lit(False)
-        for _, name, _, _, lo, hi, _ in specs:
-            if name == c:
-                near = near | F.col(c).between(lo, hi)
+        for b in brackets:
+            if b.column == c:
+                near = near | F.col(c).between(b.lo, b.hi)
         hits.append(F.when(near, F.struct(F.lit(c).alias("column"), F.col(c).alias("v"))))
     near_values = (
         wide.select(F.explode(F.array_compact(F.array(*hits))).alias("h"))
@@ -104,14 +146,11 @@ def _table_quantiles(
         .agg(F.count(F.lit(1)).alias("c"))
     )
     table = df.sparkSession.createDataFrame(
-        [
-            (s, c, q, float(pos), n, lo, hi, edges[f"below{s}"], edges[f"under{s}"], edges[f"over{s}"])
-            for s, c, q, pos, lo, hi, n in specs
-        ],
+        [(i, b.column, b.q, b.pos, b.n, b.lo, b.hi, b.below, b.under, b.over) for i, b in enumerate(brackets)],
         "s int, column string, q string, pos double, n bigint, lo double, hi double, below bigint, under double, over double",
     )
     inside = near_values.join(F.broadcast(table), "column").filter(F.col("v").between(F.col("lo"), F.col("hi")))
-    w = Window.partitionBy("s").orderBy("v")
+    w = Window.partitionBy("s").orderBy("v")  # FEW_ROWS rows or hardly more of each bracket
     upto = F.col("below") + F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, 0))
     placed = inside.withColumn("upto", upto).withColumn("start", F.col("upto") - F.col("c"))
 
@@ -160,18 +199,23 @@ def _grouped_quantiles(
             for i, p in enumerate(probs)
         ]
     )
-    brackets = sketch.select(*keys, "n", F.explode(wanted).alias("w")).select(*keys, "n", "w.*")
-    zone = F.when(F.col("value") < F.col("lo"), 0).when(F.col("value") > F.col("hi"), 2).otherwise(1)
+    brackets = sketch.select(*keys, "n", wanted.alias("w"))
+    zone = F.when(F.col("value") < F.col("b.lo"), 0).when(F.col("value") > F.col("b.hi"), 2).otherwise(1)
     tally = (
         long.join(brackets, keys)
-        .withColumn("zone", zone)
+        .select(*keys, "n", "value", F.explode("w").alias("b"))
+        .select(*keys, "n", "b.q", "b.pos", "value", zone.alias("zone"))
         .groupBy(*keys, "n", "q", "pos", "zone", F.when(F.col("zone") == 1, F.col("value")).alias("v"))
         .agg(F.count(F.lit(1)).alias("c"), F.min("value").alias("mn"), F.max("value").alias("mx"))
     )
-    w = Window.partitionBy(*keys, "q").orderBy("zone", "v")
-    placed = tally.withColumn(
-        "upto", F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    ).withColumn("start", F.col("upto") - F.col("c"))
+    end = F.lit(float("inf"))
+    placed = average_ranks(
+        tally.withColumn("x", F.when(F.col("zone") == 0, -end).when(F.col("zone") == 2, end).otherwise(F.col("v"))),
+        [*keys, "q"],
+        "x",
+        "c",
+    ).withColumn("start", (F.col("rank") - (F.col("c") + 1) / 2.0).cast("bigint"))
+    placed = placed.withColumn("upto", F.col("start") + F.col("c"))
 
     def at(k):
         hit = (F.col("start") <= k) & (k < F.col("upto"))
@@ -189,21 +233,6 @@ def _grouped_quantiles(
     return _spread(picked, keys, probs)
 
 
-def short_group_quantiles(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str]
-) -> DataFrame:
-    """Quantiles of groups that hold one entity's or one month's panel rows.
-
-    Such a group is as long as the calendar or the geography, so the built-in exact percentile fits.
-    """
-    aggs = [
-        F.percentile(F.col(c).cast("double"), float(p)).alias(f"{c}_{quantile_name(p)}")
-        for c in columns
-        for p in probs
-    ]
-    return df.groupBy(*by).agg(*aggs)
-
-
 def average_ranks(counts: DataFrame, keys: Sequence[str], value: str, count: str) -> DataFrame:
     """Average rank of each distinct value inside its key, over any number of distinct values.
 

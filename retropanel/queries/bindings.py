@@ -72,8 +72,8 @@ def cert_raw(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def cert(spark: SparkSession, sf: str, skip: frozenset[str] = frozenset({"remove_duplicates"})) -> DataFrame:
-    """Cleaned certificates; the order key is unique, so dedup is left to the queries that show it."""
+def cert(spark: SparkSession, sf: str, skip: frozenset[str] = frozenset()) -> DataFrame:
+    """Cleaned certificates, duplicates removed as in every run of the chain."""
     return C.clean_certificates(
         cert_raw(spark, sf), CERT_ORDER, departments_for_scope("FR"), V.START, V.AS_OF, skip
     )

@@ -468,8 +468,8 @@ def f20(spark, sf):
   CAST(revenu_median AS DOUBLE) AS revenu_median, CAST(ipi_hvac_c28 AS DOUBLE) AS ipi_hvac_c28,
   CAST(nb_logements_autorises AS DOUBLE) AS nb_logements_autorises, CAST(month AS DOUBLE) AS month FROM v_panel)
   ON COLUMNS(*) INTO NAME "column" VALUE v)
-SELECT CASE "column" WHEN 'temp_mean' THEN 'Weather' WHEN 'nb_dpe_total' THEN 'DPE' WHEN 'revenu_median' THEN 'INSEE'
-  WHEN 'ipi_hvac_c28' THEN 'Eurostat' WHEN 'nb_logements_autorises' THEN 'SITADEL' ELSE 'Other / Identifier' END AS source,
+SELECT CASE "column" WHEN 'temp_mean' THEN 'Weather (Open-Meteo)' WHEN 'nb_dpe_total' THEN 'DPE (ADEME)' WHEN 'revenu_median' THEN 'INSEE (economic)'
+  WHEN 'ipi_hvac_c28' THEN 'Eurostat (industry)' WHEN 'nb_logements_autorises' THEN 'SITADEL (construction)' ELSE 'Other / Identifier' END AS source,
   "column", count(v) AS n FROM u GROUP BY ALL""",
 )
 def f21(spark, sf):

@@ -88,7 +88,7 @@ def m7(spark, sf):
 @query("m8_gradient_boosting")
 def m8(spark, sf):
     prep = prepared(spark, sf)
-    return TR.predictions(TR.fit_boosting(prep.rows, maxIter=20, stepSize=0.3), prep.rows, "boosting")
+    return TR.predictions(TR.fit_boosting(prep.rows), prep.rows, "boosting")
 
 
 @query("m9_seasonal_models")

@@ -11,7 +11,7 @@ from retropanel.operators import gaps as G
 from retropanel.operators import joins as J
 from retropanel.operators import stats as T
 from retropanel.operators import windows as W
-from retropanel.operators.quantiles import exact_quantiles, short_group_quantiles
+from retropanel.operators.quantiles import exact_quantiles
 from retropanel.plans import features as P
 from retropanel.plans import panel as PL
 from retropanel.queries import bindings as B
@@ -213,7 +213,17 @@ def a21(spark, sf):
     return E.round_doubles(A.error_aggregates(df, ["dept"], "nb_installations_pac", "p"), 6)
 
 
-COUNTED = ["customer", "orders", "lineitem", "events", "documents"]
+@query(
+    "a21_error_by_month",
+    f"""WITH p AS (SELECT date_id, nb_installations_pac AS y, lag(nb_installations_pac) OVER (PARTITION BY dept ORDER BY date_id) AS p FROM v_facts)
+SELECT date_id, {he('avg(abs(y - p))', 6)} AS mae, {he('avg(y - p)', 6)} AS mean_bias, {he('stddev_samp(y - p)', 6)} AS residual_std, {he('avg(y)', 6)} AS actual_mean FROM p GROUP BY date_id""",
+)
+def a21_month(spark, sf):
+    df = B.facts(spark, sf).withColumn("p", F.lag("nb_installations_pac").over(W.by_entity()))
+    return E.round_doubles(A.error_aggregates(df, ["date_id"], "nb_installations_pac", "p"), 6)
+
+
+COUNTED = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
 @query("a22_table_counts", " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in COUNTED))
@@ -221,10 +231,10 @@ def a22(spark, sf):
     return A.table_counts({t: B.table(spark, sf, t) for t in COUNTED})
 
 
-@query("a23_source_summary", " UNION ALL ".join(f"SELECT '{t}.parquet' AS file_name, count(*) AS row_count FROM {t}" for t in ("orders", "events")))
+@query("a23_source_summary", " UNION ALL ".join(f"SELECT '{t}.parquet' AS file_name, count(*) AS row_count FROM {t}" for t in COUNTED))
 def a23(spark, sf):
     out = None
-    for t in ("orders", "events"):
+    for t in COUNTED:
         one = A.file_summary(B.table(spark, sf, t).select("_metadata")).select("file_name", "row_count")
         out = one if out is None else out.unionByName(one)
     return out

@@ -122,10 +122,10 @@ def q3(spark, sf):
     "q4_nulls_by_source",
     """WITH u AS (SELECT count(*) FILTER (WHERE temp_mean IS NULL) AS t, count(*) FILTER (WHERE hdd_sum IS NULL) AS h, count(*) FILTER (WHERE ipi_hvac_c28 IS NULL) AS i,
  count(*) FILTER (WHERE confiance_menages IS NULL) AS c, count(*) FILTER (WHERE nb_dpe_total IS NULL) AS n, count(*) FILTER (WHERE month IS NULL) AS m, count(*) FILTER (WHERE climat_affaires_bat IS NULL) AS b FROM v_panel)
-SELECT 'Weather' AS source, CAST(2 AS BIGINT) AS cols_total, CAST((t > 0)::INT + (h > 0)::INT AS BIGINT) AS cols_with_null, t + h AS null_cells FROM u
-UNION ALL SELECT 'Eurostat', 1, CAST((i > 0)::INT AS BIGINT), i FROM u
-UNION ALL SELECT 'INSEE', 2, CAST((c > 0)::INT + (b > 0)::INT AS BIGINT), c + b FROM u
-UNION ALL SELECT 'DPE', 1, CAST((n > 0)::INT AS BIGINT), n FROM u
+SELECT 'Weather (Open-Meteo)' AS source, CAST(2 AS BIGINT) AS cols_total, CAST((t > 0)::INT + (h > 0)::INT AS BIGINT) AS cols_with_null, t + h AS null_cells FROM u
+UNION ALL SELECT 'Eurostat (industry)', 1, CAST((i > 0)::INT AS BIGINT), i FROM u
+UNION ALL SELECT 'INSEE (economic)', 2, CAST((c > 0)::INT + (b > 0)::INT AS BIGINT), c + b FROM u
+UNION ALL SELECT 'DPE (ADEME)', 1, CAST((n > 0)::INT AS BIGINT), n FROM u
 UNION ALL SELECT 'Other / Identifier', 1, CAST((m > 0)::INT AS BIGINT), m FROM u""",
 )
 def q4(spark, sf):
@@ -293,7 +293,7 @@ def event_files(spark, sf):
     """Events as a folder of daily files, the input a file stream sees."""
     path = scratch_path(spark, "event_files")
     events = B.table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    events.repartition(8, F.col("ts").cast("date")).write.parquet(path)
+    events.repartitionByRange(F.col("ts").cast("date")).write.parquet(path)
     return path, events.schema
 
 

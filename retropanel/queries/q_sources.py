@@ -68,6 +68,33 @@ def s3(spark, sf):
     return R.read_csv_any(spark, path, ["code", "libelle", "segment"])
 
 
+def encoded_folder(spark, sf, encodings):
+    """Customers as one folder of semicolon files, a part of the rows in each encoding, under ASCII headers."""
+    path, c = scratch_path(spark, "encodings"), B.table(spark, sf, "customer")
+    rows = c.select(
+        F.col("c_custkey").cast("string").alias("code"),
+        F.concat("c_name", F.lit(" é")).alias("libelle"),
+        F.col("c_mktsegment").alias("segment"),
+    )
+    for i, encoding in enumerate(encodings):
+        part = rows.filter(F.col("code").cast("bigint") % len(encodings) == i)
+        part.write.mode("append").options(header=True, sep=";", encoding=encoding).csv(path)
+    return path
+
+
+ENCODED = "SELECT CAST(c_custkey AS VARCHAR) AS code, c_name || ' é' AS libelle, c_mktsegment AS segment FROM customer"
+
+
+@query("s3_csv_latin1_body", ENCODED)
+def s3_latin1(spark, sf):
+    return R.read_csv_any(spark, encoded_folder(spark, sf, ["ISO-8859-1"]), ["code", "libelle", "segment"])
+
+
+@query("s3_csv_mixed_folder", ENCODED)
+def s3_mixed(spark, sf):
+    return R.read_csv_any(spark, encoded_folder(spark, sf, ["UTF-8", "ISO-8859-1"]), ["code", "libelle", "segment"])
+
+
 @query(
     "s4_all_string_coercion",
     """SELECT CAST(l_orderkey AS DOUBLE) AS l_orderkey, CAST(NULL AS DOUBLE) AS l_returnflag,
@@ -240,16 +267,18 @@ def s13(spark, sf):
     return G.synthetic_weather(places.withColumn("_s", span), F.col("_s.a"), F.col("_s.b"))
 
 
+SAMPLED = {"region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey", "orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id", "documents": "doc_id", "embeddings": "vec_id", "pages": "page_id", "benchmark": "item_id", "labels": "doc_id", "conversations": "conv_id"}
+
+
 @query(
     "s14_sample_rows",
-    """SELECT * FROM (SELECT 'customer' AS source, c_custkey AS id FROM customer ORDER BY c_custkey LIMIT 200)
-UNION ALL SELECT * FROM (SELECT 'orders' AS source, o_orderkey AS id FROM orders ORDER BY o_orderkey LIMIT 200)
-UNION ALL SELECT * FROM (SELECT 'events' AS source, event_id AS id FROM events ORDER BY event_id LIMIT 200)""",
+    " UNION ALL ".join(f"SELECT * FROM (SELECT '{t}' AS source, CAST({k} AS BIGINT) AS id FROM {t} ORDER BY {k} LIMIT 200)" for t, k in SAMPLED.items()),
 )
 def s14(spark, sf):
+    """The first 200 keys of every table; the limit is the feature."""
     out = None
-    for name, key in (("customer", "c_custkey"), ("orders", "o_orderkey"), ("events", "event_id")):
-        one = R.sample_rows(B.table(spark, sf, name).select(F.col(key).alias("id")), ["id"])
+    for name, key in SAMPLED.items():
+        one = R.sample_rows(B.table(spark, sf, name).select(F.col(key).cast("bigint").alias("id")), ["id"])
         one = one.select(F.lit(name).alias("source"), "id")
         out = one if out is None else out.unionByName(one)
     return out

@@ -88,13 +88,13 @@ VIEWS["v_geo"] = (
 )
 VIEWS["v_region"] = (
     "SELECT * FROM (VALUES "
-    + values([tuple(x.split("|")) for x in REGION_ROWS.strip().splitlines()])
+    + values(REGION_ROWS)
     + ") AS r(region_code, region_name)"
 )
 VIEWS["v_equipment"] = (
     "SELECT * FROM (VALUES "
     + values(
-        [(a, b, c, d == "true") for a, b, c, d in (x.split("|") for x in EQUIPMENT_ROWS.strip().splitlines())]
+        EQUIPMENT_ROWS
     )
     + ") AS e(label, category, energy_source, is_renewable)"
 )

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,24 +31,28 @@ def build_session(app: str = "retropanel", master: str | None = None, **conf: st
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach, as named in ``spark.checkpoint.dir``.
+    """The folder all executors can reach: ``spark.checkpoint.dir``, else one beside the warehouse's tables."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    return named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
-    Only a local session that names none gets a temporary folder of its own.
-    """
-    sc = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if named:
-        return named
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    path = tempfile.mkdtemp(prefix="retropanel-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+
+_MARKED: set[str] = set()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder."""
-    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    """A fresh path under this application's part of the shared folder.
+
+    Frames are lazy, so their files are needed as long as the application may read them; the part is
+    deleted when the driver ends.
+    """
+    root = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}"
+    if root not in _MARKED:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+        fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs.mkdirs(target)
+        fs.deleteOnExit(target)
+        _MARKED.add(root)
+    return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame) -> DataFrame:

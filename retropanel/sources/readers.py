@@ -41,7 +41,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
-def read_csv(spark: SparkSession, path: str, schema: str | T.StructType, **options) -> DataFrame:
+def read_csv(spark: SparkSession, path: str | list[str], schema: str | T.StructType, **options) -> DataFrame:
     """CSV of any size; empty fields are NULL and broken numbers become NULL."""
     return (
         spark.read.schema(schema)
@@ -51,19 +51,39 @@ def read_csv(spark: SparkSession, path: str, schema: str | T.StructType, **optio
     )
 
 
-def sniff_csv(spark: SparkSession, path: str) -> dict[str, str]:
-    """Separator and encoding from the header line of the first file."""
-    line = spark.read.option("encoding", "UTF-8").text(path).first()
-    header = line[0] if line else ""
-    sep = ";" if header.count(";") > header.count(",") else ","
-    encoding = "ISO-8859-1" if "�" in header else "UTF-8"
-    return {"sep": sep, "encoding": encoding}
+def sniff_csv(spark: SparkSession, path: str) -> DataFrame:
+    """(file, sep, encoding) of every file of a folder, decided on its whole content.
+
+    Read as Latin-1, every byte is one character, so the bytes come back exactly and can be tested for
+    UTF-8; the separator is the more frequent one of the file's first line.
+    """
+    lines = spark.read.option("encoding", "ISO-8859-1").option("header", False).schema("line string").option("sep", "\x00").option("quote", "").csv(path)
+    line = F.coalesce("line", F.lit(""))
+    known = lines.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.is_valid_utf8(F.encode(line, "ISO-8859-1").cast("string")).alias("utf8"),
+        (F.length(line) - F.length(F.replace(line, F.lit(";"), F.lit("")))).alias("semicolons"),
+        (F.length(line) - F.length(F.replace(line, F.lit(","), F.lit("")))).alias("commas"),
+    )
+    return known.groupBy("file").agg(
+        F.when(F.sum("semicolons") > F.sum("commas"), ";").otherwise(",").alias("sep"),
+        F.when(F.every("utf8"), "UTF-8").otherwise("ISO-8859-1").alias("encoding"),
+    )
 
 
 def read_csv_any(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """All-string CSV with the separator and encoding found in its header."""
+    """All-string CSV, each file with its own separator and encoding.
+
+    One scan for every combination found (four at most), over its own files; the list of files is what the
+    driver lists for any scan.
+    """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return read_csv(spark, path, schema, **sniff_csv(spark, path))
+    kinds = sniff_csv(spark, path).groupBy("sep", "encoding").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("sep", "encoding").collect()
+    out = None
+    for k in kinds:
+        one = read_csv(spark, k["files"], schema, sep=k["sep"], encoding=k["encoding"])
+        out = one if out is None else out.unionByName(one)
+    return out if out is not None else spark.createDataFrame([], schema)
 
 
 def coerce_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:

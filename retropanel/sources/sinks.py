@@ -21,13 +21,10 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt:
 def write_by_year(df: DataFrame, path: str, date: str) -> str:
     """Event table laid out by year, so that a year filter reads one directory.
 
-    Rows are clustered by year and a salt first: a heavy year is written by several tasks, and a task
-    opens few files.
+    Rows are clustered by year at run time: a heavy year is split by its measured size, and a task opens
+    few files.
     """
-    salted = df.withColumn("year", F.year(date)).withColumn(
-        "_salt", F.pmod(F.xxhash64(*df.columns), F.lit(32))
-    )
-    return write_table(salted.repartition("year", "_salt").drop("_salt"), path, ["year"])
+    return write_table(df.withColumn("year", F.year(date)).hint("rebalance", "year"), path, ["year"])
 
 
 def read_by_year(spark: SparkSession, path: str, date: str, first: str, last: str) -> DataFrame:
