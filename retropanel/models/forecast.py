@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from retropanel import settings as S
 from retropanel.functions import expr as E
+from retropanel.session import materialize
 from retropanel.models.prepare import Prepared, impute
 
 BAND = 1.96
@@ -137,10 +138,13 @@ def forecast_recursive(
     rmse: float,
     overrides: Mapping[str, float] | None = None,
 ) -> DataFrame:
-    """Forecast that feeds each prediction back as the one-month lag (linear model).
+    """Forecast that feeds each prediction back as the one-month lag.
 
-    A group is one department's last row; the loop over the horizon runs inside its task.
+    A linear model walks each department's horizon inside one task; any other model scores all departments
+    of a step at once, step after step.
     """
+    if not hasattr(model, "coefficients"):
+        return _recursive_steps(features, prep, model, horizon, rmse, overrides)
     names = list(prep.features)
     coef = np.array(model.coefficients, dtype=float)
     intercept = float(model.intercept)
@@ -180,3 +184,22 @@ def forecast_recursive(
     )
     return with_band(walked, rmse, 2)
 
+
+
+def _recursive_steps(
+    features: DataFrame, prep: Prepared, model, horizon: int, rmse: float, overrides: Mapping[str, float] | None
+) -> DataFrame:
+    """One transform per future month; a month's predictions are stored, as the next one joins them."""
+    lag = f"{TARGET}_lag_1m"
+    fixed = {k: F.lit(float(v)) for k, v in (overrides or {}).items() if k in prep.features}
+    first_year = features.agg(F.min("year")).scalar() if "year_trend" in prep.features else None
+    steps = materialize(advance_calendar(future_rows(features, horizon), first_year).withColumns(fixed))
+    out = before = None
+    for step in range(1, horizon + 1):
+        rows = steps.filter(F.col("step") == step)
+        if before is not None and lag in prep.features and lag not in fixed:
+            rows = rows.drop(lag).join(before.select("dept", F.col("prediction").alias(lag)), "dept", "left")
+        scored = model.transform(prep.transform(rows)).select("dept", "date_id", "step", E.non_negative("prediction").alias("prediction"))
+        before = materialize(scored)
+        out = before if out is None else out.unionByName(before)
+    return with_band(out, rmse, 2)

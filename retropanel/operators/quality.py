@@ -129,8 +129,51 @@ def rows_check(at_least: int, severity: str = "error") -> Check:
     return Check("rows", F.count(F.lit(1)).cast("double"), float(at_least), None, severity)
 
 
-def validate(df: DataFrame, source: str, required: Sequence[str], checks: Sequence[Check]) -> DataFrame:
-    """One row per check from one aggregation; missing columns are errors known at plan time."""
+# The columns each source must have, and the bounds of its values.
+REQUIRED = {
+    "weather": ["time", "city", "dept", "temperature_2m_mean"],
+    "economy": ["period"],
+    "industry": ["period", "nace_r2", "ipi_value"],
+    "permits": ["DEP"],
+    "certificates": ["date_etablissement_dpe", "etiquette_dpe"],
+}
+NULL_SHARE_LIMIT = 5.0
+SERIES_WANTED = 3
+SERIES_RANGE = (-200.0, 500.0)
+INDUSTRY_RANGE = (0.0, 300.0)
+PERMIT_ROWS = 100
+
+
+def source_checks(df: DataFrame, source: str) -> tuple[list[str], list[Check], str]:
+    """Required columns, checks and the severity of a missing column for one of the five sources."""
+    required, severity = REQUIRED[source], "error"
+    count = F.count(F.lit(1)).cast("double")
+    if source == "weather":
+        checks = null_share_checks(df, NULL_SHARE_LIMIT)
+    elif source == "economy":
+        series = [c for c in df.columns if c != "period"]
+        checks = [Check("series", F.max(F.lit(float(len(series)))), float(SERIES_WANTED), None, "error")]
+        checks += [Check(f"nulls:{c}", F.count_if(F.col(c).isNull()), None, 0.0) for c in series]
+        checks += range_checks(series, *SERIES_RANGE)
+    elif source == "industry":
+        checks = [Check("codes", F.countDistinct("nace_r2"), 1.0, None, "error"), *range_checks(["ipi_value"], *INDUSTRY_RANGE)]
+    elif source == "permits":
+        checks = [rows_check(PERMIT_ROWS, "warning")]
+        checks += [Check("min:NB_LGT_TOT_CREES", F.min(F.col("NB_LGT_TOT_CREES").cast("double")), 0.0)] if "NB_LGT_TOT_CREES" in df.columns else []
+    else:
+        severity = "warning"
+        valid = E.parse_date("date_etablissement_dpe").isNotNull()
+        checks = [
+            Check("invalid_date_share", F.count_if(~valid) * 100.0 / count, None, NULL_SHARE_LIMIT),
+            Check("labels", F.countDistinct("etiquette_dpe"), 1.0),
+        ]
+    return required, checks, severity
+
+
+def validate(
+    df: DataFrame, source: str, required: Sequence[str], checks: Sequence[Check], missing_severity: str = "error"
+) -> DataFrame:
+    """One row per check from one aggregation; missing columns are known at plan time."""
     lost = E.missing(df, required)
     cells = {
         c.name: F.struct(
@@ -145,7 +188,7 @@ def validate(df: DataFrame, source: str, required: Sequence[str], checks: Sequen
         F.lit(float(len(lost))).alias("value"),
         F.lit(None).cast("double").alias("low"),
         F.lit(0.0).alias("high"),
-        F.lit("error").alias("severity"),
+        F.lit(missing_severity).alias("severity"),
     )
     rows = _rows(df, [], cells, "v")
     broken = (F.col("value") < F.col("low")) | (F.col("value") > F.col("high"))

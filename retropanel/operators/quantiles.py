@@ -14,6 +14,8 @@ from retropanel.session import materialize
 
 #: Rows inside a bracket that are ordered at once.
 FEW_ROWS = 1 << 16
+#: Columns up to which whole-table brackets are aggregates side by side; more of them become rows.
+WIDE_ROW = 16
 
 
 def quantile_name(p: float) -> str:
@@ -35,7 +37,7 @@ def exact_quantiles(
     passes until few rows are left inside; group brackets are ranked over range partitions. So neither a
     column nor a group is sorted in one task, and the result is exact.
     """
-    if by:
+    if by or len(columns) > WIDE_ROW:
         return _grouped_quantiles(df, columns, probs, list(by), accuracy)
     return _table_quantiles(df, columns, probs, accuracy)
 
@@ -200,6 +202,8 @@ def _grouped_quantiles(
         ]
     )
     brackets = sketch.select(*keys, "n", wanted.alias("w"))
+    if not by:
+        brackets = F.broadcast(brackets)  # one row per column
     zone = F.when(F.col("value") < F.col("b.lo"), 0).when(F.col("value") > F.col("b.hi"), 2).otherwise(1)
     tally = (
         long.join(brackets, keys)

@@ -231,6 +231,16 @@ def m20(spark, sf):
     return FC.forecast_recursive(df, prep, model, HORIZON, rmse, {"temp_mean": 5.0})
 
 
+@query("m20_recursive_boosted")
+def m20_boosted(spark, sf):
+    """Boosted trees, the model forecasts use by default."""
+    df = features(spark, sf)
+    prep = PR.prepare(df, TARGET, TRAIN_END, VAL_END)
+    model = TR.fit_boosting(prep.rows)
+    rmse = test_rmse(TR.predictions(model, prep.rows, "boosting"))
+    return FC.forecast_recursive(df, prep, model, HORIZON, rmse)
+
+
 @query(
     "m21_prediction_band",
     f"""WITH p AS ({NAIVE}) SELECT dept, date_id, {he('prediction', 1)} AS prediction, {he('greatest(prediction - CAST(1.96 AS DOUBLE) * 4, 0)', 1)} AS lower, {he('prediction + CAST(1.96 AS DOUBLE) * 4', 1)} AS upper FROM p WHERE prediction IS NOT NULL""",

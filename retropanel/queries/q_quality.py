@@ -181,12 +181,6 @@ def q7(spark, sf):
     return Q.freshness(B.table(spark, sf, "orders"), "o_orderdate", "2001-10-01")
 
 
-def weather_checks(df):
-    return Q.null_share_checks(df.select("time", "temperature_2m_mean")) + Q.range_checks(
-        ["precipitation_sum", "temperature_2m_mean"], -30, 300
-    ) + [Q.rows_check(1000)]
-
-
 @query(
     "q8_validation_checks",
     f"""WITH a AS (SELECT count(*) AS n, 1e2 * count(*) FILTER (WHERE temperature_2m_mean IS NULL) / count(*) AS nt, min(precipitation_sum) AS p0, max(precipitation_sum) AS p1, min(temperature_2m_mean) AS t0, max(temperature_2m_mean) AS t1 FROM v_wx_raw),
@@ -199,10 +193,92 @@ SELECT 'weather' AS source, "check", {he('value', 4)} AS value, low, high, sever
 )
 def q8(spark, sf):
     df = B.wx_raw(spark, sf)
-    out = Q.validate(df, "weather", ["time", "dept", "city", "temperature_2m_mean"], weather_checks(df))
+    checks = Q.null_share_checks(df.select("time", "temperature_2m_mean")) + Q.range_checks(["precipitation_sum", "temperature_2m_mean"], -30, 300) + [Q.rows_check(1000)]
+    out = Q.validate(df, "weather", ["time", "dept", "city", "temperature_2m_mean"], checks)
     return out.withColumn("value", E.half_even("value", 4))
 
 
+def check_sql(source: str, frame: str, checks: list[tuple[str, str, str, str, str]]) -> str:
+    """One SELECT per check (name, aggregate, low, high, severity) over a view."""
+    rows = " UNION ALL ".join(
+        f"SELECT '{n}' AS \"check\", CAST(({v}) AS DOUBLE) AS value, CAST({lo} AS DOUBLE) AS low, CAST({hi} AS DOUBLE) AS high, '{sev}' AS severity FROM {frame}"
+        for n, v, lo, hi, sev in checks
+    )
+    return f"SELECT '{source}' AS source, \"check\", {he('value', 4)} AS value, low, high, severity, CASE WHEN value < low OR value > high THEN severity ELSE 'pass' END AS status FROM ({rows})"
+
+
+def share(column: str) -> tuple[str, str, str, str, str]:
+    return (f"null_share:{column}", f"1e2 * count(*) FILTER (WHERE {column} IS NULL) / count(*)", "NULL", "5", "warning")
+
+
+def source_report(df, source):
+    return Q.validate(df, source, *Q.source_checks(df, source)).withColumn("value", E.half_even("value", 4))
+
+
+WEATHER_COLUMNS = ["time", "dept", "temperature_2m_mean", "temperature_2m_max", "temperature_2m_min", "precipitation_sum", "wind_speed_10m_max"]
+
+
+@query("q8_weather_checks", check_sql("weather", "v_wx_raw", [*map(share, WEATHER_COLUMNS), ("missing_columns", "max(1)", "NULL", "0", "error")]))
+def q8_weather(spark, sf):
+    return source_report(B.wx_raw(spark, sf).select(*WEATHER_COLUMNS), "weather")
+
+
+ORDER_SERIES = {"confiance_menages": "o_totalprice / 2500", "climat_affaires_industrie": "CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice / 2500 END", "opinion_achats_importants": "o_totalprice / 250"}
+
+
+@query(
+    "q8_economy_checks",
+    check_sql(
+        "economy",
+        "(SELECT " + ", ".join(f"{v} AS {c}" for c, v in ORDER_SERIES.items()) + " FROM orders)",
+        [("series", "max(3)", "3", "NULL", "error")]
+        + [(f"nulls:{c}", f"count(*) FILTER (WHERE {c} IS NULL)", "NULL", "0", "warning") for c in ORDER_SERIES]
+        + [x for c in ORDER_SERIES for x in ((f"min:{c}", f"min({c})", "-200", "NULL", "warning"), (f"max:{c}", f"max({c})", "NULL", "500", "warning"))]
+        + [("missing_columns", "max(0)", "NULL", "0", "error")],
+    ),
+)
+def q8_economy(spark, sf):
+    o = B.table(spark, sf, "orders")
+    return source_report(o.select(F.col("o_orderdate").cast("string").alias("period"), *[F.expr(v).alias(c) for c, v in ORDER_SERIES.items()]), "economy")
+
+
+@query(
+    "q8_industry_checks",
+    check_sql(
+        "industry",
+        "(SELECT l_returnflag AS nace_r2, l_extendedprice / 500 AS ipi_value FROM lineitem)",
+        [("codes", "count(DISTINCT nace_r2)", "1", "NULL", "error"), ("min:ipi_value", "min(ipi_value)", "0", "NULL", "warning"), ("max:ipi_value", "max(ipi_value)", "NULL", "300", "warning"), ("missing_columns", "max(0)", "NULL", "0", "error")],
+    ),
+)
+def q8_industry(spark, sf):
+    l = B.table(spark, sf, "lineitem")
+    return source_report(l.select(F.col("l_shipdate").cast("string").alias("period"), F.col("l_returnflag").alias("nace_r2"), (F.col("l_extendedprice") / 500).alias("ipi_value")), "industry")
+
+
+@query(
+    "q8_permit_checks",
+    check_sql(
+        "permits",
+        "(SELECT l_quantity AS q FROM lineitem)",
+        [("rows", "count(*)", "100", "NULL", "warning"), ("min:NB_LGT_TOT_CREES", "min(q)", "0", "NULL", "warning"), ("missing_columns", "max(0)", "NULL", "0", "error")],
+    ),
+)
+def q8_permits(spark, sf):
+    return source_report(B.permit_raw(spark, sf), "permits")
+
+
+@query(
+    "q8_certificate_checks",
+    check_sql(
+        "certificates",
+        "v_cert_raw",
+        [("invalid_date_share", "1e2 * count(*) FILTER (WHERE TRY_CAST(date_etablissement_dpe AS DATE) IS NULL) / count(*)", "NULL", "5", "warning"), ("labels", "count(DISTINCT etiquette_dpe)", "1", "NULL", "warning"), ("missing_columns", "max(0)", "NULL", "0", "warning")],
+    ),
+)
+def q8_certificates(spark, sf):
+    return source_report(B.cert_raw(spark, sf), "certificates")
+
+
 @query("q9_stage_gates", "SELECT 'events' AS source, 'rows' AS \"check\", CAST(count(*) AS DOUBLE) AS value FROM events")
 def q9(spark, sf):
     df = B.table(spark, sf, "events")
@@ -306,7 +382,7 @@ def u1(spark, sf):
     target, mark = scratch_path(spark, "latest"), scratch_path(spark, "marks")
     each = I.upsert_latest(target, ["user_id", "event_type"], ["ts", "event_id"])
     I.run_available(I.file_stream(spark, path, schema, 4), mark, each)
-    return I.latest(spark, target).select("user_id", "event_type", "event_id", "value")
+    return K.read_merged(spark, target).select("user_id", "event_type", "event_id", "value")
 
 
 @query(
@@ -326,8 +402,8 @@ def u2(spark, sf):
             stacked = stacked.unionByName(p)
         return stacked.groupBy("day", "event_type").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
 
-    I.run_available(I.file_stream(spark, path, schema, 4), mark, I.accumulate_counts(target, count, merge))
-    return I.latest(spark, target)
+    I.run_available(I.file_stream(spark, path, schema, 4), mark, I.accumulate_counts(target, count, ["day", "event_type"], merge))
+    return K.read_merged(spark, target)
 
 
 @query(

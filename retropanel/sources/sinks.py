@@ -1,8 +1,8 @@
-"""Writers. A write never replaces the path it reads: it goes to a new path and then swaps."""
+"""Writers. Merges rewrite the touched buckets of a table, in one committed write."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,41 +38,68 @@ def read_by_year(spark: SparkSession, path: str, date: str, first: str, last: st
     )
 
 
-def swap_in(spark: SparkSession, new_path: str, path: str) -> None:
-    """Put a finished output in the place of the old one, keeping that as ``<path>.previous``."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    here, new, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, new_path, path + ".previous"))
-    fs = here.getFileSystem(conf)
-    if fs.exists(here):
-        fs.delete(old, True)
-        fs.rename(here, old)
-    fs.rename(new, here)
+BUCKETS = 16
 
 
-def incremental_save(df: DataFrame, path: str) -> DataFrame:
-    """Append to a table and drop exact duplicates."""
+def merge_buckets(
+    df: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    merge: Callable[[DataFrame | None, DataFrame], DataFrame],
+    batch: int | None = None,
+    buckets: int = BUCKETS,
+) -> None:
+    """Merge a batch into a table laid out by a hash of its keys; only the buckets it touches are rewritten.
+
+    ``merge(current, fresh)`` gets the rows of those buckets (None for a new table) and the batch. Touched
+    partitions are replaced at the commit of one write, so readers see each bucket before or after it. With
+    a ``batch`` number every rewritten bucket is stamped with it, and a bucket that has it already is left
+    alone: a batch that failed half way can be run again. The number of buckets holds for a table's life.
+    """
     spark = df.sparkSession
-    merged = df
+    fresh = df.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    touched = [r["_bucket"] for r in fresh.select("_bucket").distinct().collect()]  # at most ``buckets``
+    current = None
     if path_exists(spark, path):
-        merged = spark.read.parquet(path).unionByName(df, allowMissingColumns=True)
-    write_table(merged.dropDuplicates(), path + ".next")
-    swap_in(spark, path + ".next", path)
-    return spark.read.parquet(path)
+        current = spark.read.parquet(path).filter(F.col("_bucket").isin(touched))
+        if batch is not None:
+            done = current.groupBy("_bucket").agg(F.max("_batch").alias("b")).filter(F.col("b") >= batch).collect()
+            done = [r["_bucket"] for r in done]
+            current, fresh = (x.filter(~F.col("_bucket").isin(done)) for x in (current, fresh))
+        current = current.drop("_bucket", "_batch")
+    merged = merge(current, fresh.drop("_bucket"))
+    merged = merged.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    if batch is not None:
+        merged = merged.withColumn("_batch", F.lit(batch))
+    merged.repartition("_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").parquet(path)
+
+
+def read_merged(spark: SparkSession, path: str) -> DataFrame | None:
+    """The rows of a table kept by ``merge_buckets``, or None before its first batch."""
+    return spark.read.parquet(path).drop("_bucket", "_batch") if path_exists(spark, path) else None
+
+
+def incremental_save(df: DataFrame, path: str) -> DataFrame:
+    """Append to a table and drop exact duplicates."""
+
+    def merge(current: DataFrame | None, fresh: DataFrame) -> DataFrame:
+        return (fresh if current is None else current.unionByName(fresh, allowMissingColumns=True)).dropDuplicates()
+
+    merge_buckets(df, path, df.columns, merge)
+    return read_merged(df.sparkSession, path)
 
 
 def keyed_upsert(
     df: DataFrame, path: str, keys: Sequence[str], batch: int, order: Sequence[str] = ()
 ) -> DataFrame:
     """Merge a batch into a table, the latest batch winning on the key."""
-    spark = df.sparkSession
-    stamped = df.withColumn("batch_no", F.lit(batch))
-    merged = stamped
-    if path_exists(spark, path):
-        merged = spark.read.parquet(path).unionByName(stamped, allowMissingColumns=True)
-    write_table(keep_last(merged, keys, ["batch_no", *order]), path + ".next")
-    swap_in(spark, path + ".next", path)
-    return spark.read.parquet(path)
+
+    def merge(current: DataFrame | None, fresh: DataFrame) -> DataFrame:
+        rows = fresh if current is None else current.unionByName(fresh, allowMissingColumns=True)
+        return keep_last(rows, keys, ["batch_no", *order])
+
+    merge_buckets(df.withColumn("batch_no", F.lit(batch)), path, keys, merge)
+    return read_merged(df.sparkSession, path)
 
 
 def load_frame(df: DataFrame, path: str, if_exists: str = "append") -> int:

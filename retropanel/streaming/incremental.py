@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from retropanel.operators.aggregates import merge_counts
 from retropanel.operators.dedup import keep_last
-from retropanel.sources.readers import path_exists
+from retropanel.sources.sinks import merge_buckets
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
@@ -39,53 +39,28 @@ def run_available(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame,
     return len(done)
 
 
-def versions(spark: SparkSession, table: str) -> list[int]:
-    """Finished versions of a table kept as ``<table>/v=<batch>`` folders, oldest first."""
-    if not path_exists(spark, table):
-        return []
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(table)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = []
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
-        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
-            found.append(int(name[2:]))
-    return sorted(found)
-
-
-def latest(spark: SparkSession, table: str, before: int | None = None) -> DataFrame | None:
-    done = [v for v in versions(spark, table) if before is None or v < before]
-    return spark.read.parquet(f"{table}/v={done[-1]}") if done else None
-
-
 def upsert_latest(table: str, keys: Sequence[str], order: Sequence[str]) -> Callable[[DataFrame, int], None]:
-    """Batch writer keeping the last row per key.
+    """Batch writer keeping the last row per key; a batch rewrites the buckets of its keys only."""
 
-    Every batch writes its own version from the one before it, so a replayed batch writes the same
-    content again and a failed one leaves the earlier version in place.
-    """
+    def merge(current: DataFrame | None, fresh: DataFrame) -> DataFrame:
+        return keep_last(fresh if current is None else current.unionByName(fresh), keys, order)
 
-    def each(batch: DataFrame, number: int) -> None:
-        current = latest(batch.sparkSession, table, number)
-        rows = batch if current is None else current.unionByName(batch)
-        keep_last(rows, keys, order).write.mode("overwrite").parquet(f"{table}/v={number}")
-
-    return each
+    return lambda batch, number: merge_buckets(batch, table, keys, merge, number)
 
 
 def accumulate_counts(
-    table: str, count: Callable[[DataFrame], DataFrame], merge: Callable[[list[DataFrame]], DataFrame] = merge_counts
+    table: str,
+    count: Callable[[DataFrame], DataFrame],
+    keys: Sequence[str],
+    merge: Callable[[list[DataFrame]], DataFrame] = merge_counts,
 ) -> Callable[[DataFrame, int], None]:
-    """Batch writer keeping period counts current: counts of the batch added to the stored ones."""
+    """Batch writer keeping period counts (one row for ``keys``) current: counts of the batch added to the
+    stored ones. A replayed batch adds nothing to buckets that have it."""
 
-    def each(batch: DataFrame, number: int) -> None:
-        current = latest(batch.sparkSession, table, number)
-        fresh = count(batch)
-        parts = [fresh] if current is None else [current, fresh]
-        merge(parts).write.mode("overwrite").parquet(f"{table}/v={number}")
+    def added(current: DataFrame | None, fresh: DataFrame) -> DataFrame:
+        return merge([fresh] if current is None else [current, fresh])
 
-    return each
+    return lambda batch, number: merge_buckets(count(batch), table, keys, added, number)
 
 
 def daily_windows(events: DataFrame, ts: str, keys: Sequence[str], value: str, delay: str = "1 day") -> DataFrame:
