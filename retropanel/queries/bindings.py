@@ -30,14 +30,22 @@ CERT_ORDER = ("date_etablissement_dpe", "numero_dpe")
 WX_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
 
 
-_HANDLES: dict[tuple[SparkSession, str], DataFrame] = {}
+_HANDLES: dict[tuple[SparkSession, str, str], DataFrame] = {}
+
+
+def state(spark: SparkSession, path: str) -> str:
+    """Names, sizes and times of a table's files: what a kept handle or stage is good for."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return ";".join(f"{f.getPath().getName()},{f.getLen()},{f.getModificationTime()}" for f in fs.listStatus(target))
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """Lazy handle of a given table; the footer is read once per session."""
-    key = (spark, f"{sf}/{name}.parquet")
+    """Lazy handle of a given table; the footer is read again once its files have changed."""
+    path = f"{sf}/{name}.parquet"
+    key = (spark, path, state(spark, path))
     if key not in _HANDLES:
-        _HANDLES[key] = spark.read.parquet(key[1])
+        _HANDLES[key] = spark.read.parquet(path)
     return _HANDLES[key]
 
 
@@ -197,11 +205,12 @@ def panel(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _STORED: dict[tuple[SparkSession, str, str], tuple[str, DataFrame]] = {}
+PANEL_TABLES = ("orders", "customer", "lineitem", "supplier")
 
 
 def _stored(spark: SparkSession, sf: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """A stage table of this session: written on first use, as a run of the chain writes it."""
-    key = (spark, sf, name)
+    """A stage table of this session, as a run of the chain writes it: built again once an input changes."""
+    key = (spark, name, ";".join(f"{sf}/{t}:{state(spark, f'{sf}/{t}.parquet')}" for t in PANEL_TABLES))
     if key not in _STORED or not path_exists(spark, _STORED[key][0]):
         df = materialize(build())
         _STORED[key] = (df.inputFiles()[0].rsplit("/", 1)[0], df)

@@ -267,6 +267,71 @@ def s13(spark, sf):
     return G.synthetic_weather(places.withColumn("_s", span), F.col("_s.a"), F.col("_s.b"))
 
 
+MONTHS = "(SELECT CAST(unnest(generate_series(date_trunc('month', min(o_orderdate)), max(o_orderdate), INTERVAL 1 MONTH)) AS DATE) AS d FROM orders)"
+PLACES = f"(SELECT DISTINCT CAST(c_nationkey + 1 AS BIGINT) AS place, {pad('c_nationkey + 1')} AS dept FROM customer)"
+
+
+def order_months(spark, sf):
+    span = B.table(spark, sf, "orders").agg(F.trunc(F.min("o_orderdate"), "month").alias("a"), F.max("o_orderdate").cast("date").alias("b"))
+    return span.select(F.explode(F.sequence("a", "b", F.expr("interval 1 month"))).alias("month_start"))
+
+
+def customer_places(spark, sf):
+    return B.table(spark, sf, "customer").select((F.col("c_nationkey") + 1).cast("bigint").alias("place")).distinct().withColumn("dept", E.pad_code("place"))
+
+
+def economy_sql() -> str:
+    cells = []
+    for salt, (name, (level, spread, bounded)) in enumerate(G.ECONOMY_SERIES.items(), 21):
+        value = f"{level} + ({noise(salt)} - 0.5) * {2 * spread}"
+        cells.append(f"{he(f'greatest(70.0, least(130.0, {value}))' if bounded else value, 1)} AS {name}")
+    return f"SELECT strftime(d, '%Y-%m') AS period, {', '.join(cells)} FROM (SELECT d, CAST(0 AS BIGINT) AS place FROM {MONTHS})"
+
+
+@query("s13_synthetic_economy", economy_sql())
+def s13_economy(spark, sf):
+    return G.synthetic_economy(order_months(spark, sf))
+
+
+@query(
+    "s13_synthetic_industry",
+    f"""WITH c AS (SELECT * FROM (VALUES {', '.join(f"('{c}', {v}, CAST({i} AS BIGINT))" for i, (c, v) in enumerate(G.INDUSTRY_LEVELS.items(), 1))}) t(nace_r2, level, place))
+SELECT strftime(d, '%Y-%m') AS period, nace_r2, 'FR' AS geo, {he(f'level + ({noise(31)} - 0.5) * 32.0', 1)} AS ipi_value, 'I21' AS unit, 'SCA' AS s_adj FROM {MONTHS} CROSS JOIN c""",
+)
+def s13_industry(spark, sf):
+    return G.synthetic_industry(order_months(spark, sf))
+
+
+AT_START = noise(41).replace("datediff('day', DATE '1990-01-01', d)", "0")
+
+
+@query(
+    "s13_synthetic_permits",
+    f"""WITH r AS (SELECT d, dept, place, CAST(greatest(1, floor((50.0 + {AT_START} * 450.0) * (1.0 + 0.3 * sin(2 * pi() * (month(d) - 3) / 12.0)) * (0.9 + {noise(42)} * 0.2))) AS BIGINT) AS n FROM {PLACES} CROSS JOIN {MONTHS})
+SELECT dept AS "DEP", strftime(d, '%Y-%m') AS "DATE_PRISE_EN_COMPTE", n AS "NB_LGT_TOT_CREES", CAST(floor(n * CAST(0.4 AS DOUBLE)) AS BIGINT) AS "NB_LGT_IND_CREES", CAST(floor(n * CAST(0.6 AS DOUBLE)) AS BIGINT) AS "NB_LGT_COLL_CREES", CAST(floor(n * (60.0 + {noise(43)} * 40.0)) AS BIGINT) AS "SURF_TOT_M2" FROM r""",
+)
+def s13_permits(spark, sf):
+    return G.synthetic_permits(customer_places(spark, sf), order_months(spark, sf))
+
+
+def drawn(salt: int) -> str:
+    return noise(salt).replace("place", "(place * 64 + k)")
+
+
+@query(
+    "s13_synthetic_certificates",
+    f"""WITH r AS (SELECT dept, place, d, k FROM {PLACES} CROSS JOIN (SELECT CAST(unnest(generate_series(min(o_orderdate), max(o_orderdate), INTERVAL 1 DAY)) AS DATE) AS d FROM orders) CROSS JOIN (SELECT CAST(unnest(generate_series(1, 2)) AS BIGINT) AS k))
+SELECT 'DPE-' || dept || '-' || strftime(d, '%Y%m%d') || '-' || k AS numero_dpe, d AS date_etablissement_dpe, dept AS code_departement_ban,
+  (['A','B','C','D','E','F','G'])[CAST(floor({drawn(11)} * 7) AS INTEGER) + 1] AS etiquette_dpe,
+  (['PAC air/eau','PAC air/air','Chaudiere gaz','Chaudiere fioul','Radiateur electrique','Poele bois'])[CAST(floor({drawn(12)} * 6) AS INTEGER) + 1] AS type_generateur_chauffage_principal,
+  (['','','Climatisation','PAC reversible'])[CAST(floor({drawn(13)} * 4) AS INTEGER) + 1] AS type_generateur_froid,
+  {he(f'15.0 + {drawn(14)} * 150.0', 1)} AS surface_habitable_logement FROM r""",
+)
+def s13_certificates(spark, sf):
+    span = B.table(spark, sf, "orders").agg(F.struct(F.min("o_orderdate").cast("date").alias("a"), F.max("o_orderdate").cast("date").alias("b"))).scalar()
+    return G.synthetic_certificates(customer_places(spark, sf).withColumn("_s", span), F.col("_s.a"), F.col("_s.b"), 2)
+
+
 SAMPLED = {"region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey", "orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id", "documents": "doc_id", "embeddings": "vec_id", "pages": "page_id", "benchmark": "item_id", "labels": "doc_id", "conversations": "conv_id"}
 
 

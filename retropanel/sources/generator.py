@@ -80,3 +80,68 @@ def synthetic_certificates(places: DataFrame, first: Column, last: Column, per_d
         ),
         half_even(15.0 + draw(14) * 150.0, 1).alias("surface_habitable_logement"),
     )
+
+
+def _month_noise(month: Column, place: Column | int, salt: int, spread: float) -> Column:
+    """A number in [-spread, spread) for a month."""
+    place = F.lit(place).cast("bigint") if isinstance(place, int) else place
+    return (noise(month, place, salt) - 0.5) * (2.0 * spread)
+
+
+# Level and spread of each national series, and whether it stays between 70 and 130.
+ECONOMY_SERIES = {
+    "confiance_menages": (100.0, 12.0, True),
+    "climat_affaires_industrie": (100.0, 16.0, True),
+    "climat_affaires_batiment": (95.0, 12.0, True),
+    "opinion_achats_importants": (-15.0, 16.0, False),
+    "situation_financiere_future": (-5.0, 10.0, False),
+    "ipi_industrie_manuf": (100.0, 10.0, True),
+}
+# Level of each industry code.
+INDUSTRY_LEVELS = {"C25": 105.0, "C28": 98.0, "C2825": 92.0}
+
+
+def synthetic_economy(months: DataFrame) -> DataFrame:
+    """One row per month (``month_start``) with the national series."""
+    m = F.col("month_start")
+    series = []
+    for salt, (name, (level, spread, bounded)) in enumerate(ECONOMY_SERIES.items(), 21):
+        value = F.lit(level) + _month_noise(m, 0, salt, spread)
+        if bounded:
+            value = F.greatest(F.lit(70.0), F.least(F.lit(130.0), value))
+        series.append(half_even(value, 1).alias(name))
+    return months.select(F.date_format(m, "yyyy-MM").alias("period"), *series)
+
+
+def synthetic_industry(months: DataFrame) -> DataFrame:
+    """One row per month and industry code."""
+    m = F.col("month_start")
+    codes = F.array(*[F.struct(F.lit(c).alias("nace_r2"), F.lit(v).alias("level"), F.lit(i).cast("bigint").alias("k")) for i, (c, v) in enumerate(INDUSTRY_LEVELS.items(), 1)])
+    rows = months.select("month_start", F.inline(codes))
+    return rows.select(
+        F.date_format(m, "yyyy-MM").alias("period"),
+        "nace_r2",
+        F.lit("FR").alias("geo"),
+        half_even(F.col("level") + _month_noise(m, F.col("k"), 31, 16.0), 1).alias("ipi_value"),
+        F.lit("I21").alias("unit"),
+        F.lit("SCA").alias("s_adj"),
+    )
+
+
+def synthetic_permits(places: DataFrame, months: DataFrame) -> DataFrame:
+    """Permits of each place (``dept``, ``place``) and month: a rate of its own times a yearly wave."""
+    m, place = F.col("month_start"), F.col("place")
+    first = F.lit("1990-01-01").cast("date")
+    span = months.agg(F.sort_array(F.collect_set("month_start")).alias("months")).scalar()  # the calendar
+    rows = places.select("dept", "place", F.explode(span).alias("month_start"))
+    base = 50.0 + noise(first, place, 41) * 450.0
+    wave = 1.0 + 0.3 * F.sin(F.lit(2 * math.pi) * (F.month(m) - 3) / 12.0)
+    n = F.greatest(F.lit(1), F.floor(base * wave * (0.9 + noise(m, place, 42) * 0.2)).cast("bigint"))
+    return rows.withColumn("_n", n).select(
+        F.col("dept").alias("DEP"),
+        F.date_format(m, "yyyy-MM").alias("DATE_PRISE_EN_COMPTE"),
+        F.col("_n").alias("NB_LGT_TOT_CREES"),
+        F.floor(F.col("_n") * 0.4).alias("NB_LGT_IND_CREES"),
+        F.floor(F.col("_n") * 0.6).alias("NB_LGT_COLL_CREES"),
+        F.floor(F.col("_n") * (60.0 + noise(m, place, 43) * 40.0)).alias("SURF_TOT_M2"),
+    )
