@@ -142,6 +142,20 @@ def c1(spark, sf):
     return E.round_doubles(T.correlation_pairs(B.table(spark, sf, "lineitem"), LINE), 6)
 
 
+# forty columns of line items, some with gaps
+WIDE = {f"x{k:02d}": f"CASE WHEN l_linenumber % {k + 2} <> 0 THEN (l_partkey * {k} + l_suppkey) % {97 + k} + l_quantity END" for k in range(1, 41)}
+
+
+@query(
+    "c1_wide_correlation",
+    f"WITH w AS (SELECT {', '.join(f'CAST({v} AS DOUBLE) AS {c}' for c, v in WIDE.items())} FROM lineitem), c AS (SELECT {', '.join(f'corr({a}, {b}) AS {a}_{b}' for a, b in combinations(WIDE, 2))} FROM w) "
+    + f"SELECT a, b, {he('r', 6)} AS r FROM (" + " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, {a}_{b} AS r FROM c" for a, b in combinations(WIDE, 2)) + ")",
+)
+def c1_wide(spark, sf):
+    wide = B.table(spark, sf, "lineitem").select(*[F.expr(v).cast("double").alias(c) for c, v in WIDE.items()])
+    return E.round_doubles(T.correlation_pairs(wide, list(WIDE)), 6)
+
+
 WITH_TARGET = ["nb_dpe_total", "nb_installations_clim", "temp_mean", "hdd_sum", "confiance_menages", "nb_logements_autorises", "altitude_mean"]
 
 
