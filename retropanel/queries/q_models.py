@@ -80,6 +80,50 @@ def m6(spark, sf):
     return TR.predictions(TR.fit_ridge(prep.rows.filter("split = 'train'"), 1.0), prep.rows, "ridge")
 
 
+METRICS = ", ".join(
+    f"{he(x, 5)} AS {n}"
+    for n, x in {
+        "rmse": "sqrt(avg((label - prediction) ** 2))",
+        "mae": "avg(abs(label - prediction))",
+        "mape": "1e2 * avg(abs((label - prediction) / nullif(label, 0)))",
+        "r2": "1 - sum((label - prediction) ** 2) / (var_pop(label) * count(*))",
+    }.items()
+)
+
+ALPHA = 10.0
+
+
+@query(
+    "m6_ridge_one_feature",
+    f"""WITH r AS (SELECT date_id, dept, {SPLIT} AS split, CAST(nb_dpe_total AS DOUBLE) AS x, CAST(nb_installations_pac AS DOUBLE) AS y FROM v_facts),
+t AS (SELECT avg(x) AS mx, avg(y) AS my, regr_sxy(y, x) / (regr_sxx(y, x) + {ALPHA}) AS slope FROM r WHERE split = 'train')
+SELECT date_id, dept, split, y AS label, {he('greatest(my + slope * (x - mx), 0)', 6)} AS prediction FROM r, t""",
+)
+def m6_one(spark, sf):
+    return E.round_doubles(ridge_on_one(spark, sf), 6)
+
+
+def ridge_on_one(spark, sf):
+    """The regressor on one input, whose solution is a formula."""
+    from pyspark.ml.feature import VectorAssembler
+
+    rows = PR.temporal_split(B.facts(spark, sf), TRAIN_END, VAL_END).withColumn("label", F.col(TARGET).cast("double"))
+    rows = VectorAssembler(inputCols=["nb_dpe_total"], outputCol="features").transform(rows)
+    model = TR.fit_ridge(rows.filter("split = 'train'"), ALPHA)
+    return TR.predictions(model, rows, "ridge").drop("model")
+
+
+@query(
+    "m18_overfitting_one_feature",
+    f"""WITH r AS (SELECT {SPLIT} AS split, CAST(nb_dpe_total AS DOUBLE) AS x, CAST(nb_installations_pac AS DOUBLE) AS y FROM v_facts),
+t AS (SELECT avg(x) AS mx, avg(y) AS my, regr_sxy(y, x) / (regr_sxx(y, x) + {ALPHA}) AS slope FROM r WHERE split = 'train'),
+p AS (SELECT split, y AS label, greatest(my + slope * (x - mx), 0) AS prediction FROM r, t)
+SELECT split, count(*) AS n, {METRICS} FROM p GROUP BY split""",
+)
+def m18_one(spark, sf):
+    return E.round_doubles(M.compute_metrics(ridge_on_one(spark, sf), "label", "prediction", ["split"]), 5)
+
+
 @query("m7_ridge_alpha_scores")
 def m7(spark, sf):
     return TR.ridge_alpha_scores(prepared(spark, sf))
@@ -119,17 +163,6 @@ def m12(spark, sf):
 
 
 NAIVE = f"SELECT dept, date_id, {SPLIT} AS split, CAST(nb_installations_pac AS DOUBLE) AS label, CAST(lag(nb_installations_pac) OVER (PARTITION BY dept ORDER BY date_id) AS DOUBLE) AS prediction FROM v_facts"
-METRICS = ", ".join(
-    f"{he(x, 5)} AS {n}"
-    for n, x in {
-        "rmse": "sqrt(avg((label - prediction) ** 2))",
-        "mae": "avg(abs(label - prediction))",
-        "mape": "1e2 * avg(abs((label - prediction) / nullif(label, 0)))",
-        "r2": "1 - sum((label - prediction) ** 2) / (var_pop(label) * count(*))",
-    }.items()
-)
-
-
 def naive(spark, sf):
     """Last month's count as the prediction."""
     df = PR.temporal_split(B.facts(spark, sf), TRAIN_END, VAL_END)
