@@ -111,9 +111,24 @@ def boosting_grid(prep: Prepared, grid: Sequence[dict], n_folds: int = 3) -> Dat
             featuresCol="raw", labelCol="label", seed=42, **{**BOOSTING, **p}
         ).fit(t)
         score = cross_validate(folded, fit, n_folds).agg(F.avg("rmse")).first()[0]
-        rows.append((int(params["maxDepth"]), float(params["stepSize"]), score))
+        rows.append((int(params["maxDepth"]), float(params["stepSize"]), int(params.get("minInstancesPerNode", BOOSTING["minInstancesPerNode"])), score))
     folded.unpersist()
-    return prep.rows.sparkSession.createDataFrame(rows, "max_depth int, step_size double, rmse double")
+    return prep.rows.sparkSession.createDataFrame(rows, "max_depth int, step_size double, min_leaf int, rmse double")
+
+
+# Depths, leaf sizes and steps of the full grid.
+FULL_GRID = [
+    {"maxDepth": d, "minInstancesPerNode": n, "stepSize": s}
+    for d in (3, 4, 5, 6)
+    for n in (10, 20, 50)
+    for s in (0.01, 0.05, 0.1)
+]
+
+
+def best_parameters(scores: DataFrame) -> dict[str, float]:
+    """The grid's setting with the least error; ties go to the smaller setting."""
+    row = scores.filter(F.col("rmse").isNotNull()).orderBy("rmse", "max_depth", "step_size", "min_leaf").first()
+    return {} if row is None else {"maxDepth": row["max_depth"], "stepSize": row["step_size"], "minInstancesPerNode": row["min_leaf"]}
 
 
 def importance(prep: Prepared, model) -> DataFrame:

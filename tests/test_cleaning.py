@@ -130,3 +130,17 @@ def test_breaks_and_fills(spark):
     gappy = spark.createDataFrame([("a", 0, None), ("a", 1, 4.0), ("a", 2, None), ("b", 0, None)], "c string, i int, v double")
     got = {(r["c"], r["i"]): r["v"] for r in G.fill_both_ways(gappy, "v", ["c"], "i", F.lit(9.0)).collect()}
     assert got == {("a", 0): 4.0, ("a", 1): 4.0, ("a", 2): 4.0, ("b", 0): 9.0}
+
+
+def test_encoding_is_decided_by_file_and_whole_content(spark, tmp_path):
+    from retropanel.sources.readers import read_csv_any, sniff_csv
+
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    (folder / "a.csv").write_bytes("DEP;LIB;N\n01;Créteil;3\n".encode("latin-1"))
+    (folder / "b.csv").write_bytes("DEP;LIB;N\n02;Évry œ;4\n".encode("utf-8"))
+    (folder / "c.csv").write_bytes(b"DEP,LIB,N\n03,plain,5\n")
+    kinds = {r["file"][-5:]: (r["sep"], r["encoding"]) for r in sniff_csv(spark, str(folder)).collect()}
+    assert kinds == {"a.csv": (";", "ISO-8859-1"), "b.csv": (";", "UTF-8"), "c.csv": (",", "UTF-8")}
+    got = sorted(map(tuple, read_csv_any(spark, str(folder), ["DEP", "LIB", "N"]).collect()))
+    assert got == [("01", "Créteil", "3"), ("02", "Évry œ", "4"), ("03", "plain", "5")]

@@ -211,3 +211,46 @@ def test_fingerprint_ignores_order_and_sees_changes(spark):
     a = spark.range(100).withColumn("v", F.col("id") * 2)
     mark = lambda df: Q.stage_record("s", a, df).first()["fingerprint"]
     assert mark(a) == mark(a.orderBy(F.desc("id"))) != mark(a.withColumn("v", F.col("id")))
+
+
+def test_brackets_are_narrowed_until_few_rows_are_inside(spark, monkeypatch):
+    from retropanel.operators import quantiles as Q
+
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.normal(size=40_000), np.full(10_000, 0.25), [np.nan]])
+    y = np.round(rng.normal(size=len(x)), 1)
+    df = spark.createDataFrame(pd.DataFrame({"x": x, "y": y})).replace(float("nan"), None)
+    seen = []
+    narrow = Q._narrow
+    monkeypatch.setattr(Q, "FEW_ROWS", 20)
+    monkeypatch.setattr(Q, "_narrow", lambda w, b, a: (narrow(w, b, a), seen.extend(b))[0])
+    got = {r["column"]: r for r in exact_quantiles(df, ["x", "y"], (0.1, 0.5, 0.9), accuracy=100).collect()}
+    for name, values in (("x", x[~np.isnan(x)]), ("y", y)):
+        assert [got[name][q] for q in ("q10", "q50", "q90")] == pytest.approx(np.quantile(values, [0.1, 0.5, 0.9]).tolist(), abs=1e-12)
+    # a bracket is small, or one or two values fill it
+    assert all(b.inside <= 20 or b.lo == b.hi or b.column == "y" for b in seen)
+
+
+def test_many_columns_are_ranked_as_rows(spark):
+    rng = np.random.default_rng(9)
+    pdf = pd.DataFrame({f"c{i:02d}": rng.normal(size=3000).round(i % 4) for i in range(20)})
+    plan = exact_quantiles(spark.createDataFrame(pdf), list(pdf), (0.25, 0.75))
+    got = {r["column"]: (r["q25"], r["q75"]) for r in plan.collect()}
+    for c in pdf:
+        assert got[c] == pytest.approx(tuple(np.quantile(pdf[c], [0.25, 0.75])), abs=1e-12)
+
+
+def test_wide_matrix_equals_pairs(spark):
+    from retropanel.operators import stats as T
+
+    rng = np.random.default_rng(10)
+    pdf = pd.DataFrame({f"c{i:02d}": rng.normal(1e6 * i, 1 + i, 800) for i in range(14)})
+    pdf["c03"] = 5.0
+    pdf.loc[rng.random(800) < 0.3, "c05"] = np.nan
+    pdf["c06"] = pdf["c02"] * 2 + rng.normal(size=800) * 0.1
+    df = spark.createDataFrame(pdf).replace(float("nan"), None)
+    got = {(r["a"], r["b"]): r["r"] for r in T.correlation_pairs(df, list(pdf)).collect()}
+    want = pdf.corr()
+    assert len(got) == 14 * 13 // 2
+    for (a, b), r in got.items():
+        assert r is None if "c03" in (a, b) else r == pytest.approx(want.loc[a, b], abs=1e-9)
