@@ -12,13 +12,21 @@ from retropanel.llm import exact_knn, host_rules, language_id, lexicon, line_ded
 from retropanel.llm.common import table, vocabulary
 from retropanel.session import scratch_path
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[fn.__name__] = fn
-    return fn
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Register a query under its function's name, with the SQL for its rows where SQL can express it."""
+
+    def register(fn: Query) -> Query:
+        QUERIES[fn.__name__] = fn
+        if sql is not None:
+            ORACLES[fn.__name__] = sql
+        return fn
+
+    return register
 
 
 def tokenizer(name: str) -> str:
@@ -30,12 +38,24 @@ def check_sum(modulus: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % modulus
 
 
-@query
+TOP_K_SQL = """
+WITH e AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, e.vec_id, CAST(list_inner_product(q.v, e.v) AS BIGINT) AS score
+  FROM e AS q JOIN e ON q.vec_id <> e.vec_id AND len(q.v) = len(e.v) WHERE q.vec_id % 50 = 0
+), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM s)
+SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM r WHERE r <= 5
+"""
+
+
+@query(TOP_K_SQL)
 def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_knn.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
-@query
+@query()
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     models = language_id.fit(docs.filter(check_sum(4) != 2))
@@ -43,25 +63,67 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", (check_sum(4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
 
 
-@query
+QUALITY_SQL = r"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
+w AS (
+  SELECT doc_id, unnest(words) AS w, generate_subscripts(words, 1) AS i
+  FROM (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM d)
+), v AS (SELECT *, lead(w, 1) OVER t AS b, lead(w, 2) OVER t AS c FROM w WINDOW t AS (PARTITION BY doc_id ORDER BY i)),
+f AS (SELECT *, c IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, w, b, c) > 1 AS twice FROM v),
+g AS (SELECT *, twice OR lag(twice, 1, false) OVER t OR lag(twice, 2, false) OVER t AS inside FROM f WINDOW t AS (PARTITION BY doc_id ORDER BY i)),
+n AS (SELECT doc_id, count(*) AS n_words, sum(length(w)) AS word_chars, count_if(inside) AS n_repeat_words FROM g GROUP BY doc_id),
+l AS (
+  SELECT doc_id, line, row_number() OVER (PARTITION BY doc_id, line) AS k
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), u AS (SELECT doc_id, count_if(k > 1) AS n_dup_lines FROM l GROUP BY doc_id),
+m AS (
+  SELECT d.doc_id, source, CAST(coalesce(n_words, 0) AS BIGINT) AS n_words, CAST(coalesce(word_chars, 0) AS BIGINT) AS word_chars,
+    CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words
+  FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN u ON d.doc_id = u.doc_id
+), b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m),
+h AS (SELECT source, count(*) AS n, count_if(base_failed) AS x FROM b WHERE source IS NOT NULL GROUP BY source),
+a AS (SELECT sum(x) / sum(n) AS mean, sum(CAST(x * x AS DOUBLE) / n) / sum(n) AS squares, (count(*) - 1) / sum(n) AS chance FROM h),
+p AS (SELECT mean, CASE WHEN squares - mean * mean - chance * mean * (1 - mean) > 0
+  THEN least(greatest(mean * (1 - mean) / (squares - mean * mean - chance * mean * (1 - mean)) - 1, 1), 1e6) ELSE 1e6 END AS weight FROM a)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND coalesce((h.x + mean * weight) / (h.n + weight), 0) <= 0.5 AS kept
+FROM b LEFT JOIN h ON b.source = h.source CROSS JOIN p
+"""
+
+
+@query(QUALITY_SQL)
 def op3_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return host_rules.quality_verdicts(table(spark, sf_dir, "documents"))
+    return host_rules.quality_verdicts(table(spark, sf_dir, "documents")).drop("host_rate")
 
 
-@query
+@query()
 def op4_simple8b_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     token_files.write(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), path)
     return token_files.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-@query
+LINES_SQL = """
+WITH l AS (
+  SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents)
+), k AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l
+), o AS (SELECT *, length(key) >= 10 AND min(doc_id) OVER (PARTITION BY key) < doc_id AS gone FROM k)
+SELECT doc_id, count(*) AS n_lines, count_if(gone)::BIGINT AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM o GROUP BY doc_id
+"""
+
+
+@query(LINES_SQL)
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
-@query
+@query()
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels").filter(check_sum(5) != 0))
@@ -69,23 +131,23 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", (check_sum(5) == 0).alias("held_out"), "score", "predicted")
 
 
-@query
+@query()
 def op7_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-@query
+@query()
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.cut(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
     return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
 
 
-@query
+@query()
 def op9_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexicon.encode_decode(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), digests=True)
 
 
-@query
+@query()
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
