@@ -221,24 +221,28 @@ def alerts(metrics: DataFrame, rules: DataFrame) -> DataFrame:
     )
 
 
-def uniqueness_violations(df: DataFrame, keys: Sequence[str]) -> Column:
-    n = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return n.agg(F.count(F.lit(1))).scalar()
-
-
-def orphan_rows(df: DataFrame, dim: DataFrame, keys: Sequence[str]) -> Column:
-    return df.join(dim.select(*keys), list(keys), "left_anti").agg(F.count(F.lit(1))).scalar()
-
-
-def failing_rows(df: DataFrame, predicate: Column) -> Column:
-    return df.agg(F.count_if(~F.coalesce(predicate, F.lit(False)))).scalar()
-
-
-def constraint_report(df: DataFrame, violations: Mapping[str, Column]) -> DataFrame:
-    """One row per constraint with its number of violations."""
-    base = df.sparkSession.range(1)
-    entries = [F.struct(F.lit(n).alias("constraint"), c.cast("bigint").alias("violations")) for n, c in violations.items()]
-    return base.select(F.inline(F.array(*entries)))
+def constraint_report(
+    df: DataFrame,
+    unique: tuple[str, Sequence[str]],
+    references: Mapping[str, tuple[DataFrame, str]],
+    predicates: Mapping[str, Column],
+) -> DataFrame:
+    """One row per constraint with its number of violations, from one pass over the rows.
+
+    Row predicates are counted while the rows are summed up to the unique key (a name and its columns);
+    references (a dimension and a column of that key) are looked up at the key's grain.
+    """
+    name, keys = unique
+    rows = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.count_if(~F.coalesce(p, F.lit(False))).alias(f"p{i}") for i, p in enumerate(predicates.values())],
+    )
+    for i, (dim, key) in enumerate(references.values()):
+        rows = rows.join(dim.select(F.col(key).alias(f"k{i}")).distinct(), F.col(key) == F.col(f"k{i}"), "left")
+    counts = {name: F.count_if(F.col("n") > 1)}
+    counts |= {c: F.sum(F.when(F.col(f"k{i}").isNull(), F.col("n")).otherwise(0)) for i, c in enumerate(references)}
+    counts |= {c: F.sum(f"p{i}") for i, c in enumerate(predicates)}
+    return _rows(rows, [], {c: F.coalesce(v, F.lit(0)).cast("bigint") for c, v in counts.items()}, "violations").withColumnRenamed("name", "constraint")
 
 
 def stage_record(stage: str, before: DataFrame, after: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retropanel import settings as S
@@ -111,13 +111,21 @@ def wx(spark: SparkSession, sf: str) -> DataFrame:
     return C.clean_weather(wx_raw(spark, sf), WX_ORDER).drop(*WX_ORDER, "year", "month")
 
 
-def _eco(orders: DataFrame, period, batch: int) -> DataFrame:
+def _quarter(day: str) -> Column:
+    return F.concat(F.year(day).cast("string"), F.lit("Q"), F.quarter(day).cast("string"))
+
+
+def eco_raw(spark: SparkSession, sf: str) -> DataFrame:
+    """Monthly series, a second batch of them from open orders, and quarterly ones: one scan of the orders."""
     v = F.floor("o_totalprice").cast("double")
     m = F.month("o_orderdate")
     on = lambda cond: F.avg(F.when(cond, v))
     prio = F.col("o_orderpriority")
-    return orders.groupBy(period.alias("period")).agg(
-        F.lit(batch).alias("batch_no"),
+    month = F.date_format("o_orderdate", "yyyy-MM")
+    key = lambda period, batch: F.struct(period.alias("period"), F.lit(batch).alias("batch_no"))
+    keys = F.array(key(month, 1), F.when(F.col("o_orderstatus") == "O", key(month, 2)), key(_quarter("o_orderdate"), 1))
+    orders = table(spark, sf, "orders").select("o_totalprice", "o_orderdate", "o_orderpriority", F.inline(F.array_compact(keys)))
+    return orders.groupBy("period", "batch_no").agg(
         (F.avg(v) / 2500).alias("confiance_menages"),
         (on(prio == "1-URGENT") / 2500).alias("climat_affaires_industrie"),
         (on(~m.isin(5, 6, 7, 8, 9)) / 2500).alias("climat_affaires_batiment"),
@@ -127,29 +135,15 @@ def _eco(orders: DataFrame, period, batch: int) -> DataFrame:
     )
 
 
-def eco_raw(spark: SparkSession, sf: str) -> DataFrame:
-    o = table(spark, sf, "orders")
-    month = F.date_format("o_orderdate", "yyyy-MM")
-    quarter = F.concat(F.year("o_orderdate").cast("string"), F.lit("Q"), F.quarter("o_orderdate").cast("string"))
-    return (
-        _eco(o, month, 1)
-        .unionByName(_eco(o.filter("o_orderstatus = 'O'"), month, 2))
-        .unionByName(_eco(o, quarter, 1))
-    )
-
-
 def ind_raw(spark: SparkSession, sf: str) -> DataFrame:
-    l = table(spark, sf, "lineitem")
+    """Monthly and quarterly values of each code from one scan of the line items."""
     flag = F.col("l_returnflag")
     code = F.when(flag == "A", "C25").when(flag == "N", "C28").otherwise("C2825")
     shown = ~((flag == "N") & F.month("l_shipdate").isin(4, 5))
     value = F.avg(F.when(shown, F.floor("l_extendedprice").cast("double"))) / 500
-    month = F.date_format("l_shipdate", "yyyy-MM")
-    quarter = F.concat(F.year("l_shipdate").cast("string"), F.lit("Q"), F.quarter("l_shipdate").cast("string"))
-    one = lambda period: l.groupBy(period.alias("period"), code.alias("nace_r2")).agg(
-        F.lit(1).alias("batch_no"), value.alias("ipi_value")
-    )
-    return one(month).unionByName(one(quarter))
+    periods = F.array(F.date_format("l_shipdate", "yyyy-MM"), _quarter("l_shipdate"))
+    lines = table(spark, sf, "lineitem").select("l_returnflag", "l_shipdate", "l_extendedprice", F.explode(periods).alias("period"))
+    return lines.groupBy("period", code.alias("nace_r2")).agg(F.lit(1).alias("batch_no"), value.alias("ipi_value"))
 
 
 def permit_raw(spark: SparkSession, sf: str) -> DataFrame:

@@ -322,16 +322,12 @@ UNION ALL SELECT 'month_range', count(*) FROM v_wx_raw WHERE NOT month(time) BET
 UNION ALL SELECT 'year_range', count(*) FROM v_wx_raw WHERE NOT year(time) BETWEEN 1996 AND 2030""",
 )
 def q11(spark, sf):
-    df = B.wx_raw(spark, sf)
-    keyed = df.withColumn("dept", E.pad_code("dept"))
+    df = B.wx_raw(spark, sf).withColumn("dept", E.pad_code("dept"))
     return Q.constraint_report(
         df,
-        {
-            "unique_period_entity": Q.uniqueness_violations(df, ["time", "dept"]),
-            "fk_department": Q.orphan_rows(keyed, F.broadcast(geo_dimension(spark)), ["dept"]),
-            "month_range": Q.failing_rows(df, F.month("time").between(1, 12)),
-            "year_range": Q.failing_rows(df, F.year("time").between(1996, 2030)),
-        },
+        ("unique_period_entity", ["time", "dept"]),
+        {"fk_department": (geo_dimension(spark), "dept")},
+        {"month_range": F.month("time").between(1, 12), "year_range": F.year("time").between(1996, 2030)},
     )
 
 
