@@ -24,7 +24,6 @@ from retropanel.session import scratch_path
 
 BATCHES = 4
 FANOUT = 3
-BUCKETS = 64
 SHORTEST = 10
 _LAST = (1 << 63) - 1
 
@@ -75,10 +74,15 @@ def keyed_lines(docs: DataFrame) -> DataFrame:
 
 
 class Runs:
-    """The levels of runs in the shared folder. ``unseen`` anti-joins a batch, ``add`` keeps a run."""
+    """The levels of runs in the shared folder. ``unseen`` anti-joins a batch, ``add`` keeps a run.
 
-    def __init__(self, spark: SparkSession, fanout: int = FANOUT, buckets: int = BUCKETS) -> None:
-        self.spark, self.fanout, self.buckets = spark, fanout, buckets
+    Runs have as many buckets as the session's shuffles have partitions: a task writes one bucket, and an
+    anti-join shuffles the batch only.
+    """
+
+    def __init__(self, spark: SparkSession, fanout: int = FANOUT, buckets: int | None = None) -> None:
+        self.spark, self.fanout = spark, fanout
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[str]] = []
         self.tables: list[str] = []
 
