@@ -43,7 +43,7 @@ def fields(**kinds: str) -> T.StructType:
     return T.StructType.fromDDL(", ".join(f"`{k}` {v}" for k, v in kinds.items()))
 
 
-def with_text_columns(docs: DataFrame, text: str, new: T.StructType, make: Callable[[], Columns], keep: Sequence[str]) -> DataFrame:
+def with_text_columns(docs: DataFrame, text: str, new: T.StructType, make: Callable[[], Columns], keep: Sequence[str], chunk_bytes: int = ragged.CHUNK_BYTES) -> DataFrame:
     """Columns computed from the texts beside the kept input columns, chunk by chunk in Arrow batches.
 
     ``make()`` runs once in each task and gives a function from a chunk to one array per new field. A kept
@@ -59,7 +59,7 @@ def with_text_columns(docs: DataFrame, text: str, new: T.StructType, make: Calla
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = make()
         for batch in batches:
-            for at, chunk in ragged.chunks(ragged.texts(batch.column(at_text))):
+            for at, chunk in ragged.chunks(ragged.texts(batch.column(at_text)), chunk_bytes):
                 n = len(chunk.offsets) - 1
                 made = [pa.array(c, k) for c, k in zip(columns(chunk), kinds)]
                 yield pa.RecordBatch.from_arrays([batch.column(i).slice(at, n) for i in range(len(keep))] + made, [*keep, *new.fieldNames()])
