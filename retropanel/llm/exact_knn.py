@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from retropanel.llm.common import stored
 
-BITS = 4
+BITS = 6
 CELL_BLOCK = 2048
 QUERY_BLOCK = 256
 SALT_BLOCKS = 8
@@ -60,18 +60,13 @@ def marks(file: DataFrame) -> dict[int, np.ndarray]:
 
 
 def to_cells(v: np.ndarray, borders: np.ndarray) -> np.ndarray:
-    """The cell of each component (cell c holds borders[c] <= x < borders[c + 1]), two to a byte."""
-    cell = np.stack([np.clip(np.searchsorted(b[1:-1], v[:, d], "right"), 0, (1 << BITS) - 1) for d, b in enumerate(borders)], 1).astype(np.uint8)
-    if cell.shape[1] % 2:
-        cell = np.concatenate([cell, np.zeros((len(cell), 1), np.uint8)], 1)
-    return cell[:, ::2] | (cell[:, 1::2] << 4)
-
-
-def bounds(queries: np.ndarray, packed: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Lower and upper bounds of every query's score with every packed vector."""
-    dims = len(borders)
-    cell = np.stack([packed & 15, packed >> 4], 2).reshape(len(packed), -1)[:, :dims].astype(np.int64)
-    at = np.arange(dims)
+    """The cell of each component, a byte each: cell c holds borders[c] <= x < borders[c + 1]."""
+    return np.stack([np.searchsorted(b[1:-1], v[:, d], "right") for d, b in enumerate(borders)], 1).astype(np.uint8)
+
+
+def bounds(queries: np.ndarray, cell: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lower and upper bounds of every query's score with every vector, from its cells."""
+    at = np.arange(len(borders))
     low, high = borders[at, cell], borders[at, cell + 1] - 1
     up, down = np.maximum(queries, 0), np.minimum(queries, 0)
     return up @ low.T + down @ high.T, up @ high.T + down @ low.T
@@ -112,8 +107,8 @@ def _scan(pairs: DataFrame, borders: dict[int, np.ndarray], k: int, known: bool)
             for row in batch.to_pylist():
                 dims = row["dims"]
                 queries = np.frombuffer(row["q_body"], "<i8").reshape(-1, dims).astype(np.float64)
-                packed = np.frombuffer(row["body"], np.uint8).reshape(row["n"], -1)
-                low, high = bounds(queries, packed, borders[dims])
+                cell = np.frombuffer(row["body"], np.uint8).reshape(row["n"], dims)
+                low, high = bounds(queries, cell, borders[dims])
                 qid, qh = np.frombuffer(row["q_ids"], "<i8"), np.frombuffer(row["q_hashes"], "<i8")
                 if not known:
                     top = -np.partition(-low, min(k, low.shape[1]) - 1, axis=1)[:, :k]
@@ -174,7 +169,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, vector: str = "embed
     rows = stored(quantised(vectors, vector, vec_id), "vectors")
     file = stored(entries(rows, k + 1), "va-file")
     borders = marks(file)
-    asked = rows.filter(is_query)
+    asked = rows.filter(is_query).distinct()
     # copies of a query vector are searched once, for one result more, as each leaves itself out
     keyed = file.select(F.col("gid.id").alias("qid"), F.col("gid.h").alias("qh"), F.size("v").alias("dims"), "v")
     queries = stored(keyed.join(asked.select("v").distinct(), "v", "left_semi").select("qid", "qh", "dims", "v"), "queries")
