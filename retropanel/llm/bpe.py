@@ -15,6 +15,7 @@ import numpy as np
 import regex
 
 from retropanel.llm import ragged
+from retropanel.llm.common import worker_object
 
 #: The pre-token pattern of byte-level vocabularies, with spaces kept.
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -113,7 +114,7 @@ class UnitEncoder:
     results: when so many units are held, all are forgotten and encoded again as they come.
     """
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], whole: Callable[[str], list[int]], specials: list[bytes], cut: Callable[[ragged.Texts], ragged.Words] = ragged.units, remember: int = 500_000) -> None:
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], whole: Callable[[str], list[int]], specials: list[bytes], cut: Callable[[ragged.Texts], ragged.Words] = ragged.units, remember: int = 400_000) -> None:
         self.encode, self.whole, self.specials, self.cut, self.remember = encode, whole, specials, cut, remember
         self.forget()
 
@@ -179,15 +180,9 @@ class UnitEncoder:
         return ids, np.concatenate([[0], np.cumsum(sizes)])
 
 
-_LOADED: dict[tuple[str, str], object] = {}
-
-
 def once(kind: str, vocabulary: str, make: Callable[[], object]) -> object:
-    """One object of a kind per Python worker and vocabulary."""
-    key = (kind, hashlib.sha256(vocabulary.encode()).hexdigest())
-    if key not in _LOADED:
-        _LOADED[key] = make()
-    return _LOADED[key]
+    """The object of a kind for a vocabulary that this Python worker keeps."""
+    return worker_object(f"{kind} {hashlib.sha256(vocabulary.encode()).hexdigest()}", make)
 
 
 def special_strings(vocabulary: str) -> list[bytes]:

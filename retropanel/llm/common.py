@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import re
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -34,6 +36,31 @@ def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """The same rows; from now on the session hands them to tasks in Arrow batches of about 8 MB at most,
+    however long the texts are. A smaller setting stays."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(re.match(r"\d*", conf.get(name))[0] or 0) <= BATCH_BYTES:
+        conf.set(name, str(BATCH_BYTES))
+    return df
+
+
+_HELD: list[tuple[str, object]] = []
+
+
+def worker_object(key: str, make: Callable[[], object]) -> object:
+    """What a Python worker keeps from task to task: one object, the last one's memory is given back first."""
+    if not _HELD or _HELD[0][0] != key:
+        _HELD.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        _HELD.append((key, make()))
+    return _HELD[0][1]
+
+
 def arrow_type(kind: T.DataType) -> pa.DataType:
     plain = {T.LongType(): pa.int64(), T.IntegerType(): pa.int32(), T.BooleanType(): pa.bool_(), T.DoubleType(): pa.float64(), T.StringType(): pa.string(), T.BinaryType(): pa.binary()}
     return plain[kind]
@@ -64,7 +91,7 @@ def with_text_columns(docs: DataFrame, text: str, new: T.StructType, make: Calla
                 made = [pa.array(c, k) for c, k in zip(columns(chunk), kinds)]
                 yield pa.RecordBatch.from_arrays([batch.column(i).slice(at, n) for i in range(len(keep))] + made, [*keep, *new.fieldNames()])
 
-    return rows.mapInArrow(run, T.StructType([*rows.schema.fields[: len(keep)], *new.fields]))
+    return bounded_batches(rows).mapInArrow(run, T.StructType([*rows.schema.fields[: len(keep)], *new.fields]))
 
 
 def bytes_of(ids: np.ndarray, bounds: np.ndarray) -> list[bytes]:

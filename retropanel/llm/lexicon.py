@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retropanel.llm import bpe, ragged
-from retropanel.llm.common import fields, stored, with_text_columns
+from retropanel.llm.common import bounded_batches, fields, stored, with_text_columns
 
 #: The pre-token pattern of the word-end vocabulary; white space is dropped.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -157,7 +157,7 @@ def frequent_words(docs: DataFrame, text: str = "text", size: int = 65_536) -> l
                 words = [data[a:b] for a, b in zip(starts[short].tolist(), ends[short].tolist())]
                 yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(counts[short])], ["word", "n"])
 
-    counted = stored(rows.mapInArrow(run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n")).filter("n > 1"), "word-counts")
+    counted = stored(bounded_batches(rows).mapInArrow(run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n")).filter("n > 1"), "word-counts")
     # how many words reach each eighth of a power of two: the lowest level that keeps at most ``size`` words
     level = F.floor(F.log2("n") * 8).cast("int")
     levels = sorted(((r["level"], r["n"]) for r in counted.groupBy(level.alias("level")).agg(F.count("*").alias("n")).collect()), reverse=True)

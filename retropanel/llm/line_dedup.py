@@ -9,17 +9,17 @@ earlier batch, so its lines go from every later document.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from retropanel.llm import ragged
-from retropanel.llm.common import fields, stored
+from retropanel.llm.common import bounded_batches, fields, stored
 from retropanel.session import scratch_path
 
 BATCHES = 4
@@ -70,7 +70,7 @@ def keyed_lines(docs: DataFrame) -> DataFrame:
                 own = {(r, k) for r, k in zip(row.tolist(), line_keys(chunk, starts, ends)) if k is not None}
                 yield pa.RecordBatch.from_arrays([pa.array(doc[[at + r for r, _ in own]], pa.int64()) if own else pa.array([], pa.int64()), pa.array([k for _, k in own], pa.binary())], ["doc", "h"])
 
-    return docs.mapInArrow(run, "doc bigint, h binary")
+    return bounded_batches(docs).mapInArrow(run, "doc bigint, h binary")
 
 
 class Runs:
@@ -183,4 +183,4 @@ def drop_repeated_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_
                 columns[at_text] = pa.array([x.decode() for x in kept], pa.string())
                 yield pa.RecordBatch.from_arrays(columns, [*names, "n_lines", "n_dropped"])
 
-    return rows.mapInArrow(run, schema)
+    return bounded_batches(rows).mapInArrow(run, schema)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from retropanel.llm import bpe, ragged
-from retropanel.llm.common import bytes_of, fields, stored
+from retropanel.llm.common import bounded_batches, bytes_of, fields, stored
 
 
 class CapacityTree:
@@ -124,7 +124,7 @@ def cut(docs: DataFrame, vocabulary: str, capacity: int = 2048, end_id: int = 0,
                     ["doc_id", "piece", "start", "length", "ids"],
                 )
 
-    return rows.mapInArrow(run, T.StructType([rows.schema["doc_id"], *made.fields]))
+    return bounded_batches(rows).mapInArrow(run, T.StructType([rows.schema["doc_id"], *made.fields]))
 
 
 def _numbered(pieces: DataFrame, capacity: int) -> DataFrame:

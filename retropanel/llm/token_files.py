@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from retropanel.llm import bpe, ragged
-from retropanel.llm.common import bytes_of, fields
+from retropanel.llm.common import bounded_batches, bytes_of
 
 #: Fixed values of the published format: values a word holds, and bits of each, for selectors 2 to 15.
 PACKS = ((60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60))
@@ -166,7 +166,7 @@ def write(docs: DataFrame, vocabulary: str, path: str, end_id: int = 0, doc_id:
         if held:
             yield flush()
 
-    ordered.mapInArrow(run, SEGMENTS).write.option("compression", "zstd").parquet(path)
+    bounded_batches(ordered).mapInArrow(run, SEGMENTS).write.option("compression", "zstd").parquet(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -188,4 +188,4 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                     ["doc_id", "start", "n_tokens", "ids"],
                 )
 
-    return segments.mapInArrow(run, T.StructType.fromDDL("doc_id bigint, start bigint, n_tokens bigint, ids binary"))
+    return bounded_batches(segments).mapInArrow(run, T.StructType.fromDDL("doc_id bigint, start bigint, n_tokens bigint, ids binary"))

@@ -7,6 +7,7 @@ stand out of a long text, bags are windows of words, and a text is as toxic as i
 
 from __future__ import annotations
 
+import uuid
 from typing import NamedTuple
 
 import numpy as np
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retropanel.llm import ragged
-from retropanel.llm.common import fields, with_text_columns
+from retropanel.llm.common import fields, with_text_columns, worker_object
 from retropanel.llm.letters import code_points
 
 BUCKETS = 1 << 17
@@ -23,6 +24,7 @@ GRAMS = (3, 4, 5)
 WINDOW, STRIDE = 16, 8
 SAMPLE = 2000
 LONGEST = 1 << 15
+PER_STEP = 20_000
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xD6E8FEB86659FD93], np.uint64)
 
 #: Words are runs of ASCII letters and digits and of everything beyond ASCII.
@@ -52,7 +54,11 @@ def word_ranges(rows: ragged.Texts) -> tuple[ragged.Texts, ragged.Words, np.ndar
 def subwords(rows: ragged.Texts, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the n-grams of each word (borders count as spaces) and of the whole word: (buckets, bounds)."""
     if not len(starts):
-        return np.zeros(0, np.int64), np.zeros(1, np.int64)
+        return np.zeros(0, np.int32), np.zeros(1, np.int64)
+    if len(starts) > PER_STEP:  # the steps' arrays are many times their result
+        parts = [subwords(rows, starts[a : a + PER_STEP], ends[a : a + PER_STEP]) for a in range(0, len(starts), PER_STEP)]
+        sizes = np.concatenate([np.diff(b) for _, b in parts])
+        return np.concatenate([g for g, _ in parts]), np.concatenate([[0], np.cumsum(sizes)])
     bounds = np.arange(len(starts) + 1)
     data, a, b = ragged.joined(*_ascending(rows, starts, ends))
     points, _ = code_points(ragged.Texts(np.concatenate([np.full(1, 0x20, np.uint8), data]), np.array([0, len(data) + 1])))
@@ -73,7 +79,7 @@ def subwords(rows: ragged.Texts, starts: np.ndarray, ends: np.ndarray) -> tuple[
     owner.append(bounds[:-1])
     own = np.concatenate(owner)
     order = np.argsort(own, kind="stable")
-    return (np.concatenate(found)[order] % np.uint64(BUCKETS)).astype(np.int64), np.searchsorted(own[order], bounds)
+    return (np.concatenate(found)[order] % np.uint64(BUCKETS)).astype(np.int32), np.searchsorted(own[order], bounds)
 
 
 def _ascending(rows: ragged.Texts, starts: np.ndarray, ends: np.ndarray) -> tuple[ragged.Texts, ragged.Words]:
@@ -213,10 +219,10 @@ def toxicity_scores(docs: DataFrame, model: Model, text: str = "text", keep: tup
     the score of the bias alone; a document of any length counts whole; repeated rows score alike; an empty
     table gives an empty result; input columns named score or predicted are replaced.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((model.bucket, model.bias))
+    shared, key = docs.sparkSession.sparkContext.broadcast((model.bucket, model.bias)), f"toxicity {uuid.uuid4().hex}"
 
     def make():
-        score = Scorer(Model(*shared.value))
+        score = worker_object(key, lambda: Scorer(Model(*shared.value)))
 
         def columns(chunk: ragged.Texts):
             p = score(chunk)
