@@ -194,7 +194,7 @@ def ragged_ids(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     return np.fromiter((i for x in lists for i in x), np.uint32, int(bounds[-1])), bounds.astype(np.int64)
 
 
-def library_encoder(vocabulary: str) -> UnitEncoder:
+def library_encoder(vocabulary: str, remember: int = 400_000) -> UnitEncoder:
     """Byte-level ids by the tokenizers library, each distinct unit encoded once."""
 
     def make() -> UnitEncoder:
@@ -225,9 +225,9 @@ def library_encoder(vocabulary: str) -> UnitEncoder:
             first[lines], first[rest] = ends - n[lines], bounds[:-1] + len(ids)
             return np.concatenate([ids, others])[ragged.spread(first, n)], np.concatenate([[0], np.cumsum(n)])
 
-        return UnitEncoder(encode, lambda text: library.encode(text, add_special_tokens=False).ids, special_strings(vocabulary))
+        return UnitEncoder(encode, lambda text: library.encode(text, add_special_tokens=False).ids, special_strings(vocabulary), remember=remember)
 
-    return once("library", vocabulary, make)
+    return once(f"library {remember}", vocabulary, make)
 
 
 def merging_encoder(vocabulary: str) -> UnitEncoder:

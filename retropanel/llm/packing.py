@@ -105,7 +105,7 @@ def cut(docs: DataFrame, vocabulary: str, capacity: int = 2048, end_id: int = 0,
     made = fields(piece="int", start="bigint", length="bigint", ids="binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = bpe.library_encoder(shared.value)
+        encoder = bpe.library_encoder(shared.value, 150_000)
         for batch in batches:
             for at, chunk in ragged.chunks(ragged.texts(batch.column(1))):
                 ids, bounds = encoder.ids(chunk)
