@@ -1,0 +1,74 @@
+import sys
+from collections import defaultdict
+from pathlib import Path
+
+import numpy as np
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
+
+import corpus_pipeline  # noqa: E402
+from retropanel.llm import near_copies  # noqa: E402
+from tests.llm.test_text_operators import WORDS, lower  # noqa: E402
+
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def shingles(text):
+    w = WORDS.findall(lower(text or ""))
+    return frozenset(tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))) if w else frozenset()
+
+
+def kept(rows):
+    """The smallest doc_id of each component of similar texts, by all pairs."""
+    sets, root = [shingles(t) for _, t in rows], list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            same = len(sets[i] & sets[j])
+            if sets[i] == sets[j] or 5 * same >= 4 * (len(sets[i]) + len(sets[j]) - same):
+                root[find(i)] = find(j)
+    least = defaultdict(list)
+    for i in range(len(rows)):
+        least[find(i)].append(rows[i][0])
+    return sorted(min(x) for x in least.values())
+
+
+def edited(rng, words, n):
+    out = list(words)
+    for k in rng.choice(len(out), n, replace=False):
+        out[k] = f"new{int(rng.integers(1 << 40))}"
+    return " ".join(out)
+
+
+@pytest.mark.parametrize("small, often", [(32, 8), (2, 1), (1 << 30, 1 << 30)])
+def test_near_copies_equal_all_pairs(spark, sf, monkeypatch, small, often):
+    """Groups around common texts, a passage that many share, chains, short texts and texts without words."""
+    monkeypatch.setattr(near_copies, "SMALL", small)
+    monkeypatch.setattr(near_copies, "OFTEN", often)
+    rng, texts = np.random.default_rng(7), []
+    word = lambda: f"w{int(rng.integers(4000))}"
+    passage = [word() for _ in range(20)]
+    for size in (6, 8, 30, 60, 200):
+        base = [word() for _ in range(size)]
+        texts += [edited(rng, base, int(rng.integers(0, 1 + size // 20))) for _ in range(25)]
+        chain = list(base)
+        for k in range(5, size, max(size // 12, 5)):
+            chain[k] = f"step{k}"
+            texts.append(" ".join(chain))
+    texts += [" ".join([*passage, *(word() for _ in range(60))]) for _ in range(60)]
+    texts += ["one two", "One  TWO", "one two three", "", None, " \n", "x"]
+    rows = [(int(i), t) for i, t in zip(rng.permutation(len(texts)), texts)]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], SCHEMA).repartition(3)
+    got = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, df, sf)
+    assert sorted(r["doc_id"] for r in got.collect()) == kept(rows)
+
+
+def test_near_copies_of_documents(spark, sf, docs, texts):
+    got = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, sf)
+    assert sorted(r["doc_id"] for r in got.collect()) == kept(texts)
