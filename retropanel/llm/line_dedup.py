@@ -25,7 +25,8 @@ from retropanel.session import scratch_path
 BATCHES = 4
 FANOUT = 3
 SHORTEST = 10
-_LAST = (1 << 63) - 1
+#: Rows without a doc_id are numbered from here.
+_NAMELESS = (1 << 63) - (1 << 56)
 
 
 def lines(rows: ragged.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -133,13 +134,15 @@ def drop_repeated_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_
 
     A key of at least 10 code points that several documents hold stays in the smallest doc_id only, with all
     its lines there. Null or empty text: one empty line, kept, and null becomes empty. Rows with one doc_id
-    count as one document, so both keep a line it owns; a null doc_id counts as the largest. An empty table
-    gives an empty result; input columns named n_lines or n_dropped are replaced.
+    count as one document, so both keep a line it owns; each row with a null doc_id is a document of its own,
+    after all others in stored order. An empty table gives an empty result; input columns named n_lines or n_dropped are replaced.
     """
     spark = docs.sparkSession
     docs = docs.drop("n_lines", "n_dropped")
-    doc = F.coalesce(F.col(f"`{doc_id}`").cast("bigint"), F.lit(_LAST)).alias("doc")
-    keyed = stored(keyed_lines(docs.select(doc, F.col(f"`{text}`").cast("string").alias("text"))), "lines")
+    names, schema = docs.columns, docs.schema
+    nameless = docs.filter(F.col(f"`{doc_id}`").isNull()).withColumn("__doc__", F.lit(_NAMELESS) + F.monotonically_increasing_id())
+    docs = docs.filter(F.col(f"`{doc_id}`").isNotNull()).withColumn("__doc__", F.col(f"`{doc_id}`").cast("bigint")).unionByName(stored(nameless, "nameless"))
+    keyed = stored(keyed_lines(docs.select(F.col("__doc__").alias("doc"), F.col(f"`{text}`").cast("string").alias("text"))), "lines")
     cuts = keyed.agg(F.percentile_approx("doc", [k / batches for k in range(1, batches)], 10_000)).first()[0] or []
     bounds = [None, *sorted(set(cuts)), None]
     runs, dropped = Runs(spark), None
@@ -150,10 +153,9 @@ def drop_repeated_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_
         dropped = gone if dropped is None else dropped.unionByName(gone)
     runs.close()
     gone = dropped.groupBy("doc").agg(F.collect_list("h").alias("__gone__"))
-    names = docs.columns
-    rows = docs.withColumn("__doc__", doc).join(gone.withColumnRenamed("doc", "__doc__"), "__doc__", "left").select(*[f"`{c}`" for c in names], "__gone__")
+    rows = docs.join(gone.withColumnRenamed("doc", "__doc__"), "__doc__", "left").select(*[f"`{c}`" for c in names], "__gone__")
     at_text = names.index(text)
-    schema = T.StructType([T.StructField(text, T.StringType()) if f.name == text else f for f in docs.schema.fields] + fields(n_lines="bigint", n_dropped="bigint").fields)
+    schema = T.StructType([T.StructField(text, T.StringType()) if f.name == text else f for f in schema.fields] + fields(n_lines="bigint", n_dropped="bigint").fields)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:

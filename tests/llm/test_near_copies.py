@@ -8,7 +8,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
 import corpus_pipeline  # noqa: E402
-from retropanel.llm import near_copies  # noqa: E402
+from retropanel.llm import line_dedup, near_copies  # noqa: E402
 from tests.llm.test_text_operators import WORDS, lower  # noqa: E402
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -72,3 +72,20 @@ def test_near_copies_equal_all_pairs(spark, sf, monkeypatch, small, often):
 def test_near_copies_of_documents(spark, sf, docs, texts):
     got = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, sf)
     assert sorted(r["doc_id"] for r in got.collect()) == kept(texts)
+
+
+def test_rows_without_or_with_one_doc_id_are_told_apart(spark, sf):
+    same, other = "same words in this text that goes on for a while", "quite different words that share nothing with it"
+    rows = [(None, same), (None, same), (3, same), (3, same), (3, other), (4, other + " x y"), (None, "alone here"), (None, "alone here")]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], SCHEMA)
+    got = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, df, sf)
+    assert sorted((str(r["doc_id"]), r["text"]) for r in got.collect()) == sorted([("3", same), ("3", other), ("None", "alone here"), ("4", other + " x y")])
+
+
+def test_lines_of_rows_without_doc_id_stay_once(spark):
+    line = "a line that some rows repeat"
+    rows = [(None, f"{line}\nfirst"), (None, f"{line}\nsecond"), (None, "only here, once in all\nthird"), (7, "A LINE of rows 7 and up\nx"), (None, "a line of ROWS 7 and up")]
+    got = line_dedup.drop_repeated_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert len(got) == len(rows) and sum(line in r["text"] for r in got) == 1
+    assert sorted(r["n_dropped"] for r in got) == [0, 0, 0, 1, 1]
+    assert {r["text"] for r in got if r["doc_id"]} == {"A LINE of rows 7 and up\nx"} and "" in {r["text"] for r in got}
