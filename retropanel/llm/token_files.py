@@ -2,7 +2,8 @@
 
 A folder of Parquet files is the container, so that Spark writes and commits it wherever the cluster stores
 data. A row is a segment: whole documents in ascending doc_id order, ``shard`` and ``segment`` giving the
-order of all rows, ``before`` the ids of earlier segments of its shard, and two coded arrays, ``lengths``
+order of all rows, ``before`` the ids of earlier segments of its shard, ``nameless`` the number of documents
+without a doc_id (they come first, and ``doc_ids`` has 0 for them), and two coded arrays, ``lengths``
 (ids per document) and ``ids``. A coded array is little-endian:
 
     "S8B1", u32 values, u32 words, u32 escapes, u32 blocks, 0 (u32)
@@ -123,7 +124,7 @@ def decode_block(raw: bytes, block: int) -> np.ndarray:
     return _values(words[int(blocks[block]) : int(blocks[block + 1]) if block + 1 < len(blocks) else None], escaped)
 
 
-SEGMENTS = "shard int, segment int, before bigint, n_ids bigint, doc_ids binary, lengths binary, ids binary"
+SEGMENTS = "shard int, segment int, before bigint, n_ids bigint, nameless bigint, doc_ids binary, lengths binary, ids binary"
 
 
 def write(docs: DataFrame, vocabulary: str, path: str, end_id: int = 0, doc_id: str = "doc_id", text: str = "text") -> None:
@@ -131,8 +132,8 @@ def write(docs: DataFrame, vocabulary: str, path: str, end_id: int = 0, doc_id:
 
     The only shuffle deals the rows out by ranges of doc_id (ties: by a hash of the text); every task codes
     its sorted rows as they stream by. A null or empty text is the end id alone; rows with an equal doc_id
-    stay separate documents beside each other; a null doc_id can't be coded and raises an error; an empty
-    table gives a folder without rows.
+    stay separate documents beside each other; those without a doc_id come before all others; an empty table
+    gives a folder without rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
     rows = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
@@ -141,28 +142,27 @@ def write(docs: DataFrame, vocabulary: str, path: str, end_id: int = 0, doc_id:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, shard, segment, before = bpe.library_encoder(shared.value), TaskContext.get().partitionId(), 0, 0
-        keys, sizes, parts, held = [], [], [], 0
+        keys, sizes, parts, held, nameless = [], [], [], 0, 0
 
         def flush() -> pa.RecordBatch:
             values = np.concatenate(parts)
-            columns = [[shard], [segment], [before], [len(values)], [np.concatenate(keys).astype("<i8").tobytes()], [encode(np.concatenate(sizes))], [encode(values)]]
-            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["shard", "segment", "before", "n_ids", "doc_ids", "lengths", "ids"])
+            columns = [[shard], [segment], [before], [len(values)], [nameless], [np.concatenate(keys).astype("<i8").tobytes()], [encode(np.concatenate(sizes))], [encode(values)]]
+            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["shard", "segment", "before", "n_ids", "nameless", "doc_ids", "lengths", "ids"])
 
         for batch in batches:
-            if batch.column(0).null_count:
-                raise ValueError("a doc_id is null")
-            numbers = batch.column(0).to_numpy(zero_copy_only=False)
+            numbers = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False)
             for at, chunk in ragged.chunks(ragged.texts(batch.column(1)), 4 * SEGMENT_IDS):
                 ids, bounds = encoder.ids(chunk)
                 parts.append(np.insert(ids, bounds[1:], end_id))
                 sizes.append(np.diff(bounds) + 1)
                 keys.append(numbers[at : at + len(bounds) - 1])
+                nameless += batch.column(0).slice(at, len(bounds) - 1).null_count
                 held += len(parts[-1])
                 if held >= SEGMENT_IDS:
                     yield flush()
                     segment, before = segment + 1, before + held
-                    keys, sizes, parts, held = [], [], [], 0
+                    keys, sizes, parts, held, nameless = [], [], [], 0, 0
         if held:
             yield flush()
 
@@ -180,11 +180,11 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for shard, before, keys, lengths, ids in zip(*(batch.column(c).to_pylist() for c in ("shard", "before", "doc_ids", "lengths", "ids"))):
+            for shard, before, nameless, keys, lengths, ids in zip(*(batch.column(c).to_pylist() for c in ("shard", "before", "nameless", "doc_ids", "lengths", "ids"))):
                 bounds = np.concatenate([[0], np.cumsum(decode(lengths).astype(np.int64))])
                 values = decode(ids)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.frombuffer(keys, "<i8")), pa.array(bases[shard] + before + bounds[:-1]), pa.array(np.diff(bounds)), pa.array(bytes_of(values, bounds), pa.binary())],
+                    [pa.array(np.frombuffer(keys, "<i8"), mask=np.arange(len(bounds) - 1) < nameless), pa.array(bases[shard] + before + bounds[:-1]), pa.array(np.diff(bounds)), pa.array(bytes_of(values, bounds), pa.binary())],
                     ["doc_id", "start", "n_tokens", "ids"],
                 )
 
