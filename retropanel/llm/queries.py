@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retropanel.llm import exact_knn, host_rules, language_id, lexicon, line_dedup, packing, simhash, token_counts, token_files, toxicity
+from retropanel.llm import exact_knn, filter_audit, host_rules, language_id, lexicon, line_dedup, merkle, packing, simhash, token_counts, token_files, toxicity
 from retropanel.llm.common import table, vocabulary
 from retropanel.session import scratch_path
 
@@ -151,3 +151,91 @@ def op9_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
+AUDIT_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY text) < doc_id AS copied FROM d),
+m AS (
+  SELECT doc_id, part, {'A': len(words) < 50, 'B': 100 * len(list_distinct(words)) < 65 * len(words),
+    'C': 100 * len(regexp_extract_all(text, '[A-Z]')) > 5 * length(text), 'D': regexp_matches(text, '[#$%&*|]'), 'E': coalesce(copied, false)} AS fails FROM w
+), l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+f AS (
+  SELECT part, CASE WHEN fails['A'] THEN 16 ELSE 0 END + CASE WHEN fails['B'] THEN 8 ELSE 0 END + CASE WHEN fails['C'] THEN 4 ELSE 0 END
+    + CASE WHEN fails['D'] THEN 2 ELSE 0 END + CASE WHEN fails['E'] THEN 1 ELSE 0 END AS mask, count(*) AS n, count_if(good) AS good, count_if(toxic) AS toxic
+  FROM m LEFT JOIN l ON m.doc_id = l.doc_id GROUP BY 1, 2
+), x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f, unnest([16, 8, 4, 2, 1]) AS bit),
+o AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM x AS a JOIN x AS b ON b.f <> a.f JOIN x AS c ON c.f NOT IN (a.f, b.f) JOIN x AS d ON d.f NOT IN (a.f, b.f, c.f) JOIN x AS e ON e.f NOT IN (a.f, b.f, c.f, d.f)
+), s AS (
+  SELECT filter_order, CAST(step AS INTEGER) AS step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0) AS before
+  FROM o, (SELECT unnest([1, 2, 3, 4, 5]) AS step)
+), r AS (
+  SELECT part, filter_order, step, bit,
+    CAST(sum(CASE WHEN mask & CAST(bit + before AS INTEGER) = 0 THEN n ELSE 0 END) AS BIGINT) AS kept,
+    CAST(sum(CASE WHEN mask & bit > 0 AND mask & CAST(before AS INTEGER) = 0 THEN n ELSE 0 END) AS BIGINT) AS removed,
+    CAST(sum(CASE WHEN mask & bit > 0 AND mask & CAST(before AS INTEGER) > 0 THEN n ELSE 0 END) AS BIGINT) AS redundant,
+    CAST(sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+    CAST(sum(CASE WHEN mask & bit > 0 AND mask & CAST(before AS INTEGER) = 0 THEN good ELSE 0 END) AS BIGINT) AS good_lost,
+    CAST(sum(CASE WHEN mask & bit > 0 AND mask & CAST(before AS INTEGER) = 0 THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost
+  FROM f, s GROUP BY ALL
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley FROM r
+"""
+
+
+@query(AUDIT_SQL)
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = filter_audit.failures(table(spark, sf_dir, "documents"))
+    return filter_audit.audit(filter_audit.tensors(rows, table(spark, sf_dir, "labels")))
+
+
+#: DuckDB has no CRC-32; ``bits`` makes its table of byte remainders.
+MERKLE_SQL = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, lang, n_chars,
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+    coalesce(strlen(text) || ':' || text, '-') AS tail
+  FROM documents
+), bits AS (
+  SELECT i AS c, 0 AS k, i AS v FROM range(256) t(i)
+  UNION ALL SELECT c, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM bits WHERE k < 8
+), crc AS (
+  SELECT doc_id, CAST(doc_id AS VARCHAR) AS s, 0 AS i, CAST(4294967295 AS BIGINT) AS v FROM (SELECT DISTINCT doc_id FROM d WHERE doc_id IS NOT NULL)
+  UNION ALL SELECT doc_id, s, i + 1, xor(crc.v >> 8, b.v) FROM crc JOIN bits AS b ON b.k = 8 AND b.c = xor(crc.v & 255, ascii(s[i + 1])) WHERE i < length(s)
+), tampered AS (SELECT doc_id FROM crc WHERE i = length(s) AND xor(v, 4294967295) % 7 = 0),
+leaf AS (
+  SELECT doc_id, lang, sha256(head || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || tail) AS h,
+    sha256(head || coalesce(strlen(CAST(n_chars + CASE WHEN t THEN 1 ELSE 0 END AS VARCHAR)) || ':' || (n_chars + CASE WHEN t THEN 1 ELSE 0 END), '-') || tail) AS now
+  FROM (SELECT *, doc_id IN (SELECT doc_id FROM tampered) AS t FROM d)
+), placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, h) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n FROM leaf),
+tree AS (
+  SELECT lang, 0 AS level, i, n, h FROM placed
+  UNION ALL SELECT lang, level + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM tree WHERE n > 1 GROUP BY lang, level, i // 2, n
+), sub AS (SELECT lang, level AS height, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM tree WHERE n = 1),
+top AS (
+  SELECT 0 AS level, i, n, h FROM sub
+  UNION ALL SELECT level + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM top WHERE n > 1 GROUP BY level, i // 2, n
+), walk AS (
+  SELECT p.doc_id, p.h AS leaf, s.h AS subroot, p.lang, s.height, s.i AS j, p.i, 0 AS level, p.now AS f, '' AS proof FROM placed AS p JOIN sub AS s ON p.lang IS NOT DISTINCT FROM s.lang
+  UNION ALL
+  SELECT w.doc_id, w.leaf, w.subroot, w.lang, w.height, CASE WHEN level < height THEN j ELSE j // 2 END, CASE WHEN level < height THEN i // 2 ELSE 0 END, level + 1,
+    sha256(CASE WHEN odd THEN coalesce(sibling, '') || f ELSE f || coalesce(sibling, '') END), proof || coalesce(sibling, '')
+  FROM (
+    SELECT w.*, CASE WHEN w.level < w.height THEN w.i % 2 = 1 ELSE w.j % 2 = 1 END AS odd, coalesce(t.h, u.h) AS sibling
+    FROM walk AS w
+    LEFT JOIN tree AS t ON w.level < w.height AND t.lang IS NOT DISTINCT FROM w.lang AND t.level = w.level AND t.i = xor(w.i, 1)
+    LEFT JOIN top AS u ON w.level >= w.height AND u.level = w.level - w.height AND u.i = xor(w.j, 1)
+  ) AS w WHERE level < height + (SELECT max(level) FROM top)
+)
+SELECT doc_id, leaf, subroot, (SELECT h FROM top WHERE n = 1) AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = (SELECT h FROM top WHERE n = 1) AS verified
+FROM walk WHERE level = height + (SELECT max(level) FROM top)
+"""
+
+
+@query(MERKLE_SQL)
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    more = F.when(check_sum(7) == 0, F.col("n_chars").cast("decimal(20,0)") + 1).otherwise(F.col("n_chars"))
+    return merkle.manifest(docs, changed={"n_chars": more}).withColumn("proof_sha256", merkle.proof_hash(F.col("path"))).drop("path")
