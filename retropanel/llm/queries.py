@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retropanel.llm import exact_knn, filter_audit, host_rules, language_id, lexicon, line_dedup, merkle, packing, simhash, token_counts, token_files, toxicity
+from retropanel.llm import exact_knn, filter_audit, host_rules, language_id, lexicon, line_dedup, merkle, packing, page_text, simhash, token_counts, token_files, toxicity
 from retropanel.llm.common import table, vocabulary
 from retropanel.session import scratch_path
 
@@ -191,6 +191,12 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(filter_audit.tensors(rows, table(spark, sf_dir, "labels")))
 
 
+@query()
+def op12_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return page_text.extract(pages, page_text.fit(pages))
+
+
 #: DuckDB has no CRC-32; ``bits`` makes its table of byte remainders.
 MERKLE_SQL = """
 WITH RECURSIVE d AS (
