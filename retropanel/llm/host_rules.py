@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +15,15 @@ SYMBOLS = b"#*$%&|<>"
 WINDOW = 3
 LEAST_WORDS = 50
 REPEAT_PERCENT = 50
+#: What counts against a host, on the base measures: failing the base rules; over a tenth as many symbols as
+#: words; over one repeated line for 20 words; words of under 3 or over 15 code points on average.
+RULES = {
+    "base": "base_failed",
+    "symbols": "10 * n_symbols > n_words",
+    "lines": "20 * n_dup_lines > n_words",
+    "words": "word_chars < 3 * n_words OR word_chars > 15 * n_words",
+}
+#: A host goes if the shrunk rate of any rule says that over half of its documents fail it.
 HOST_LIMIT = 0.5
 SALTS = 16
 
@@ -69,36 +80,47 @@ def base_measures(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = (
     return with_text_columns(docs, text, made, lambda: columns, keep)
 
 
-def host_rates(measures: DataFrame, host: str = "source") -> DataFrame:
-    """(host, n, failed, rate): each host's failure rate, shrunk by a beta prior fitted to all hosts.
+def host_rates(measures: DataFrame, host: str = "source", rules: Mapping[str, str] = RULES) -> DataFrame:
+    """(host, n, and for each rule ``rate_<rule>``): the share of a host's documents that fail the rule, shrunk
+    by a beta prior fitted to all hosts' shares of that rule.
 
-    The prior's mean m is the overall rate; its weight w is m(1 - m) / v - 1 by the method of moments, v
+    A prior's mean m is the rule's overall rate; its weight w is m(1 - m) / v - 1 by the method of moments, v
     being the variance of the hosts' rates (weighted by rows) less what chance gives, (hosts - 1) m (1 - m)
     / rows; no spread left means the largest weight. The shrunk rate is (failed + m w) / (n + w).
     """
-    hosts = measures.filter(F.col(host).isNotNull()).groupBy(F.col(host).alias("host")).agg(F.count("*").alias("n"), F.sum(F.col("base_failed").cast("bigint")).alias("failed"))
-    got = hosts.agg(F.sum("n").alias("n"), F.sum("failed").alias("failed"), F.count("*").alias("hosts"), F.sum(F.col("failed") * F.col("failed") / F.col("n")).alias("squares")).first()
-    mean, weight = 0.0, 1.0
-    if got["n"]:
-        mean = got["failed"] / got["n"]
-        unit = mean * (1 - mean)
-        between = got["squares"] / got["n"] - mean * mean - (got["hosts"] - 1) * unit / got["n"]
-        weight = min(max(unit / between - 1, 1.0), 1e6) if between > 0 else 1e6
-    return hosts.withColumn("rate", (F.col("failed") + F.lit(mean * weight)) / (F.col("n") + F.lit(weight)))
-
-
-def quality_verdicts(docs: DataFrame, text: str = "text", host: str = "source", limit: float = HOST_LIMIT, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Kept columns, the base measures, base_failed, the host's ``host_rate`` and ``kept``.
-
-    A document is kept if it passes the base rules and its host's shrunk failure rate is at most ``limit``.
-    The measures are stored once; hosts are partial aggregates. Verdicts meet their documents on (host,
-    salt), so that a host with a third of the rows is dealt to many tasks. A null host has no verdict (null
-    rate, base rules alone); a null or empty text has no words and fails; repeated rows count each; an empty
-    table gives an empty result; input columns named like the results are replaced.
+    failed = [F.sum(F.expr(f"cast({test} AS bigint)")).alias(f"failed_{r}") for r, test in rules.items()]
+    hosts = measures.filter(F.col(host).isNotNull()).groupBy(F.col(host).alias("host")).agg(F.count("*").alias("n"), *failed)
+    sums = [x for r in rules for x in (F.sum(f"failed_{r}").alias(f"failed_{r}"), F.sum(F.expr(f"failed_{r} * failed_{r} / n")).alias(f"squares_{r}"))]
+    got = hosts.agg(F.sum("n").alias("n"), F.count("*").alias("hosts"), *sums).first()
+    rates = []
+    for r in rules:
+        mean, weight = 0.0, 1.0
+        if got["n"]:
+            mean = got[f"failed_{r}"] / got["n"]
+            unit = mean * (1 - mean)
+            between = got[f"squares_{r}"] / got["n"] - mean * mean - (got["hosts"] - 1) * unit / got["n"]
+            weight = min(max(unit / between - 1, 1.0), 1e6) if between > 0 else 1e6
+        rates.append(((F.col(f"failed_{r}") + F.lit(mean * weight)) / (F.col("n") + F.lit(weight))).alias(f"rate_{r}"))
+    return hosts.select("host", "n", *rates)
+
+
+def quality_verdicts(docs: DataFrame, text: str = "text", host: str = "source", limit: float = HOST_LIMIT, keep: tuple[str, ...] = ("doc_id",), rules: Mapping[str, str] = RULES) -> DataFrame:
+    """Kept columns, the base measures, base_failed, ``host_rate`` (the host's highest shrunk rate), ``host_rule``
+    (the rule it belongs to) and ``kept``.
+
+    A document is kept if it passes the base rules and none of its host's shrunk rates is over ``limit``: a
+    host most of whose documents are short, repetitive, full of symbols or of repeated lines, or made of
+    words of odd length, goes as a whole. The measures are stored once; hosts are partial aggregates.
+    Verdicts meet their documents on (host, salt), so that a host with a third of the rows is dealt to many
+    tasks. A null host has no verdict (null rate, base rules alone); a null or empty text has no words and
+    fails; repeated rows count each; an empty table gives an empty result; input columns named like the
+    results are replaced.
     """
     rows = stored(base_measures(docs, text, tuple(dict.fromkeys((*keep, host)))), "measures")
-    rates = host_rates(rows, host).select(F.col("host"), F.col("rate").alias("host_rate"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    salted = rows.drop("host_rate", "kept").withColumn("salt", F.pmod(F.xxhash64(*[f"`{c}`" for c in rows.columns]), F.lit(SALTS)).cast("int"))
+    worst = F.array_max(F.array(*[F.struct(F.col(f"rate_{r}").alias("rate"), F.lit(r).alias("rule")) for r in rules]))
+    rates = host_rates(rows, host, rules).withColumn("worst", worst)
+    rates = rates.select("host", F.col("worst.rate").alias("host_rate"), F.col("worst.rule").alias("host_rule"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salted = rows.drop("host_rate", "host_rule", "kept").withColumn("salt", F.pmod(F.xxhash64(*[f"`{c}`" for c in rows.columns]), F.lit(SALTS)).cast("int"))
     joined = salted.join(rates, (salted[host] == rates["host"]) & (salted["salt"] == rates["salt"]), "left").drop(rates["salt"], rates["host"]).drop("salt")
     names = [c for c in dict.fromkeys((*keep, *joined.columns)) if c != host or host in keep]
     return joined.select(*[f"`{c}`" for c in names]).withColumn("kept", ~F.col("base_failed") & (F.coalesce("host_rate", F.lit(0.0)) <= limit))

@@ -41,7 +41,7 @@ def check_sum(modulus: int) -> Column:
 TOP_K_SQL = """
 WITH e AS (
   SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
-  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x) OR abs(x) >= 262144)) = 0
 ), s AS (
   SELECT q.vec_id AS query_id, e.vec_id, CAST(list_inner_product(q.v, e.v) AS BIGINT) AS score
   FROM e AS q JOIN e ON q.vec_id <> e.vec_id AND len(q.v) = len(e.v) WHERE q.vec_id % 50 = 0
@@ -82,19 +82,23 @@ m AS (
     CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words
   FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN u ON d.doc_id = u.doc_id
 ), b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m),
-h AS (SELECT source, count(*) AS n, count_if(base_failed) AS x FROM b WHERE source IS NOT NULL GROUP BY source),
-a AS (SELECT sum(x) / sum(n) AS mean, sum(CAST(x * x AS DOUBLE) / n) / sum(n) AS squares, (count(*) - 1) / sum(n) AS chance FROM h),
-p AS (SELECT mean, CASE WHEN squares - mean * mean - chance * mean * (1 - mean) > 0
-  THEN least(greatest(mean * (1 - mean) / (squares - mean * mean - chance * mean * (1 - mean)) - 1, 1), 1e6) ELSE 1e6 END AS weight FROM a)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND coalesce((h.x + mean * weight) / (h.n + weight), 0) <= 0.5 AS kept
-FROM b LEFT JOIN h ON b.source = h.source CROSS JOIN p
+r AS (
+  SELECT source, 'base' AS rule, base_failed AS x FROM b UNION ALL SELECT source, 'symbols', 10 * n_symbols > n_words FROM b
+  UNION ALL SELECT source, 'lines', 20 * n_dup_lines > n_words FROM b
+  UNION ALL SELECT source, 'words', word_chars < 3 * n_words OR word_chars > 15 * n_words FROM b
+), h AS (SELECT source, rule, count(*) AS n, count_if(x) AS x FROM r WHERE source IS NOT NULL GROUP BY source, rule),
+a AS (SELECT rule, sum(x) / sum(n) AS mean, sum(CAST(x * x AS DOUBLE) / n) / sum(n) AS squares, (count(*) - 1) / sum(n) AS chance FROM h GROUP BY rule),
+p AS (SELECT rule, mean, CASE WHEN squares - mean * mean - chance * mean * (1 - mean) > 0
+  THEN least(greatest(mean * (1 - mean) / (squares - mean * mean - chance * mean * (1 - mean)) - 1, 1), 1e6) ELSE 1e6 END AS weight FROM a),
+verdict AS (SELECT source, max((h.x + mean * weight) / (h.n + weight)) AS rate FROM h JOIN p ON h.rule = p.rule GROUP BY source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce(rate, 0) <= 0.5 AS kept
+FROM b LEFT JOIN verdict AS v ON b.source = v.source
 """
 
 
 @query(QUALITY_SQL)
 def op3_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return host_rules.quality_verdicts(table(spark, sf_dir, "documents")).drop("host_rate")
+    return host_rules.quality_verdicts(table(spark, sf_dir, "documents")).drop("host_rate", "host_rule")
 
 
 @query()

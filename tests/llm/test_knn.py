@@ -10,14 +10,14 @@ from retropanel.llm import exact_knn, queries
 def brute(rows, asked, k):
     good = {}
     for i, v in rows:
-        if i is not None and v and all(x is not None and math.isfinite(x) for x in v):
+        if i is not None and v and all(x is not None and math.isfinite(x) and abs(x) < 1 << 18 for x in v):
             good.setdefault((i, tuple(math.floor(256 * float(np.float32(x))) for x in v)), None)
-    out = []
+    out, pairs = [], {}
     for q, a in good:
-        if q % asked:
-            continue
-        scored = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in good if i != q and len(b) == len(a))
-        out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:k])]
+        if q % asked == 0:
+            pairs.setdefault(q, []).extend((-sum(x * y for x, y in zip(a, b)), i) for i, b in good if i != q and len(b) == len(a))
+    for q, scored in pairs.items():
+        out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(sorted(scored)[:k])]
     return sorted(out)
 
 
@@ -39,6 +39,15 @@ def test_equals_brute_force(spark, monkeypatch, block):
     assert run(spark, rows, 5) == brute(rows, 5, 5)
 
 
+def test_ids_with_many_vectors(spark):
+    """More own vectors than results, copies of them under other ids, and components out of range."""
+    rng = np.random.default_rng(8)
+    rows = [(50, [1.0 + i / 8, 1.0, 0.5]) for i in range(20)] + [(i, [float(x) for x in rng.normal(0, 0.2, 3)]) for i in range(1, 10)]
+    rows += [(3, [2.0, 1.0, 0.5]), (100, [2.0, 1.0, 0.5]), (100, [0.5, 0.5, 0.5]), (150, [1e18, 1.0, 1.0]), (7, [0.1, -262144.0, 0.0]), (8, [262143.0, 0.5, 0.0])]
+    got = run(spark, rows, 50)
+    assert got == brute(rows, 50, 5) and {r[0]: r[1] for r in got} == {50: 5, 100: 5}
+
+
 def test_few_rows_and_none(spark):
     assert run(spark, [], 5) == []
     assert run(spark, [(5, [1.0, 2.0])], 5) == []

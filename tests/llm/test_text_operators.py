@@ -160,6 +160,21 @@ def test_host_verdicts(spark):
     assert 0 < got[2002]["host_rate"] < 1 and got[2002]["base_failed"]
 
 
+def test_junk_hosts_go_as_a_whole(spark):
+    """Hosts of symbols, repeated lines and odd words; two in five bad documents are not enough."""
+    rng = np.random.default_rng(5)
+    clean = lambda: " ".join("".join(rng.choice(list("abcdefgh"), 5)) for _ in range(60))
+    junk = {"symbols": lambda: clean().replace(" a", " #$%&*") + " ###########", "lines": lambda: "\n".join([clean(), *["same line here"] * 9, clean()]), "words": lambda: " ".join(f"{'x' * 40}{i}" for i in range(60))}
+    rows = [(i, clean(), f"host{i % 20}") for i in range(2000)]
+    for at, (rule, make) in enumerate(junk.items()):
+        rows += [(10_000 + 1000 * at + i, make(), rule) for i in range(80)] + [(10_100 + 1000 * at + i, clean(), rule) for i in range(20)]
+        rows += [(20_000 + 1000 * at + i, make() if i % 5 < 2 else clean(), f"some {rule}") for i in range(100)]
+    got = host_rules.quality_verdicts(spark.createDataFrame(rows, "doc_id bigint, text string, source string"), keep=("doc_id", "source")).collect()
+    for r in got:
+        assert r["kept"] == (not r["base_failed"] and r["source"] not in junk), r
+        assert r["source"] not in junk or r["host_rule"] == r["source"]
+
+
 def test_queries_have_their_columns(spark, sf, texts):
     assert queries.op3_host_quality_rules(spark, sf).columns[:1] == ["doc_id"]
     got = sorted(map(tuple, queries.op5_line_dedup(spark, sf).collect()))
