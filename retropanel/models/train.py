@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -15,6 +15,8 @@ from retropanel import settings as S
 from retropanel.functions import expr as E
 from retropanel.models.metrics import compute_metrics
 from retropanel.models.prepare import Prepared, expanding_folds
+from retropanel.models.ridge import alpha_errors
+from retropanel.models.search import Outcome, fold_parts, successive_halving
 
 # Boosting parameters and per-entity regressors.
 BOOSTING = {"maxDepth": 4, "stepSize": 0.05, "maxIter": 200, "subsamplingRate": 0.8, "minInstancesPerNode": 20}
@@ -72,15 +74,9 @@ def cv_summary(folds: DataFrame) -> DataFrame:
 
 
 def ridge_alpha_scores(prep: Prepared, alphas: Sequence[float] = S.RIDGE_ALPHAS) -> DataFrame:
-    """Mean fold error per alpha. The folds are stored once; each fit is one pass for the normal equations."""
-    folded = expanding_folds(prep.rows.filter("split = 'train'"))
-    folded = folded.select("block", "label", "features").persist()
-    rows = []
-    for a in alphas:
-        folds = cross_validate(folded, lambda t, a=a: fit_ridge(t, a))
-        rows.append((float(a), folds.agg(F.avg("rmse")).first()[0]))
-    folded.unpersist()
-    return prep.rows.sparkSession.createDataFrame(rows, "alpha double, rmse double")
+    """Mean fold error per alpha: one scan for the folds' moments, whatever the number of alphas."""
+    folded = expanding_folds(prep.rows.filter("split = 'train'")).select("block", "label", "features")
+    return prep.rows.sparkSession.createDataFrame(alpha_errors(folded, alphas), "alpha double, rmse double")
 
 
 def select_alpha(scores: DataFrame) -> float:
@@ -101,19 +97,9 @@ def fit_boosting(rows: DataFrame, **params):
     ).fit(marked)
 
 
-def boosting_grid(prep: Prepared, grid: Sequence[dict], n_folds: int = 3) -> DataFrame:
-    """Fold-mean error for each parameter set of a stated grid."""
-    folded = expanding_folds(prep.rows.filter("split = 'train'"), n_folds)
-    folded = folded.select("block", "label", "raw").persist()
-    rows = []
-    for params in grid:
-        fit = lambda t, p=params: GBTRegressor(
-            featuresCol="raw", labelCol="label", seed=42, **{**BOOSTING, **p}
-        ).fit(t)
-        score = cross_validate(folded, fit, n_folds).agg(F.avg("rmse")).first()[0]
-        rows.append((int(params["maxDepth"]), float(params["stepSize"]), int(params.get("minInstancesPerNode", BOOSTING["minInstancesPerNode"])), score))
-    folded.unpersist()
-    return prep.rows.sparkSession.createDataFrame(rows, "max_depth int, step_size double, min_leaf int, rmse double")
+def boost(rows: DataFrame, setting: Mapping[str, float], rounds: int):
+    """So many trees with a setting of the grid; the same rows and setting give the same trees."""
+    return GBTRegressor(featuresCol="raw", labelCol="label", seed=42, **{**BOOSTING, **setting, "maxIter": rounds}).fit(rows)
 
 
 # Depths, leaf sizes and steps of the full grid.
@@ -125,10 +111,11 @@ FULL_GRID = [
 ]
 
 
-def best_parameters(scores: DataFrame) -> dict[str, float]:
-    """The grid's setting with the least error; ties go to the smaller setting."""
-    row = scores.filter(F.col("rmse").isNotNull()).orderBy("rmse", "max_depth", "step_size", "min_leaf").first()
-    return {} if row is None else {"maxDepth": row["max_depth"], "stepSize": row["step_size"], "minInstancesPerNode": row["min_leaf"]}
+def boosting_search(prep: Prepared, grid: Sequence[Mapping[str, float]] = FULL_GRID, n_folds: int = 3, rounds: int = BOOSTING["maxIter"], parallelism: int = 8, least: int = 10) -> list[Outcome]:
+    """The settings of a grid, best first: fits over stored expanding folds run side by side, and settings that
+    fall behind are dropped before they cost all their trees."""
+    folds = fold_parts(prep.rows.filter("split = 'train'"), ["label", "raw"], n_folds)
+    return successive_halving(folds, grid, boost, rounds, parallelism=parallelism, least=least)
 
 
 def importance(prep: Prepared, model) -> DataFrame:

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from itertools import combinations
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retropanel.functions import expr as E
+from retropanel.operators.moments import SUMS, pair_moments
 from retropanel.operators.quantiles import average_ranks, exact_quantiles
 from retropanel.operators.reshape import unpivot_all, unpivot_values
 from retropanel.session import materialize
@@ -87,36 +86,21 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str], keys: Sequence[str]
 
 
 def _wide_correlations(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Correlations of many columns from cross products of null-masked blocks of rows.
+    """Correlations of many columns from the moments of all pairs, gathered in one scan.
 
-    Each task adds up five matrices over its rows (columns x columns numbers, whatever the rows) and Spark
-    sums them. Columns are moved to their mean first, which keeps the sums accurate.
+    A side varies if its spread is more than what rounding leaves of equal values.
     """
-    wide = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
-    means = np.array([m or 0.0 for m in wide.agg(*[F.avg(f"c{i}") for i in range(len(columns))]).first()])
-    left, right = (np.array(x) for x in zip(*combinations(range(len(columns)), 2)))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((6, len(left)))
-        for batch in batches:
-            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]) - means
-            seen = ~np.isnan(x)
-            x, m = np.where(seen, x, 0.0), seen.astype(float)
-            one, two = x.T @ m, (x * x).T @ m
-            total += np.stack([(m.T @ m)[left, right], one[left, right], one.T[left, right], two[left, right], two.T[left, right], (x.T @ x)[left, right]])
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(left), dtype=np.int32)), *map(pa.array, total)], ["p", *_MOMENTS])
-
-    schema = "p int, " + ", ".join(f"{m} double" for m in _MOMENTS)
-    sums = wide.mapInArrow(run, schema).groupBy("p").agg(*[F.sum(m).alias(m) for m in _MOMENTS])
+    sums = pair_moments(df, F.array(*[F.col(c).cast("double") for c in columns]))
+    each = F.arrays_zip("centre", *SUMS)
+    pairs = sums.select("i", "centre_i", F.posexplode(each).alias("j", "m")).filter("j > i").select("i", "j", "centre_i", "m.*")
     n = F.col("n")
-    cov = F.col("xy") - F.try_divide(F.col("x") * F.col("y"), n)
-    vx, vy = (F.col(f"{v}{v}") - F.try_divide(F.col(v) * F.col(v), n) for v in "xy")
-    varies = (vx > F.col("xx") * 1e-13) & (vy > F.col("yy") * 1e-13)
-    names = df.sparkSession.createDataFrame([(i, columns[a], columns[b]) for i, (a, b) in enumerate(zip(left.tolist(), right.tolist()))], "p int, a string, b string")
-    return sums.join(names, "p").select("a", "b", F.when(varies, cov / F.sqrt(vx * vy)).alias("r"))
-
-
-_MOMENTS = ("n", "x", "y", "xx", "yy", "xy")
+    cov = F.col("cross") - F.try_divide(F.col("own") * F.col("other"), n)
+    spread = {v: F.col(f"{v}2") - F.try_divide(F.col(v) * F.col(v), n) for v in ("own", "other")}
+    least = {v: F.greatest(F.col(f"{v}2") * 1e-13, n * F.pow(F.nanvl(F.col(c), F.lit(0.0)) * 1e-15, 2)) for v, c in (("own", "centre_i"), ("other", "centre"))}
+    varies = (spread["own"] > least["own"]) & (spread["other"] > least["other"])
+    names = F.array(*map(F.lit, columns))
+    r = F.when(varies, cov / F.sqrt(spread["own"] * spread["other"]))
+    return pairs.select(names[F.col("i")].alias("a"), names[F.col("j")].alias("b"), r.alias("r"))
 
 
 def target_correlations(

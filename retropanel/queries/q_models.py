@@ -8,6 +8,8 @@ from retropanel.functions import expr as E
 from retropanel.models import forecast as FC
 from retropanel.models import metrics as M
 from retropanel.models import prepare as PR
+from retropanel.models import ridge as RI
+from retropanel.models import search as SE
 from retropanel.models import train as TR
 from retropanel.operators import aggregates as A
 from retropanel.operators import windows as W
@@ -129,6 +131,31 @@ def m7(spark, sf):
     return TR.ridge_alpha_scores(prepared(spark, sf))
 
 
+ALPHAS = (0.1, 100.0, 100000.0)
+
+
+@query(
+    "m7_two_feature_alphas",
+    f"""WITH r AS (SELECT date_id, CAST(nb_dpe_total AS DOUBLE) AS x, CAST(nb_installations_clim AS DOUBLE) AS z, CAST(nb_installations_pac AS DOUBLE) AS y FROM v_facts WHERE date_id <= {TRAIN_END}),
+m AS (SELECT date_id, count(*) AS c FROM r GROUP BY 1),
+b AS (SELECT date_id, least(floor(coalesce(sum(c) OVER (ORDER BY date_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) * 4 / (SELECT sum(c) FROM m)), 3) AS block FROM m),
+f AS (SELECT r.*, block FROM r JOIN b ON r.date_id = b.date_id), k AS (SELECT unnest([1, 2, 3]) AS k), a AS (SELECT unnest([{', '.join(map(str, ALPHAS))}]::DOUBLE[]) AS alpha),
+t AS (SELECT k, alpha, avg(x) AS mx, avg(z) AS mz, avg(y) AS my, var_pop(x) * count(*) + alpha AS xx, var_pop(z) * count(*) + alpha AS zz, covar_pop(x, z) * count(*) AS xz,
+  covar_pop(x, y) * count(*) AS xy, covar_pop(z, y) * count(*) AS zy FROM f JOIN k ON block < k, a GROUP BY k, alpha),
+s AS (SELECT *, (zz * xy - xz * zy) / (xx * zz - xz * xz) AS bx, (xx * zy - xz * xy) / (xx * zz - xz * xz) AS bz FROM t),
+e AS (SELECT alpha, k, sqrt(avg((y - my - bx * (x - mx) - bz * (z - mz)) ** 2)) AS rmse FROM s JOIN f ON block = k GROUP BY alpha, k)
+SELECT alpha, {he('avg(rmse)', 6)} AS rmse FROM e GROUP BY alpha""",
+)
+def m7_two(spark, sf):
+    """The penalties' scores on two inputs, whose solutions are formulas."""
+    from pyspark.ml.feature import VectorAssembler
+
+    train = B.facts(spark, sf).filter(F.col("date_id") <= TRAIN_END).withColumn("label", F.col(TARGET).cast("double"))
+    rows = VectorAssembler(inputCols=["nb_dpe_total", "nb_installations_clim"], outputCol="features").transform(train)
+    folded = PR.expanding_folds(rows).select("block", "label", "features")
+    return E.round_doubles(spark.createDataFrame(RI.alpha_errors(folded, ALPHAS), "alpha double, rmse double"), 6)
+
+
 @query("m8_gradient_boosting")
 def m8(spark, sf):
     prep = prepared(spark, sf)
@@ -147,19 +174,23 @@ def m10(spark, sf):
     return TR.predictions(TR.fit_ridge(prep.rows.filter("split = 'train'"), 1.0), prep.rows, "ridge_exogenous")
 
 
+def folded_rows(prep, *columns):
+    return PR.expanding_folds(prep.rows.filter("split = 'train'")).select("block", "label", *columns)
+
+
 @query("m11_cross_validation")
 def m11(spark, sf):
     prep = prepared(spark, sf)
-    folded = materialize(
-        PR.expanding_folds(prep.rows.filter("split = 'train'")).select("block", "label", "features")
-    )
-    return TR.cv_summary(TR.cross_validate(folded, lambda t: TR.fit_ridge(t, 1.0)))
+    return TR.cv_summary(RI.fold_metrics(materialize(folded_rows(prep, "features")), 1.0))
+
+
+SETTING = {"maxDepth": "max_depth", "minInstancesPerNode": "min_leaf", "stepSize": "step_size"}
 
 
 @query("m12_parameter_grid")
 def m12(spark, sf):
-    grid = [{"maxDepth": d, "stepSize": s, "maxIter": 5} for d in (3, 4) for s in (0.1, 0.3)]
-    return M.grid_summary(TR.boosting_grid(prepared(spark, sf), grid), ["max_depth"])
+    """The whole grid of 36 settings, up to 200 trees each in three folds."""
+    return SE.outcome_frame(spark, TR.boosting_search(prepared(spark, sf)), SETTING)
 
 
 NAIVE = f"SELECT dept, date_id, {SPLIT} AS split, CAST(nb_installations_pac AS DOUBLE) AS label, CAST(lag(nb_installations_pac) OVER (PARTITION BY dept ORDER BY date_id) AS DOUBLE) AS prediction FROM v_facts"

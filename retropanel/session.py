@@ -20,6 +20,7 @@ def build_session(app: str = "retropanel", master: str | None = None, **conf: st
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.scheduler.mode": "FAIR",  # concurrent fits of a search share the cluster evenly
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.python.sql.dataFrameDebugging.enabled": "false",  # no call-site capture per column
@@ -55,11 +56,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     """Write a frame once to the shared folder, where several later plans read it.
 
-    The files outlive any executor, so a lost executor re-reads them instead of recomputing the scan.
+    The files outlive any executor, so a lost executor re-reads them instead of recomputing the scan. With
+    ``partition_by`` each value of that column is a directory of its own.
     """
     path = scratch_path(df.sparkSession, "stage")
-    df.write.parquet(path)
+    (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

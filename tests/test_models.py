@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from retropanel.models import forecast as FC
 from retropanel.models import metrics as M
 from retropanel.models import prepare as PR
+from retropanel.models import ridge as RI
+from retropanel.models import search as SE
 from retropanel.models import train as TR
 from retropanel.plans.features import engineer
 
@@ -193,3 +195,80 @@ def test_recursive_forecast_matches_a_loop(features, prep):
             scaled = np.where(rng_ != 0, (x[i] - med) / np.where(rng_ == 0, 1, rng_), 0.0)
             prev = max(float(scaled @ coef + model.intercept), 0.0)
             assert got[(dept, i + 1)] == pytest.approx(round(prev, 2), abs=0.011)
+
+
+def test_gram_scores_equal_fitted_folds(prep):
+    """Every fold and penalty from the rows themselves, and near the library's iterative fits."""
+    folded = PR.expanding_folds(prep.rows.filter("split = 'train'")).cache()
+    data = [(r["block"], np.append(r["features"].toArray(), r["label"])) for r in folded.select("block", "features", "label").collect()]
+    for alpha, error in RI.alpha_errors(folded, (0.01, 1.0, 100.0)):
+        errors = []
+        for k in (1, 2, 3):
+            train, held = (np.array([v for b, v in data if keep(b)]) for keep in (lambda b: b < k, lambda b: b == k))
+            x, y = train[:, :-1] - train[:, :-1].mean(0), train[:, -1] - train[:, -1].mean()
+            beta = np.linalg.solve(x.T @ x + alpha * np.eye(x.shape[1]), x.T @ y)
+            errors.append(np.sqrt(np.mean((held[:, -1] - train[:, -1].mean() - (held[:, :-1] - train[:, :-1].mean(0)) @ beta) ** 2)))
+        assert error == pytest.approx(np.mean(errors), rel=1e-8)
+        got = {r["fold"]: r for r in RI.fold_metrics(folded, alpha).collect()}
+        assert [got[k]["rmse"] for k in (1, 2, 3)] == pytest.approx(errors, rel=1e-8)
+        for r in TR.cross_validate(folded, lambda t, a=alpha: TR.fit_ridge(t, a)).collect() if alpha >= 1 else ():
+            for m in ("n", "rmse", "mae", "mape", "r2"):
+                assert got[r["fold"]][m] == pytest.approx(r[m], rel=5e-3), (alpha, r["fold"], m)
+    assert RI.alpha_errors(folded.limit(0), (1.0,)) == [(1.0, None)]
+    assert RI.fold_metrics(folded.limit(0), 1.0).count() == 0
+
+
+def test_one_scan_gathers_all_folds(spark, prep):
+    """The moments read the rows once, however many penalties and folds there are."""
+    folded = PR.expanding_folds(prep.rows.filter("split = 'train'")).select("block", "label", "features")
+    read = spark.sparkContext.accumulator(0)
+    schema = folded.schema
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    spied = folded.mapInArrow(counted, schema)
+    RI.alpha_errors(spied, (0.1, 1.0, 10.0, 100.0))
+    assert read.value == folded.count()
+
+
+def test_halving_keeps_the_best(spark):
+    """A made-up error surface: settings are dropped rung by rung, the best one gets all its rounds."""
+    calls = []
+
+    class Scored:
+        def __init__(self, by):
+            self.by = by
+
+        def transform(self, rows):
+            return rows.withColumn("prediction", F.col("label") + F.lit(self.by))
+
+    def fit(rows, setting, rounds):
+        calls.append((setting["a"], rounds))
+        return Scored(abs(setting["a"] - 7) + 1 / rounds)
+
+    rows = spark.createDataFrame([(k, float(k)) for k in range(20)], "id int, label double")
+    folds = [(rows, rows.limit(10)), (rows, rows)]
+    grid = [{"a": a} for a in range(20)]
+    out = SE.successive_halving(folds, grid, fit, rounds=160, keep=4, least=5, parallelism=3)
+    assert SE.rungs(160, 20, 4, 5) == [(20, 10), (5, 40), (1, 160)]
+    assert [o.place for o in out] == list(range(1, 21)) and out[0].setting == {"a": 7} and out[0].rounds == 160
+    assert {o.setting["a"] for o in out[:5]} == {5, 6, 7, 8, 9} and out[0].rmse == pytest.approx(1 / 160)
+    assert sorted(o.rounds for o in out) == [10] * 15 + [40] * 4 + [160]
+    assert len(calls) == 2 * (20 + 5 + 1)
+    frame = SE.outcome_frame(spark, out, {"a": "a"}).collect()
+    assert [r["place"] for r in frame if r["best"]] == [1] and len(frame) == 20
+    with pytest.raises(ZeroDivisionError):  # a failed fit is not passed over
+        SE.successive_halving(folds, grid[:2], lambda t, s, n: 1 / 0, rounds=10)
+
+
+def test_grid_of_trees(prep):
+    """A small grid of the real fits; a setting's error is that of fitting it alone."""
+    grid = [{"maxDepth": d, "stepSize": s, "minInstancesPerNode": 5} for d in (2, 3) for s in (0.1, 0.3)]
+    out = TR.boosting_search(prep, grid, rounds=8, least=8, parallelism=4)
+    assert len(out) == 4 and [o.rmse for o in out] == sorted(o.rmse for o in out) and {o.rounds for o in out} == {8}
+    folds = SE.fold_parts(prep.rows.filter("split = 'train'"), ["label", "raw"])
+    alone = [SE.fold_error(TR.boost, out[0].setting, 8, t, v) for t, v in folds]
+    assert out[0].rmse == pytest.approx(np.mean(alone), rel=1e-9)
