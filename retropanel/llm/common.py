@@ -51,12 +51,18 @@ def bounded_batches(df: DataFrame) -> DataFrame:
 _HELD: list[tuple[str, object]] = []
 
 
-def worker_object(key: str, make: Callable[[], object]) -> object:
-    """What a Python worker keeps from task to task: one object, the last one's memory is given back first."""
-    if not _HELD or _HELD[0][0] != key:
+def release() -> None:
+    """Give back what this Python worker keeps; tasks that keep nothing call it before they start."""
+    if _HELD:
         _HELD.clear()
         gc.collect()
         pa.default_memory_pool().release_unused()
+
+
+def worker_object(key: str, make: Callable[[], object]) -> object:
+    """What a Python worker keeps from task to task: one object, the last one's memory is given back first."""
+    if not _HELD or _HELD[0][0] != key:
+        release()
         _HELD.append((key, make()))
     return _HELD[0][1]
 
@@ -70,11 +76,11 @@ def fields(**kinds: str) -> T.StructType:
     return T.StructType.fromDDL(", ".join(f"`{k}` {v}" for k, v in kinds.items()))
 
 
-def with_text_columns(docs: DataFrame, text: str, new: T.StructType, make: Callable[[], Columns], keep: Sequence[str], chunk_bytes: int = ragged.CHUNK_BYTES) -> DataFrame:
+def with_text_columns(docs: DataFrame, text: str, new: T.StructType, make: Callable[[], Columns], keep: Sequence[str], chunk_bytes: int = ragged.CHUNK_BYTES, held: bool = False) -> DataFrame:
     """Columns computed from the texts beside the kept input columns, chunk by chunk in Arrow batches.
 
-    ``make()`` runs once in each task and gives a function from a chunk to one array per new field. A kept
-    column that has the name of a new one gives way to it.
+    ``make()`` runs once in each task and gives a function from a chunk to one array per new field; it is
+    ``held`` if it works with a worker's object. A kept column that has the name of a new one gives way to it.
     """
     keep = [c for c in keep if c not in new.fieldNames()]
     # a kept text column travels once
@@ -84,6 +90,8 @@ def with_text_columns(docs: DataFrame, text: str, new: T.StructType, make: Calla
     kinds = [arrow_type(f.dataType) for f in new.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not held:
+            release()
         columns = make()
         for batch in batches:
             for at, chunk in ragged.chunks(ragged.texts(batch.column(at_text)), chunk_bytes):

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from retropanel.llm import ragged
-from retropanel.llm.common import bounded_batches, fields, stored
+from retropanel.llm.common import bounded_batches, fields, release, stored
 from retropanel.session import scratch_path
 
 BATCHES = 4
@@ -64,6 +64,7 @@ def keyed_lines(docs: DataFrame) -> DataFrame:
     """(doc, h): the distinct keys of every row of (doc, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             doc = batch.column(0).to_numpy(zero_copy_only=False)
             for at, chunk in ragged.chunks(ragged.texts(batch.column(1))):
@@ -146,18 +147,21 @@ def drop_repeated_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_
     cuts = keyed.agg(F.percentile_approx("doc", [k / batches for k in range(1, batches)], 10_000)).first()[0] or []
     bounds = [None, *sorted(set(cuts)), None]
     runs, dropped = Runs(spark), None
-    for low, high in zip(bounds, bounds[1:]):
-        part = keyed if low is None else keyed.filter(F.col("doc") > low)
-        part = part if high is None else part.filter(F.col("doc") <= high)
-        gone = absorb(runs, part)
-        dropped = gone if dropped is None else dropped.unionByName(gone)
-    runs.close()
+    try:
+        for low, high in zip(bounds, bounds[1:]):
+            part = keyed if low is None else keyed.filter(F.col("doc") > low)
+            part = part if high is None else part.filter(F.col("doc") <= high)
+            gone = absorb(runs, part)
+            dropped = gone if dropped is None else dropped.unionByName(gone)
+    finally:
+        runs.close()
     gone = dropped.groupBy("doc").agg(F.collect_list("h").alias("__gone__"))
     rows = docs.join(gone.withColumnRenamed("doc", "__doc__"), "__doc__", "left").select(*[f"`{c}`" for c in names], "__gone__")
     at_text = names.index(text)
     schema = T.StructType([T.StructField(text, T.StringType()) if f.name == text else f for f in schema.fields] + fields(n_lines="bigint", n_dropped="bigint").fields)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in parts:
             for at, chunk in ragged.chunks(ragged.texts(batch.column(at_text))):
                 n = len(chunk.offsets) - 1

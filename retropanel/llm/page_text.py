@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from retropanel.llm import crf, dom
-from retropanel.llm.common import bounded_batches, fields
+from retropanel.llm.common import bounded_batches, fields, release
 from retropanel.llm.page_layouts import MARK, Writer
 
 SAMPLE = 400
@@ -132,6 +132,7 @@ def extract(pages: DataFrame, model: crf.Model, html: str = "html", keep: tuple[
     rows = pages.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{html}`").cast("string").alias("__html__"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         reader = Extractor(shared.value)
         for batch in batches:
             texts = [t.encode("utf-8", "replace").decode("utf-8") for t in reader.texts(batch.column(len(keep)).to_pylist())]

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from retropanel.llm import ragged
-from retropanel.llm.common import fields, stored, with_text_columns
+from retropanel.llm.common import fields, release, stored, with_text_columns
 from retropanel.llm.components import components
 from retropanel.llm.xxh import xxh64
 
@@ -59,9 +59,9 @@ def fingerprints(rows: ragged.Texts, width: int = 3) -> np.ndarray:
     return out
 
 
-def with_fingerprints(docs: DataFrame, text: str = "text", width: int = 3, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def with_fingerprints(docs: DataFrame, text: str = "text", width: int = 3, keep: tuple[str, ...] = ("doc_id",), name: str = "fp") -> DataFrame:
     """Kept columns and ``fp``, the fingerprint as a signed long (0 for a text without words)."""
-    return with_text_columns(docs, text, fields(fp="bigint"), lambda: lambda chunk: [fingerprints(chunk, width).view(np.int64)], keep)
+    return with_text_columns(docs, text, fields(**{name: "bigint"}), lambda: lambda chunk: [fingerprints(chunk, width).view(np.int64)], keep)
 
 
 def _per_batch(df: DataFrame, schema: str, make) -> DataFrame:
@@ -69,6 +69,7 @@ def _per_batch(df: DataFrame, schema: str, make) -> DataFrame:
     names = T.StructType.fromDDL(schema).fieldNames()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             fp = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
             for at in range(0, len(fp), 20_000):
@@ -208,6 +209,13 @@ def links(fps: DataFrame) -> DataFrame:
     return near.select(F.col("fp").alias("a"), F.col("other").alias("b")).union(star)
 
 
+def _labelled(fps: DataFrame) -> DataFrame:
+    """Distinct fingerprints with the ``component`` that links put them in."""
+    fps = stored(fps, "distinct-fingerprints")
+    labels = components(links(fps)).withColumnRenamed("node", "fp")
+    return fps.join(labels, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = 3) -> DataFrame:
     """(doc_id, fp, component_id): the component is the smallest doc_id that links lead to, itself included.
 
@@ -217,9 +225,22 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     number; a null doc_id has a component but never names one; an empty table gives an empty result.
     """
     rows = stored(with_fingerprints(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")), "text", width), "fingerprints")
-    fps = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
-    labels = components(links(fps)).withColumnRenamed("node", "fp")
-    labelled = fps.join(labels, "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
+    labelled = _labelled(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
     smallest = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
     names = labelled.join(smallest, "component").select("fp", "component_id")
     return rows.join(names, "fp").select("doc_id", "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = 3) -> DataFrame:
+    """The rows of ``docs``, one of each component of ``near_duplicates``: that with the smallest doc_id, null
+    last, then the first as stored.
+
+    Rows are told apart by a stored number, so a doc_id may repeat or be missing, and all columns stay,
+    whatever their names. Texts without words (null included) are one component with whatever is within
+    the radius of fingerprint 0. An empty table gives an empty result.
+    """
+    counted = docs.withColumn("__num__", F.monotonically_increasing_id())
+    rows = stored(with_fingerprints(counted, text, width, tuple(counted.columns), "__fp__"), "fingerprinted")
+    first = F.min(F.struct(F.col(f"`{doc_id}`").isNull().alias("nameless"), F.col(f"`{doc_id}`").alias("doc_id"), F.col("__num__").alias("num"))).alias("first")
+    kept = _labelled(rows.groupBy(F.col("__fp__").alias("fp")).agg(first)).groupBy("component").agg(F.min("first").alias("first"))
+    return rows.join(kept.select(F.col("first.num").alias("__num__")), "__num__", "left_semi").select(*[f"`{c}`" for c in docs.columns])

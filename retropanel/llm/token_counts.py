@@ -30,4 +30,4 @@ def token_counts(docs: DataFrame, vocabulary: str, text: str = "text", limit: in
 
         return columns
 
-    return with_text_columns(docs, text, fields(n_bytes="bigint", n_tokens="bigint", over_limit="boolean"), make, keep)
+    return with_text_columns(docs, text, fields(n_bytes="bigint", n_tokens="bigint", over_limit="boolean"), make, keep, held=True)

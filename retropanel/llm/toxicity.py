@@ -230,4 +230,4 @@ def toxicity_scores(docs: DataFrame, model: Model, text: str = "text", keep: tup
 
         return columns
 
-    return with_text_columns(docs, text, fields(score="double", predicted="int"), make, keep)
+    return with_text_columns(docs, text, fields(score="double", predicted="int"), make, keep, held=True)

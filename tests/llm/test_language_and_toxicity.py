@@ -1,4 +1,5 @@
 import math
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -142,6 +143,45 @@ def test_toxicity_learns_words_and_their_misspellings(spark, edge, empty):
     assert {r["predicted"] for r in toxicity.toxicity_scores(edge, unlearned).collect()} == {0}
 
 
+def plain_score(model, text):
+    """The score from its definition, one word and one window at a time."""
+    words = re.findall(rb"[0-9a-z\x80-\xff]+", bytes(c + 32 if 65 <= c <= 90 else c for c in (text or "").encode()))
+    words = [w for i, w in enumerate(words) if i == 0 or words[i - 1] != w]
+
+    def value(word):
+        points = [32, *(ord(c.lower() if len(c.lower()) == 1 else c) for c in word.decode()), 32]
+        keys = []
+        for n in (3, 4, 5):
+            for i in range(len(points) - n + 1):
+                h = n + sum(p * int(m) for p, m in zip(points[i : i + n], toxicity._MULTIPLIERS))
+                keys.append(int(ragged.mix(np.array([h % (1 << 64)], np.uint64))[0]))
+        keys.append(int(ragged.hashes(np.frombuffer(word, np.uint8), np.array([0]), np.array([len(word)]))[0]))
+        return np.mean([float(model.bucket[k % toxicity.BUCKETS]) for k in keys])
+
+    values = [value(w) for w in words]
+    starts = sorted({*range(0, max(len(words) - 16, 0), 8), max(len(words) - 16, 0)})
+    top = max(sum(values[a : a + 16]) / 16 for a in starts) if words else 0.0
+    return 1 / (1 + math.exp(-(top + model.bias)))
+
+
+def test_scores_follow_their_definition(spark, edge):
+    rows = toxic_corpus(3, 400)
+    model = toxicity.train(ragged.of_strings([r[1] for r in rows]), np.array([r[2] for r in rows]), epochs=3)
+    texts = [r[1] for r in toxic_corpus(4, 60)] + [r["text"] for r in edge.collect() if len(r["text"] or "") < 6000] + ["Word word WORD other", "été ÉTÉ 日本 a"]
+    got = toxicity.Scorer(model)(ragged.of_strings(texts))
+    assert got == pytest.approx([plain_score(model, t) for t in texts], abs=1e-6)
+
+
+def test_held_out_toxicity(spark):
+    """Documents whose labels the query never sees."""
+    sf = "/root/testdata/sf0.1"
+    toxic = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    held = [(toxic[r["doc_id"]], r["predicted"], r["score"]) for r in queries.op6_toxicity(spark, sf).collect() if r["held_out"] and r["doc_id"] in toxic]
+    bad, clean = [p for t, p, _ in held if t == 1], [p for t, p, _ in held if t == 0]
+    assert len(bad) > 50 and np.mean(bad) >= 0.7 and np.mean(clean) <= 0.03
+    assert np.mean([s for t, _, s in held if t == 1]) > 0.5 + np.mean([s for t, _, s in held if t == 0])
+
+
 def test_sample_ignores_held_out_and_repeated_rows(spark):
     docs = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c"), (3, None), (4, "x" * 40_000)], "doc_id bigint, text string")
     labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (3, 0), (4, 1)], "doc_id bigint, toxic int")
