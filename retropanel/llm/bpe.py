@@ -106,44 +106,60 @@ class MergeTable:
         return ids[order], np.searchsorted(owner[order], np.arange(n + 1))
 
 
+class Generation:
+    """The ids of up to ``most`` units in flat arrays: unit k has ``pool[first[k]:first[k] + count[k]]``."""
+
+    def __init__(self, most: int) -> None:
+        self.slots = ragged.Slots(most)
+        self.first, self.count, self.pool, self.size = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.uint32), 0
+
+    def add(self, keys: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        held = self.slots.held
+        self.first = ragged.grown(self.first, held, np.cumsum(counts) - counts + self.size)
+        self.count = ragged.grown(self.count, held, counts)
+        self.pool = ragged.grown(self.pool, self.size, ids)
+        self.size += len(ids)
+        return self.slots.add(keys)
+
+    def ids(self, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of units, one after another, and how many each has."""
+        n = self.count[slot].astype(np.int64)
+        return self.pool[ragged.spread(self.first[slot], n)], n
+
+
 class UnitEncoder:
     """Encodes batches of texts by their units; a distinct unit is encoded once while it is remembered.
 
-    ``encode(units)`` gives the ids of each unit (a list of str), ``whole(text)`` those of a text that
-    holds a special string, which units can't be cut around. ``remember`` bounds the memory, not the
-    results: when so many units are held, all are forgotten and encoded again as they come.
+    ``encode(rows, starts, ends)`` gives the ids of byte ranges of a chunk, ``whole(text)`` those of a text
+    that holds a special string, which units can't be cut around. ``remember`` bounds the memory, not the
+    results: of two generations of so many units the older is forgotten when the younger is full, and units
+    met again have moved on to the younger by then.
     """
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], whole: Callable[[str], list[int]], specials: list[bytes], cut: Callable[[ragged.Texts], ragged.Words] = ragged.units, remember: int = 400_000) -> None:
+    def __init__(self, encode: Callable[[ragged.Texts, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]], whole: Callable[[str], list[int]], specials: list[bytes], cut: Callable[[ragged.Texts], ragged.Words] = ragged.units, remember: int = 400_000) -> None:
         self.encode, self.whole, self.specials, self.cut, self.remember = encode, whole, specials, cut, remember
-        self.forget()
-
-    def forget(self) -> None:
-        self.slots: dict[int, int] = {}
-        self.first, self.count, self.pool = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
-        self.size = 0
+        self.young, self.old = Generation(remember), None
 
     def slots_of(self, rows: ragged.Texts, found: ragged.Words) -> np.ndarray:
-        """The slot of every unit of a chunk; unseen units are encoded into new slots."""
-        place, distinct, example = ragged.distinct(ragged.hashes(rows.data, found.starts, found.ends))
-        if len(self.slots) + len(distinct) > self.remember:
-            self.forget()
-        slot = np.fromiter(map(self.slots.get, distinct.tolist(), [-1] * len(distinct)), np.int64, len(distinct))
-        new = np.flatnonzero(slot < 0)
-        if len(new):
-            data = rows.data.tobytes()
-            texts = [data[a:b].decode("utf-8", "replace") for a, b in zip(found.starts[example[new]].tolist(), found.ends[example[new]].tolist())]
-            ids, bounds = self.encode(texts)
-            at = len(self.slots)
-            slot[new] = np.arange(at, at + len(new))
-            self.slots.update(zip(distinct[new].tolist(), range(at, at + len(new))))
-            self.first.append(bounds[:-1] + self.size)
-            self.count.append(np.diff(bounds))
-            self.pool.append(ids.astype(np.uint32))
-            self.size += len(ids)
-        for kept in (self.first, self.count, self.pool):
-            kept[:] = [np.concatenate(kept)] if len(kept) > 1 else kept
-        return slot[place]
+        """The slot of every unit of a chunk in the younger generation; unseen units are encoded."""
+        hashed = ragged.hashes(rows.data, found.starts, found.ends)
+        slot = self.young.slots.find(hashed)
+        missing = np.flatnonzero(slot < 0)
+        keys, example, place = np.unique(hashed[missing], return_index=True, return_inverse=True)
+        if self.young.slots.held + len(keys) > self.young.slots.most or self.young.size > 16 * self.remember:
+            missing = np.arange(len(hashed))
+            keys, example, place = np.unique(hashed, return_index=True, return_inverse=True)
+            self.old, self.young = self.young, Generation(max(self.remember, len(keys)))
+        example, fresh = missing[example], np.empty(len(keys), np.int64)
+        before = self.old.slots.find(keys) if self.old else np.full(len(keys), -1)
+        again, new = before >= 0, before < 0
+        if again.any():
+            fresh[again] = self.young.add(keys[again], *self.old.ids(before[again]))
+        if new.any():
+            ids, bounds = self.encode(rows, found.starts[example[new]], found.ends[example[new]])
+            fresh[new] = self.young.add(keys[new], ids.astype(np.uint32), np.diff(bounds))
+        slot[missing] = fresh[place]
+        return slot
 
     def special_rows(self, rows: ragged.Texts) -> list[int]:
         data, hits = rows.data.tobytes(), set()
@@ -157,7 +173,8 @@ class UnitEncoder:
     def counts(self, rows: ragged.Texts) -> np.ndarray:
         """Number of ids of each row of a chunk."""
         found = self.cut(rows)
-        out = ragged.row_sums(self.count[0][slots] if len(slots := self.slots_of(rows, found)) and len(self.count) == 1 else np.zeros(0, np.int64), found.bounds)
+        slots = self.slots_of(rows, found)
+        out = ragged.row_sums(self.young.count[slots].astype(np.int64), found.bounds)
         for i in self.special_rows(rows):
             out[i] = len(self.whole(rows.row(i).decode("utf-8", "replace")))
         return out
@@ -165,9 +182,8 @@ class UnitEncoder:
     def ids(self, rows: ragged.Texts) -> tuple[np.ndarray, np.ndarray]:
         """Ids of a chunk and the borders of its rows: (ids, bounds)."""
         found = self.cut(rows)
-        slots = self.slots_of(rows, found)
-        n = self.count[0][slots] if len(slots) else np.zeros(0, np.int64)
-        ids = self.pool[0][ragged.spread(self.first[0][slots], n)] if len(slots) else np.zeros(0, np.uint32)
+        slots = self.slots_of(rows, found)  # may turn the generations
+        ids, n = self.young.ids(slots)
         sizes = ragged.row_sums(n, found.bounds)
         special = self.special_rows(rows)
         if special:
@@ -194,6 +210,26 @@ def ragged_ids(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     return np.fromiter((i for x in lists for i in x), np.uint32, int(bounds[-1])), bounds.astype(np.int64)
 
 
+def strings(rows: ragged.Texts, starts: np.ndarray, ends: np.ndarray) -> list[str]:
+    """Byte ranges as str."""
+    data = rows.data.tobytes()
+    return [data[a:b].decode("utf-8", "replace") for a, b in zip(starts.tolist(), ends.tolist())]
+
+
+def lines_of(rows: ragged.Texts, starts: np.ndarray, ends: np.ndarray, per: int = PER_CALL) -> list[str]:
+    """Byte ranges with a newline behind each, so many to a text."""
+    sizes = ends - starts + 1
+    closes = np.cumsum(sizes)
+    out = np.full(int(closes[-1]) if len(closes) else 0, 10, np.uint8)
+    inside = np.ones(len(out), bool)
+    inside[closes - 1] = False
+    out[inside] = rows.data[ragged.spread(starts, sizes - 1)]
+    raw, cuts = out.tobytes(), [0, *closes[per - 1 :: per].tolist()]
+    if len(closes) % per:
+        cuts.append(len(raw))
+    return [raw[a:b].decode("utf-8", "replace") for a, b in zip(cuts, cuts[1:])]
+
+
 def library_encoder(vocabulary: str, remember: int = 400_000) -> UnitEncoder:
     """Byte-level ids by the tokenizers library, each distinct unit encoded once."""
 
@@ -207,27 +243,31 @@ def library_encoder(vocabulary: str, remember: int = 400_000) -> UnitEncoder:
 
         newline = library.encode("\n", add_special_tokens=False).ids
 
-        def encode(units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        def encode(rows: ragged.Texts, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             """Units that neither start nor end a run of white space go to the library as the lines of a
             few long texts: there a newline is a pre-token of its own, so the ids between newlines are
             those of the units."""
-            lines = [i for i, u in enumerate(units) if not u[-1].isspace() and (not u[0].isspace() or u[0] == " " and not u[1].isspace())] if len(newline) == 1 else []
-            rest = sorted(set(range(len(units))).difference(lines))
-            joined = ["\n".join([units[i] for i in lines[k : k + PER_CALL]]) + "\n" for k in range(0, len(lines), PER_CALL)]
-            ids = np.concatenate([np.zeros(0, np.uint32), *(np.array(e.ids, np.uint32) for e in library.encode_batch_fast(joined, add_special_tokens=False))])
-            ends = np.flatnonzero(ids == newline[0]) if newline else np.zeros(0, np.int64)
-            ids = np.delete(ids, ends)
-            ends -= np.arange(len(ends))
-            others, bounds = ragged_ids([e.ids for e in library.encode_batch_fast([units[i] for i in rest], add_special_tokens=False)])
+            space = ragged.white(rows.data)
+            blank = (rows.data[starts] == 0x20) & (ends - starts > 1) & ~space[np.minimum(starts + 1, len(space) - 1)]
+            plain = ~space[ends - 1] & (~space[starts] | blank) if len(newline) == 1 else np.zeros(len(starts), bool)
+            lines, rest = np.flatnonzero(plain), np.flatnonzero(~plain)
+            found = [np.zeros(0, np.uint32)]
+            for text in lines_of(rows, starts[lines], ends[lines]):  # one at a time: the library's results are large
+                found.extend(np.array(e.ids, np.uint32) for e in library.encode_batch_fast([text], add_special_tokens=False))
+            ids = np.concatenate(found)
+            closes = np.flatnonzero(ids == newline[0]) if newline else np.zeros(0, np.int64)
+            ids = np.delete(ids, closes)
+            closes -= np.arange(len(closes))
+            others, bounds = ragged_ids([e.ids for e in library.encode_batch_fast(strings(rows, starts[rest], ends[rest]), add_special_tokens=False)])
             # back into the order of the units
-            first, n = np.zeros(len(units), np.int64), np.zeros(len(units), np.int64)
-            n[lines], n[rest] = np.diff(ends, prepend=0), np.diff(bounds)
-            first[lines], first[rest] = ends - n[lines], bounds[:-1] + len(ids)
+            first, n = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
+            n[lines], n[rest] = np.diff(closes, prepend=0), np.diff(bounds)
+            first[lines], first[rest] = closes - n[lines], bounds[:-1] + len(ids)
             return np.concatenate([ids, others])[ragged.spread(first, n)], np.concatenate([[0], np.cumsum(n)])
 
         return UnitEncoder(encode, lambda text: library.encode(text, add_special_tokens=False).ids, special_strings(vocabulary), remember=remember)
 
-    return once(f"library {remember}", vocabulary, make)
+    return once("library", vocabulary, make)
 
 
 def merging_encoder(vocabulary: str) -> UnitEncoder:
@@ -246,16 +286,19 @@ def merging_encoder(vocabulary: str) -> UnitEncoder:
                 return pattern.findall(text)
             return [text[a:b] for _, (a, b) in library.pre_tokenizer.pre_tokenize_str(text)]
 
-        def encode(units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        def merged(units: list[str]) -> tuple[np.ndarray, np.ndarray]:
             tokens = [split(u) for u in units]
             ids, bounds = table.merge(ragged.of_strings([t for u in tokens for t in u]))
             return ids, bounds[np.concatenate([[0], np.cumsum([len(u) for u in tokens])]).astype(np.int64)]
 
+        def encode(rows: ragged.Texts, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            return merged(strings(rows, starts, ends))
+
         def whole(text: str) -> list[int]:
             parts = around.split(text)
             out: list[int] = []
             for k, part in enumerate(parts):
-                out.extend([specials[part]] if k % 2 else encode([part])[0].tolist() if part else [])
+                out.extend([specials[part]] if k % 2 else merged([part])[0].tolist() if part else [])
             return out
 
         return UnitEncoder(encode, whole, [s.encode() for s in specials])

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retropanel.llm import bpe, ragged
-from retropanel.llm.common import bounded_batches, fields, stored, with_text_columns
+from retropanel.llm.common import bounded_batches, fields, release, stored, with_text_columns
 
 #: The pre-token pattern of the word-end vocabulary; white space is dropped.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -146,6 +146,7 @@ def frequent_words(docs: DataFrame, text: str = "text", size: int = 65_536) -> l
     rows = docs.select(F.col(f"`{text}`").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             for _, chunk in ragged.chunks(ragged.texts(batch.column(0)), 8 * ragged.CHUNK_BYTES):
                 found = ragged.words(chunk)
@@ -185,7 +186,7 @@ def lexicon_encoder(vocabulary: str, compiled: bytes) -> bpe.UnitEncoder:
         specials = {t["content"]: t["id"] for t in json.loads(vocabulary)["added_tokens"]}
         around = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(specials, key=len, reverse=True)) + ")")
 
-        def encode(units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        def coded(units: list[str]) -> tuple[np.ndarray, np.ndarray]:
             tokens = [split(u) for u in units]
             place, distinct = pd.factorize(np.array([t for u in tokens for t in u], object))
             rows = ragged.of_strings(list(distinct))
@@ -201,10 +202,13 @@ def lexicon_encoder(vocabulary: str, compiled: bytes) -> bpe.UnitEncoder:
             per_unit = np.concatenate([[0], np.cumsum([len(u) for u in tokens])]).astype(np.int64)
             return ids, np.concatenate([[0], np.cumsum(n[place])])[per_unit]
 
+        def encode(rows: ragged.Texts, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            return coded(bpe.strings(rows, starts, ends))
+
         def whole(text: str) -> list[int]:
             out: list[int] = []
             for k, part in enumerate(around.split(text)):
-                out.extend([specials[part]] if k % 2 else encode([part])[0].tolist() if part else [])
+                out.extend([specials[part]] if k % 2 else coded([part])[0].tolist() if part else [])
             return out
 
         return bpe.UnitEncoder(encode, whole, [s.encode() for s in specials], cut=ragged.words)
@@ -243,4 +247,4 @@ def encode_decode(docs: DataFrame, vocabulary: str, text: str = "text", size: in
 
         return columns
 
-    return with_text_columns(docs, text, fields(n_tokens="bigint", **kind), make, keep)
+    return with_text_columns(docs, text, fields(n_tokens="bigint", **kind), make, keep, held=True)

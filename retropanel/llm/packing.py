@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from retropanel.llm import bpe, ragged
-from retropanel.llm.common import bounded_batches, bytes_of, fields, stored
+from retropanel.llm.common import bounded_batches, bytes_of, fields, release, stored
 
 
 class CapacityTree:
@@ -105,7 +105,7 @@ def cut(docs: DataFrame, vocabulary: str, capacity: int = 2048, end_id: int = 0,
     made = fields(piece="int", start="bigint", length="bigint", ids="binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = bpe.library_encoder(shared.value, 150_000)
+        encoder = bpe.library_encoder(shared.value)
         for batch in batches:
             for at, chunk in ragged.chunks(ragged.texts(batch.column(1))):
                 ids, bounds = encoder.ids(chunk)
@@ -132,6 +132,7 @@ def _numbered(pieces: DataFrame, capacity: int) -> DataFrame:
     names = pieces.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         task, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for batch in batches:
             length = batch.column(names.index("length")).to_numpy(zero_copy_only=False)
@@ -167,6 +168,7 @@ def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     ranked = rows.join(bases, ["task__", "length"]).select(*[f"`{c}`" for c in names], (F.col("base__") + F.col("number__")).alias("rank__"))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         length_of, first, bin_of, offset_of, per = shared.value.T if len(shared.value) else np.zeros((5, 0), np.int64)
         keys = (capacity - length_of) * (1 << 44) + first  # ascending: the plan goes by falling length, rising rank
         for batch in batches:

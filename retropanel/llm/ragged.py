@@ -7,7 +7,6 @@ Words and units are (start, end) arrays into that byte array; everything here wo
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from itertools import repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -15,8 +14,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U64 = np.uint64
-CHUNK_BYTES = 1 << 20
-_SEGMENT = 1 << 21
+CHUNK_BYTES = 1 << 19
+_SEGMENT = 1 << 18
 _RANDOM = np.random.Generator(np.random.PCG64(20240607))
 _BYTE = _RANDOM.integers(0, 1 << 63, 256, dtype=U64) * U64(2) + _RANDOM.integers(0, 2, 256, dtype=U64)
 _BASE = 0x9E3779B97F4A7C17
@@ -238,26 +237,84 @@ def joined(rows: Texts, found: Words) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return out, starts, starts + lengths
 
 
+class Slots:
+    """Numbers from 0 for up to ``most`` 64-bit keys: two flat arrays, open addressing, whole batches at once."""
+
+    def __init__(self, most: int) -> None:
+        size = 1 << max(2 * most - 1, 15).bit_length()
+        self.most, self.held, self._mask = most, 0, U64(size - 1)
+        self._keys, self._slots = np.zeros(size, U64), np.zeros(size, np.int32)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The number of each key, -1 for those not held."""
+        keys = np.maximum(keys, U64(1))  # 0 marks a free place
+        out, todo, at = np.full(len(keys), -1, np.int64), np.arange(len(keys)), keys & self._mask
+        while len(todo):
+            there = self._keys[at]
+            hit = there == keys[todo]
+            out[todo[hit]] = self._slots[at[hit]]
+            on = ~hit & (there != 0)
+            todo, at = todo[on], (at[on] + U64(1)) & self._mask
+        return out
+
+    def add(self, keys: np.ndarray) -> np.ndarray:
+        """Number distinct keys that are not held, in their order."""
+        keys = np.maximum(keys, U64(1))
+        new = np.arange(self.held, self.held + len(keys))
+        self.held += len(keys)
+        todo, at = np.arange(len(keys)), keys & self._mask
+        while len(todo):
+            free = self._keys[at] == 0
+            self._keys[at[free]] = keys[todo[free]]  # of several keys for one place the last one stays
+            won = self._keys[at] == keys[todo]
+            self._slots[at[won]] = new[todo[won]]
+            todo, at = todo[~won], (at[~won] + U64(1)) & self._mask
+        return new
+
+
+def grown(kept: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
+    """``kept`` with ``more`` behind its first ``used`` rows; room doubles when it runs out."""
+    if used + len(more) > len(kept):
+        room = np.empty((max(2 * len(kept), used + len(more)), *kept.shape[1:]), kept.dtype)
+        room[:used] = kept[:used]
+        kept = room
+    kept[used : used + len(more)] = more
+    return kept
+
+
 class Memo:
-    """Rows of numbers by 64-bit key, computed once while remembered; when full, all are forgotten."""
+    """Rows of numbers by 64-bit key, computed once while remembered.
 
-    def __init__(self, width: int, remember: int = 400_000) -> None:
+    Two generations of up to ``remember`` keys: a full one becomes the older one, and what is asked for again
+    moves on to the younger, so frequent keys are never forgotten.
+    """
+
+    def __init__(self, width: int, remember: int = 300_000) -> None:
         self.width, self.remember = width, remember
-        self.slots: dict[int, int] = {}
-        self.rows = np.zeros((0, width), np.float64)
+        self.young, self.old = self._fresh(remember), None
+
+    def _fresh(self, most: int) -> tuple[Slots, list[np.ndarray]]:
+        return Slots(most), [np.zeros((0, self.width), np.float64)]
 
     def get(self, keys: np.ndarray, compute: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
         """A row for each of the distinct keys; ``compute`` gets the places of those not held."""
-        if len(self.slots) + len(keys) > self.remember:
-            self.slots, self.rows = {}, np.zeros((0, self.width), np.float64)
-        slot = np.fromiter(map(self.slots.get, keys.tolist(), repeat(-1)), np.int64, len(keys))
+        slots, rows = self.young
+        if slots.held + len(keys) > slots.most:
+            self.old, self.young = self.young, self._fresh(max(self.remember, len(keys)))
+            slots, rows = self.young
+        slot = slots.find(keys)
         new = np.flatnonzero(slot < 0)
         if len(new):
-            at = len(self.slots)
-            slot[new] = np.arange(at, at + len(new))
-            self.slots.update(zip(keys[new].tolist(), range(at, at + len(new))))
-            self.rows = np.concatenate([self.rows, compute(new)])
-        return self.rows[slot]
+            made, unseen = np.empty((len(new), self.width)), np.arange(len(new))
+            if self.old:
+                before = self.old[0].find(keys[new])
+                made[before >= 0] = self.old[1][0][before[before >= 0]]
+                unseen = np.flatnonzero(before < 0)
+            if len(unseen):
+                made[unseen] = compute(new[unseen])
+            rows[0] = grown(rows[0], slots.held, made)
+            slot[new] = slots.add(keys[new])
+        return rows[0][slot]
 
 
 def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

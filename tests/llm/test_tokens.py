@@ -190,3 +190,55 @@ def test_empty_tables(spark, empty):
 
 def test_special_strings_are_known():
     assert bpe.special_strings(BYTE) == [t["content"].encode() for t in json.loads(BYTE)["added_tokens"]]
+
+
+def test_queries_equal_the_library(spark, sf, texts):
+    """The rows of operators 4, 9 and 10 for every whole text, from the library alone."""
+    docs = sorted(texts)
+    ids = {d: ids_of(BYTE_LIB, t) for d, t in docs}
+    start, want = 0, []
+    for d, _ in docs:
+        want.append((d, start, len(ids[d]) + 1, crc([*ids[d], 0])))
+        start += len(ids[d]) + 1
+    assert sorted(map(tuple, queries.op4_simple8b_token_files(spark, sf).collect())) == want
+    counted = queries.op10_token_counts(spark, sf).collect()
+    assert sorted((r["doc_id"], r["n_bytes"], r["n_tokens"], r["over_limit"]) for r in counted) == [(d, len((t or "").encode()), len(ids[d]), len(ids[d]) > 512) for d, t in docs]
+    want = []
+    for d, t in docs:
+        own = ids_of(WORD_LIB, t)
+        want.append((d, len(own), hashlib.sha256(np.array(own, "<u4").tobytes()).hexdigest(), hashlib.sha256(WORD_LIB.decode(own, skip_special_tokens=False).encode()).hexdigest()))
+    got = queries.op9_transducer_bpe(spark, sf).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256").collect()
+    assert sorted(map(tuple, got)) == want
+
+
+@pytest.mark.parametrize("remember", [1, 7, 60, 10_000])
+def test_encoders_forget_without_losing(remember):
+    """Any number of remembered units gives the library's ids, through many turns of the generations."""
+    rng = np.random.default_rng(remember)
+    library = bpe.UnitEncoder(lambda rows, a, b: bpe.ragged_ids([ids_of(BYTE_LIB, u) for u in bpe.strings(rows, a, b)]), lambda t: ids_of(BYTE_LIB, t), [], remember=remember)
+    vocabulary = [f"word{i}" for i in range(200)]
+    for _ in range(12):
+        texts = [" ".join(rng.choice(vocabulary, int(rng.integers(0, 40)))) for _ in range(8)]
+        ids, bounds = library.ids(ragged.of_strings(texts))
+        assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [ids_of(BYTE_LIB, t) for t in texts]
+
+
+def test_slots_and_memo_hold_every_key():
+    rng = np.random.default_rng(6)
+    slots, held = ragged.Slots(5000), {}
+    for _ in range(10):
+        keys = np.unique(rng.integers(0, 1 << 12, 500).astype(np.uint64) * np.uint64(1 << 20))
+        found = slots.find(keys)
+        assert found.tolist() == [held.get(max(k, 1), -1) for k in keys.tolist()]
+        new = keys[found < 0]
+        held.update(zip(np.maximum(new, 1).tolist(), slots.add(new).tolist()))
+    memo, calls = ragged.Memo(2, remember=50), []
+    for _ in range(30):
+        keys = np.unique(rng.integers(1, 200, 40).astype(np.uint64))
+
+        def compute(new, keys=keys):
+            calls.extend(keys[new].tolist())
+            return np.stack([keys[new] * 2.0, keys[new] * 3.0], 1)
+
+        assert np.array_equal(memo.get(keys, compute), np.stack([keys * 2.0, keys * 3.0], 1))
+    assert len(calls) > len(set(calls))
