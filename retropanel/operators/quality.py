@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from retropanel.functions import expr as E
@@ -245,27 +245,47 @@ def constraint_report(
     return _rows(rows, [], {c: F.coalesce(v, F.lit(0)).cast("bigint") for c, v in counts.items()}, "violations").withColumnRenamed("name", "constraint")
 
 
+def _stage_measures(columns: Sequence[str]) -> list[Column]:
+    cells = sum((F.col(c).isNotNull().cast("int") for c in columns), F.lit(0))
+    return [F.count(F.lit(1)).alias("rows_after"), F.sum(cells).alias("filled"), E.fingerprint(columns).alias("fingerprint")]
+
+
+def _stage_row(stage: str, before: int, after: Mapping[str, int | None], width: int) -> tuple:
+    n = after["rows_after"]
+    full = round(after["filled"] * 100.0 / (n * width) * 100) / 100 if n else None  # half to even
+    return (stage, before, n, before - n, full, after["fingerprint"])
+
+
+STAGE_RECORD = "stage string, rows_before bigint, rows_after bigint, rows_removed bigint, completeness_pct double, fingerprint bigint"
+
+
 def stage_record(stage: str, before: DataFrame, after: DataFrame) -> DataFrame:
-    """Lineage of one stage: rows before and after, completeness and an order-free fingerprint."""
-    cells = F.lit(0)
-    for c in after.columns:
-        cells = cells + F.col(c).isNotNull().cast("int")
-    rows_in = before.agg(F.count(F.lit(1))).scalar()
-    out = after.agg(
-        F.count(F.lit(1)).alias("rows_after"),
-        E.half_even(
-            F.try_divide(F.sum(cells) * 100.0, F.count(F.lit(1)) * len(after.columns)), 2
-        ).alias("completeness_pct"),
-        E.fingerprint(after.columns).alias("fingerprint"),
-    )
-    return out.select(
-        F.lit(stage).alias("stage"),
-        rows_in.alias("rows_before"),
-        "rows_after",
-        (rows_in - F.col("rows_after")).alias("rows_removed"),
-        "completeness_pct",
-        "fingerprint",
-    )
+    """Lineage of one stage: rows before and after, completeness and an order-free fingerprint.
+
+    Scans both sides; ``record_while_written`` gathers the same while a stage runs.
+    """
+    found = after.agg(*_stage_measures(after.columns)).first().asDict()
+    row = _stage_row(stage, before.count(), found, len(after.columns))
+    return after.sparkSession.createDataFrame([row], STAGE_RECORD)
+
+
+def record_while_written(stage: str, before: DataFrame, make: Callable[[DataFrame], DataFrame], write: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """(the written stage, its lineage record), with every source read once.
+
+    ``make(before)`` is the stage's plan and ``write`` runs it, stores it and reads it back; the counts are metrics
+    that Spark observes on both sides of the plan during that write. Tasks run again after an executor was
+    lost are observed again, so the rows written are compared with the stored files (a count from their
+    footers), and in case they differ both sides are counted from scratch.
+    """
+    seen_before, seen_after = Observation(), Observation()
+    after = make(before.observe(seen_before, F.count(F.lit(1)).alias("rows_before")))
+    columns = after.columns
+    stored = write(after.observe(seen_after, *_stage_measures(columns)))
+    found = seen_after.get
+    if found["rows_after"] != stored.count():
+        return stored, stage_record(stage, before, stored)
+    row = _stage_row(stage, seen_before.get["rows_before"], found, len(columns))
+    return stored, stored.sparkSession.createDataFrame([row], STAGE_RECORD)
 
 
 def manifest_changes(previous: DataFrame, current: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from retropanel.operators.dedup import keep_last
 from retropanel.queries import bindings as B
 from retropanel.queries.registry import query
 from retropanel.queries.sqlviews import AS_OF, START, date_id, he, next_id, pad, pct
-from retropanel.session import scratch_path
+from retropanel.session import materialize, scratch_path
 from retropanel.sources import sinks as K
 from retropanel.sources.dimensions import departments_for_scope, geo_dimension
 from retropanel.streaming import incremental as I
@@ -337,9 +337,9 @@ def q11(spark, sf):
  {he('1e2 * (count(time) + count(dept) + count(temperature_2m_mean) + count(hdd)) / (4 * count(*))', 2)} AS completeness_pct FROM v_wx""",
 )
 def q12(spark, sf):
-    raw = B.wx_raw(spark, sf)
-    clean = B.wx(spark, sf).select("time", "dept", "temperature_2m_mean", "hdd")
-    path = K.write_report(Q.stage_record("clean", raw, clean), scratch_path(spark, "lineage"))
+    make = lambda raw: C.clean_weather(raw, B.WX_ORDER).select("time", "dept", "temperature_2m_mean", "hdd")
+    _, record = Q.record_while_written("clean", B.wx_raw(spark, sf), make, materialize)
+    path = K.write_report(record, scratch_path(spark, "lineage"))
     schema = "stage string, rows_before bigint, rows_after bigint, rows_removed bigint, completeness_pct double"
     return spark.read.schema(schema).json(path)
 
@@ -381,6 +381,50 @@ def u1(spark, sf):
     return K.read_merged(spark, target).select("user_id", "event_type", "event_id", "value")
 
 
+def arriving(rows, arrival, path, slices=8):
+    """Files that reach a folder one after another, by ranges of the date ``arrival``; the column goes."""
+    rows = materialize(rows.withColumn("day__", F.datediff(arrival, F.lit("1970-01-01"))))
+    cuts = rows.agg(F.percentile_approx("day__", [k / slices for k in range(1, slices)], 1000)).first()[0]
+    bounds = [None, *sorted(set(cuts or [])), None]
+    for low, high in zip(bounds, bounds[1:]):
+        part = rows if low is None else rows.filter(F.col("day__") > low)
+        part = part if high is None else part.filter(F.col("day__") <= high)
+        part.drop("day__", arrival).write.mode("append").parquet(path)
+    return path
+
+
+@query("u1_stream_distinct", "SELECT event_id, user_id, event_type, CAST(floor(value) AS BIGINT) AS units FROM events")
+def u1_distinct(spark, sf):
+    """Every event arrives twice: a second set of files holds each day again, a day later."""
+    events = B.table(spark, sf, "events").select("event_id", "user_id", "event_type", F.floor("value").alias("units"), F.col("ts").cast("timestamp").alias("ts"))
+    path, out, mark = (scratch_path(spark, n) for n in ("twice", "distinct", "marks"))
+    day = F.col("ts").cast("date")
+    both = events.withColumn("arrival", day).unionByName(events.withColumn("arrival", F.date_add(day, 1)))
+    rows = I.distinct_within(I.file_stream(spark, arriving(both, "arrival", path), events.schema, 3), ["event_id"], "ts", "7 days")
+    I.append_available(rows, out, mark)
+    return spark.read.schema(events.schema).parquet(out).drop("ts")
+
+
+LATE = 40
+MONTHS_CLOSED = f"(SELECT max(date_etablissement_dpe) FROM v_cert) - INTERVAL {LATE} DAY"
+
+
+@query(
+    "u2_stream_months",
+    f"""SELECT date_id, code_departement_ban AS dept, count(*) AS n, CAST(sum(CAST(is_pac AS BIGINT)) AS BIGINT) AS is_pac, CAST(sum(CAST(is_clim AS BIGINT)) AS BIGINT) AS is_clim FROM v_cert
+WHERE date_trunc('month', date_etablissement_dpe) + INTERVAL 1 MONTH < {MONTHS_CLOSED} GROUP BY 1, 2""",
+)
+def u2_months(spark, sf):
+    """Certificates arrive up to 30 days late, and every file of a tenth of them arrives again."""
+    rows = B.cert(spark, sf).select("numero_dpe", F.col("code_departement_ban").alias("dept"), F.col("date_etablissement_dpe").cast("timestamp").alias("ts"), "is_pac", "is_clim")
+    path, out, marks = scratch_path(spark, "arriving"), scratch_path(spark, "months"), scratch_path(spark, "marks")
+    once = materialize(rows.withColumn("arrival", F.date_add(F.col("ts").cast("date"), F.pmod(F.col("numero_dpe"), F.lit(30)).cast("int"))))
+    again = once.filter(F.col("numero_dpe") % 10 == 3).withColumn("arrival", F.date_add("arrival", 5))
+    stream = I.distinct_within(I.file_stream(spark, arriving(once.unionByName(again), "arrival", path), rows.schema, 2), ["numero_dpe"], "ts", f"{LATE} days")
+    I.append_available(I.closed_months(stream, "ts", "dept", ["is_pac", "is_clim"]), out, marks)
+    return spark.read.schema("date_id int, dept string, n bigint, is_pac bigint, is_clim bigint").parquet(out)
+
+
 @query(
     "u2_stream_counts",
     "SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n, CAST(sum(floor(value)) AS BIGINT) AS total FROM events GROUP BY 1, 2",

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from retropanel.operators.aggregates import merge_counts
 from retropanel.operators.dedup import keep_last
-from retropanel.sources.sinks import merge_buckets
+from retropanel.sources.sinks import BUCKET_ROWS, merge_buckets
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
@@ -39,13 +42,13 @@ def run_available(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame,
     return len(done)
 
 
-def upsert_latest(table: str, keys: Sequence[str], order: Sequence[str]) -> Callable[[DataFrame, int], None]:
+def upsert_latest(table: str, keys: Sequence[str], order: Sequence[str], bucket_rows: int = BUCKET_ROWS) -> Callable[[DataFrame, int], None]:
     """Batch writer keeping the last row per key; a batch rewrites the buckets of its keys only."""
 
     def merge(current: DataFrame | None, fresh: DataFrame) -> DataFrame:
         return keep_last(fresh if current is None else current.unionByName(fresh), keys, order)
 
-    return lambda batch, number: merge_buckets(batch, table, keys, merge, number)
+    return lambda batch, number: merge_buckets(batch, table, keys, merge, number, bucket_rows)
 
 
 def accumulate_counts(
@@ -63,6 +66,56 @@ def accumulate_counts(
     return lambda batch, number: merge_buckets(count(batch), table, keys, added, number)
 
 
+def distinct_within(stream: DataFrame, keys: Sequence[str], ts: str, delay: str) -> DataFrame:
+    """Each key's first row; the same key again, in any later batch, is dropped.
+
+    A key is remembered until the watermark (the latest ``ts`` less ``delay``) has passed its first row by
+    ``delay``, so the state holds the keys of about that much time however long the stream runs. Repeats must
+    arrive within ``delay`` of each other; rows behind the watermark are dropped.
+    """
+    return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
+
+
+def closed_months(stream: DataFrame, ts: str, entity: str, measures: Sequence[str], delay: str | None = None) -> DataFrame:
+    """(date_id, entity, n, one sum per measure) of every month once it is over, each month once.
+
+    A group of state is a month's running sums for one entity. It is read and written by the batches that
+    bring rows of that month only, and a timer at the month's end gives its row and frees it: nothing that was
+    emitted is rewritten, and the state holds the open months. Late rows count as long as they are not behind
+    the watermark, later ones are dropped. ``delay`` sets the watermark where the stream has none yet.
+    Measures are whole numbers, null as 0; rows without ``ts`` or entity are left out.
+    """
+    stream = stream.withWatermark(ts, delay) if delay else stream
+    month = (F.year(ts) * 100 + F.month(ts)).cast("int")
+    end = F.unix_millis(F.add_months(F.trunc(F.col(ts).cast("date"), "month"), 1).cast("timestamp"))
+    sums = [F.coalesce(F.col(m), F.lit(0)).cast("bigint").alias(m) for m in measures]
+    rows = stream.filter(F.col(ts).isNotNull() & F.col(entity).isNotNull()).select(ts, month.alias("date_id"), F.col(entity).cast("string").alias(entity), end.alias("month_end"), *sums)
+    totals = ", ".join(["n bigint", *(f"`{m}` bigint" for m in measures)])
+
+    def add(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            found = dict(zip(["n", *measures], state.get))
+            state.remove()
+            yield pd.DataFrame({"date_id": [key[0]], entity: [key[1]], **{k: [v] for k, v in found.items()}})
+            return
+        now, ends = list(state.get) if state.exists else [0] * (1 + len(measures)), None
+        for batch in batches:
+            now = [a + int(b) for a, b in zip(now, [len(batch), *(batch[m].sum() for m in measures)])]
+            ends = int(batch["month_end"].iloc[0])
+        state.update(tuple(now))
+        state.setTimeoutTimestamp(ends)
+
+    schema = f"date_id int, `{entity}` string, {totals}"
+    return rows.groupBy("date_id", entity).applyInPandasWithState(add, schema, totals, "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def append_available(rows: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """Process what has arrived into a folder of parquet files, each row once whatever fails; the finished query."""
+    query = rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).format("parquet").start(out)
+    query.awaitTermination()
+    return query
+
+
 def daily_windows(events: DataFrame, ts: str, keys: Sequence[str], value: str, delay: str = "1 day") -> DataFrame:
     """Tumbling day windows per key; works on streams (append after the watermark) and on tables."""
     return (
