@@ -92,14 +92,6 @@ def test_languages_and_rejection(spark, trained, edge, empty):
     assert {r["lang_pred"] for r in language_id.identify(df, nothing).collect()} == {"und"}
 
 
-def test_pruned_models_still_tell_languages_apart(spark):
-    models = language_id.fit(spark.createDataFrame(corpus(), "doc_id bigint, text string, lang string"), entries=60)
-    assert max(len(g) for g in models.grams) <= 60
-    df = spark.createDataFrame(corpus(seed=3), "doc_id bigint, text string, lang string")
-    got = {r["doc_id"]: r["lang_pred"] for r in language_id.identify(df, models).collect()}
-    assert np.mean([got[i] == x for i, _, x in corpus(seed=3)]) > 0.9
-
-
 def test_language_query(spark, sf):
     got = queries.op2_language_id(spark, sf).collect()
     lang = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang").collect()}
