@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from retropanel.operators.reshape import unpivot_values
 from retropanel.session import materialize
@@ -261,3 +265,57 @@ def average_ranks(counts: DataFrame, keys: Sequence[str], value: str, count: str
     return ranked.withColumn("rank", start + (F.col(count) + 1) / 2.0).drop(
         "_part", "_upto", "_offset"
     )
+
+
+def attach_ranks(rows: DataFrame, key: str, value: str, weight: str, name: str) -> DataFrame:
+    """The rows with ``name``, the average rank of ``value`` inside ``key``, a row counting ``weight`` times.
+
+    Rows are sorted in range partitions, where each finds what weighs before it; the totals of earlier
+    partitions come by (key, partition). A value whose rows span partitions is the last one of each partition
+    but the last, so its weight is summed up from one number a partition. No row is looked up by its value:
+    a value that fills a third of the rows is spread over partitions like any other.
+    """
+    others = [c for c in rows.columns if c not in (key, value)]
+    order = [key, value, *others]
+    placed = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    at_key, at_value, at_weight = (rows.columns.index(c) for c in (key, value, weight))
+    schema = T.StructType([*rows.schema.fields, *T.StructType.fromDDL("part__ int, before__ double, run__ double").fields])
+
+    def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(held) if (held := list(batches)) else None  # one range partition
+        if table is None or not table.num_rows:
+            return
+        keys = table.column(at_key).combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        v = table.column(at_value).to_numpy()
+        w = table.column(at_weight).to_numpy().astype(float)
+        new_key = np.concatenate([[True], keys[1:] != keys[:-1]])
+        new_run = new_key | np.concatenate([[True], v[1:] != v[:-1]])
+        upto = np.cumsum(w) - w
+        key_start = upto[np.flatnonzero(new_key)][np.cumsum(new_key) - 1]
+        starts = np.flatnonzero(new_run)
+        which = np.cumsum(new_run) - 1
+        sums = np.add.reduceat(w, starts)
+        part = np.full(len(w), TaskContext.get().partitionId(), np.int32)
+        columns = [*(c.combine_chunks() for c in table.columns), pa.array(part), pa.array(upto[starts][which] - key_start), pa.array(sums[which])]
+        yield from pa.Table.from_arrays(columns, schema.fieldNames()).to_batches(max_chunksize=10_000)
+
+    placed = materialize(placed.mapInArrow(inside, schema))
+    first, last = F.min(F.struct(value, "run__")), F.max(F.struct(value, "run__"))
+    parts = placed.groupBy(key, "part__").agg(F.sum(weight).cast("double").alias("total__"), first.alias("first__"), last.alias("last__"))
+    by = Window.partitionBy(key).orderBy("part__")  # one row a partition
+    parts = parts.withColumn("offset__", F.coalesce(F.sum("total__").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
+    # the runs at the borders, each with all its weight and where it begins
+    ends = F.array(F.struct(F.col(f"first__.{value}").alias("v"), F.col("first__.run__").alias("w"), F.col("offset__").alias("s")), F.struct(F.col(f"last__.{value}").alias("v"), F.col("last__.run__").alias("w"), (F.col("offset__") + F.col("total__") - F.col("last__.run__")).alias("s")))
+    edges = parts.select(key, "part__", F.explode(F.array_distinct(ends)).alias("e"))
+    whole = Window.partitionBy(key, "e.v")
+    edges = edges.withColumns({"sum__": F.sum("e.w").over(whole), "start__": F.min("e.s").over(whole)})
+    low = F.min(F.struct("e.v", "start__", "sum__")).alias("low__")
+    high = F.max(F.struct("e.v", "start__", "sum__")).alias("high__")
+    borders = edges.groupBy(key, "part__").agg(low, high).join(parts.select(key, "part__", "offset__"), [key, "part__"])
+    joined = placed.join(borders, [key, "part__"])
+
+    def pick(field: str, own: Column) -> Column:
+        return F.when(F.col(value) == F.col("low__.v"), F.col(f"low__.{field}")).when(F.col(value) == F.col("high__.v"), F.col(f"high__.{field}")).otherwise(own)
+
+    rank = pick("start__", F.col("offset__") + F.col("before__")) + (pick("sum__", F.col("run__")) + 1) / 2.0
+    return joined.select(*rows.columns, rank.alias(name))

@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 
 from retropanel.functions import expr as E
 from retropanel.operators.moments import SUMS, pair_moments
-from retropanel.operators.quantiles import average_ranks, exact_quantiles
+from retropanel.operators.quantiles import attach_ranks, exact_quantiles
 from retropanel.operators.reshape import unpivot_all, unpivot_values
-from retropanel.session import materialize
 
 
 def _pair(a: Column | str, b: Column | str) -> tuple[Column, Column]:
@@ -163,8 +162,8 @@ def lag_correlations(df: DataFrame, variables: Sequence[str], lags: Sequence[int
 def spearman(df: DataFrame, columns: Sequence[str], target: str, min_rows: int = 100) -> DataFrame:
     """Rank correlation with average ranks over complete pairs.
 
-    Rows collapse to (column, x, y) counts, written once because five later steps read them; ranks come
-    from value counts over range partitions.
+    Rows collapse to (column, x, y) counts, which get the rank of x and then that of y in range partitions
+    and end in one sum of products.
     """
     pairs = unpivot_values(
         df.filter(F.col(target).isNotNull()).withColumn("_y", F.col(target).cast("double")),
@@ -173,27 +172,15 @@ def spearman(df: DataFrame, columns: Sequence[str], target: str, min_rows: int =
         "column",
         "x",
     )
-    cells = materialize(
-        pairs.groupBy("column", "x", F.col("_y").alias("y")).agg(F.count(F.lit(1)).alias("w"))
-    )
-    sides = cells.select("column", F.lit("x").alias("side"), F.col("x").alias("value"), "w").unionByName(
-        cells.select("column", F.lit("y").alias("side"), F.col("y").alias("value"), "w")
-    )
-    counts = sides.groupBy("column", "side", "value").agg(F.sum("w").alias("n"))
-    ranks = average_ranks(counts, ["column", "side"], "value", "n")
-    rx = ranks.filter("side = 'x'").select("column", F.col("value").alias("x"), F.col("rank").alias("rx"))
-    ry = ranks.filter("side = 'y'").select("column", F.col("value").alias("y"), F.col("rank").alias("ry"))
-    size = cells.groupBy("column").agg(F.sum("w").alias("n")).filter(F.col("n") >= min_rows)
-    joined = cells.join(rx, ["column", "x"]).join(ry, ["column", "y"]).join(F.broadcast(size), "column")
-    dx = F.col("rx") - (F.col("n") + 1) / 2.0  # ranks average (n + 1) / 2
-    dy = F.col("ry") - (F.col("n") + 1) / 2.0
-    w = F.col("w")
-    return joined.groupBy("column").agg(
-        F.max("n").alias("n"),
-        F.try_divide(
-            F.sum(w * dx * dy), F.sqrt(F.sum(w * dx * dx)) * F.sqrt(F.sum(w * dy * dy))
-        ).alias("rho"),
-    )
+    cells = pairs.groupBy("column", "x", F.col("_y").alias("y")).agg(F.count(F.lit(1)).alias("w"))
+    ranked = attach_ranks(attach_ranks(cells, "column", "x", "w", "rx"), "column", "y", "w", "ry")
+    # ranks average (n + 1) / 2, so the sums of products are taken around it
+    n, w = F.sum("w"), F.col("w")
+    middle = (n + 1) / 2.0
+    centred = lambda a, b: F.sum(w * F.col(a) * F.col(b)) - n * middle * middle
+    return ranked.groupBy("column").agg(
+        n.alias("n"), F.try_divide(centred("rx", "ry"), F.sqrt(centred("rx", "rx")) * F.sqrt(centred("ry", "ry"))).alias("rho")
+    ).filter(F.col("n") >= min_rows)
 
 
 def linear_fits(df: DataFrame, features: Sequence[str], target: str, min_rows: int = 10) -> DataFrame:

@@ -60,6 +60,26 @@ def test_average_ranks(spark):
     assert all(got[float(v)] == r for v, r in zip(values, want))
 
 
+def test_ranks_of_values_that_span_partitions(spark):
+    """A value that fills many range partitions, others at their borders, several keys."""
+    from retropanel.operators.quantiles import attach_ranks
+
+    rng = np.random.default_rng(12)
+    pdf = pd.DataFrame({"k": rng.choice(["a", "b", "c"], 3000, p=[0.7, 0.25, 0.05]), "v": rng.choice([0.0, 1.0, 1.0, 1.0, 2.0, 3.5, 7.0], 3000), "o": rng.permutation(3000), "w": rng.integers(1, 4, 3000)})
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {(r["k"], r["o"]): r["rank"] for r in attach_ranks(spark.createDataFrame(pdf).repartition(7), "k", "v", "w", "rank").collect()}
+        parts = spark.createDataFrame(pdf).repartitionByRange("k", "v", "o", "w").rdd.getNumPartitions()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert parts > 1 and len(got) == 3000
+    for k, rows in pdf.groupby("k"):
+        long = rows.loc[rows.index.repeat(rows["w"])]
+        want = long["v"].rank().groupby(long["o"]).first()
+        assert {o: got[k, o] for o in rows["o"]} == want.to_dict()
+
+
 def test_spearman_matches_pandas(spark):
     rng = np.random.default_rng(6)
     pdf = pd.DataFrame({"t": rng.normal(0, 1, 400).round(1), "a": rng.normal(0, 1, 400).round(1), "b": rng.integers(0, 4, 400).astype(float)})
