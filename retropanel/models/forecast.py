@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from retropanel import settings as S
 from retropanel.functions import expr as E
-from retropanel.session import materialize
 from retropanel.models.prepare import Prepared, impute
+from retropanel.models.trees import flat_trees
+from retropanel.session import materialize
 
 BAND = 1.96
 HISTORY = 24
@@ -140,17 +141,22 @@ def forecast_recursive(
 ) -> DataFrame:
     """Forecast that feeds each prediction back as the one-month lag.
 
-    A linear model walks each department's horizon inside one task; any other model scores all departments
-    of a step at once, step after step.
+    A linear model or an ensemble of trees walks each department's horizon inside one task, all departments in
+    one job; any other model scores all departments of a step at once, step after step.
     """
-    if not hasattr(model, "coefficients"):
-        return _recursive_steps(features, prep, model, horizon, rmse, overrides)
     names = list(prep.features)
-    coef = np.array(model.coefficients, dtype=float)
-    intercept = float(model.intercept)
-    center = np.array(prep.scaler.median, dtype=float)
-    spread = np.array(prep.scaler.range, dtype=float)
-    weight = np.divide(coef, spread, out=np.zeros_like(coef), where=spread != 0)
+    if hasattr(model, "coefficients"):
+        coef = np.array(model.coefficients, dtype=float)
+        intercept = float(model.intercept)
+        center = np.array(prep.scaler.median, dtype=float)
+        spread = np.array(prep.scaler.range, dtype=float)
+        weight = np.divide(coef, spread, out=np.zeros_like(coef), where=spread != 0)
+        score = lambda row: float((row - center) @ weight + intercept)
+    elif hasattr(model, "trees"):
+        trees = features.sparkSession.sparkContext.broadcast(flat_trees(model))  # at most 2^depth nodes a tree
+        score = lambda row: float(trees.value.predict(row[None, :])[0])
+    else:
+        return _recursive_steps(features, prep, model, horizon, rmse, overrides)
     fixed = {k: float(v) for k, v in (overrides or {}).items() if k in names}
     lag = f"{TARGET}_lag_1m"
 
@@ -169,7 +175,7 @@ def forecast_recursive(
         for i in range(len(x)):
             if i and lag in names and lag not in fixed:
                 x[i, names.index(lag)] = out[i - 1]
-            out[i] = max(float((x[i] - center) @ weight + intercept), 0.0)
+            out[i] = max(score(x[i]), 0.0)
         return pd.DataFrame(
             {
                 "dept": pdf["dept"],

@@ -272,3 +272,21 @@ def test_grid_of_trees(prep):
     folds = SE.fold_parts(prep.rows.filter("split = 'train'"), ["label", "raw"])
     alone = [SE.fold_error(TR.boost, out[0].setting, 8, t, v) for t, v in folds]
     assert out[0].rmse == pytest.approx(np.mean(alone), rel=1e-9)
+
+
+def test_flat_trees_score_like_the_library(prep):
+    from retropanel.models.trees import flat_trees
+
+    model = TR.fit_boosting(prep.rows, maxIter=15, minInstancesPerNode=3)
+    rows = model.transform(prep.rows).select("raw", "prediction").collect()
+    got = flat_trees(model).predict(np.array([r["raw"].toArray() for r in rows]))
+    np.testing.assert_allclose(got, [r["prediction"] for r in rows], rtol=1e-12)
+
+
+def test_boosted_forecast_is_one_walk(features, prep):
+    """Every department and month in one pass, equal to scoring month after month."""
+    model = TR.fit_boosting(prep.rows, maxIter=10, minInstancesPerNode=3)
+    for overrides in (None, {"temp_mean": 5.0}, {f"{TARGET}_lag_1m": 50.0}):
+        one = FC.forecast_recursive(features, prep, model, 5, 4.0, overrides).orderBy("dept", "date_id").collect()
+        steps = FC._recursive_steps(features, prep, model, 5, 4.0, overrides).orderBy("dept", "date_id").collect()
+        assert len(one) == 15 and [tuple(r) for r in one] == [tuple(r) for r in steps]
