@@ -22,6 +22,8 @@ from retropanel.models.search import Outcome, fold_parts, successive_halving
 BOOSTING = {"maxDepth": 4, "stepSize": 0.05, "maxIter": 200, "subsamplingRate": 0.8, "minInstancesPerNode": 20}
 REGRESSORS = ("temp_mean", "hdd_sum", "cdd_sum", "confiance_menages", "ipi_hvac_c28")
 MIN_HISTORY = 12
+# Candidate trend breaks lie in this share of the training months, so many of them, given enough months.
+BREAKS, BREAK_SHARE, BREAK_HISTORY = 12, 0.8, 24
 
 
 def fit_ridge(train: DataFrame, alpha: float, features: str = "features"):
@@ -152,9 +154,11 @@ def _month_number(date_id: pd.Series) -> np.ndarray:
 
 
 def seasonal_design(pdf: pd.DataFrame, regressors: Sequence[str], center: dict) -> np.ndarray:
-    """Intercept, trend, three yearly Fourier pairs and standardised regressors."""
+    """Intercept, trend, what the slope changes by at each break, three yearly Fourier pairs and standardised
+    regressors."""
     t = _month_number(pdf["date_id"])
     cols = [np.ones(len(t)), (t - center["t0"]) / 12.0]
+    cols += [np.maximum(t - b, 0.0) / 12.0 for b in center["breaks"]]
     for k in (1, 2, 3):
         cols += [np.sin(2 * math.pi * k * t / 12), np.cos(2 * math.pi * k * t / 12)]
     for r in regressors:
@@ -163,8 +167,18 @@ def seasonal_design(pdf: pd.DataFrame, regressors: Sequence[str], center: dict)
     return np.column_stack(cols)
 
 
-def fit_seasonal(df: DataFrame, target: str, regressors: Sequence[str] = REGRESSORS, penalty: float = 1.0) -> DataFrame:
-    """One additive model per department: trend, yearly season and regressors, by ridge least squares.
+def trend_breaks(months: np.ndarray) -> np.ndarray:
+    """Where the trend may change: months evenly spread over the first part of the training span."""
+    if len(months) < BREAK_HISTORY:
+        return np.zeros(0)
+    first, last = months.min(), months.max()
+    return np.unique(np.round(np.linspace(first, first + BREAK_SHARE * (last - first), BREAKS + 2)[1:-1]))
+
+
+def fit_seasonal(df: DataFrame, target: str, regressors: Sequence[str] = REGRESSORS, penalty: float = 1.0, stiffness: float = 1.0) -> DataFrame:
+    """One additive model per department: a piecewise-linear trend, yearly season and regressors, by ridge
+    least squares. The trend may bend at every break; ``stiffness`` is the penalty on each change of slope, so
+    it bends where the months ask for it and is a straight line for a large one.
 
     ``df`` carries ``split``. A group is one department's months, so it stays as short as the calendar.
     Departments with fewer than twelve training months are skipped.
@@ -181,13 +195,15 @@ def fit_seasonal(df: DataFrame, target: str, regressors: Sequence[str] = REGRESS
             filled = pdf.groupby("split")[r].transform(lambda s: s.ffill().bfill())
             known = pdf.loc[train, r].dropna()
             pdf[r] = filled.fillna(known.median() if len(known) else 0.0)
-        center = {"t0": _month_number(pdf.loc[train, "date_id"]).mean()}
+        months = _month_number(pdf.loc[train, "date_id"])
+        center = {"t0": months.mean(), "breaks": trend_breaks(months)}
         for r in have:
             center[r] = (pdf.loc[train, r].mean(), float(pdf.loc[train, r].std(ddof=0)) or 1.0)
         x, y = seasonal_design(pdf, have, center), pdf["label"].to_numpy(dtype=float)
         xt, yt = x[train.to_numpy()], y[train.to_numpy()]
         weight = np.full(x.shape[1], penalty)
         weight[0] = 0.0
+        weight[2 : 2 + len(center["breaks"])] = stiffness
         beta = np.linalg.solve(xt.T @ xt + np.diag(weight) + 1e-9 * np.eye(x.shape[1]), xt.T @ yt)
         out = pdf[["date_id", "dept", "split", "label"]].copy()
         out["model"] = "seasonal"

@@ -26,9 +26,15 @@ def analysed_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
     return E.numeric_columns(df, [*NOT_ANALYSED, *exclude])
 
 
-def iqr_bounds(df: DataFrame, columns: Sequence[str], factor: float = IQR_FACTOR) -> DataFrame:
-    """Tukey fences per column, for columns with enough values."""
-    q = exact_quantiles(df, columns, (0.25, 0.75)).filter(F.col("n") >= MIN_VALUES)
+def quartiles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Exact quartiles per column, worked out once for whoever reads them; as many rows as columns."""
+    found = exact_quantiles(df, columns, (0.25, 0.5, 0.75))
+    return df.sparkSession.createDataFrame(found.collect(), found.schema)
+
+
+def iqr_bounds(df: DataFrame, columns: Sequence[str], factor: float = IQR_FACTOR, known: DataFrame | None = None) -> DataFrame:
+    """Tukey fences per column, for columns with enough values; ``known`` are the quartiles if at hand."""
+    q = (known or exact_quantiles(df, columns, (0.25, 0.75))).filter(F.col("n") >= MIN_VALUES)
     iqr = F.col("q75") - F.col("q25")
     return q.select(
         "column",
@@ -38,9 +44,9 @@ def iqr_bounds(df: DataFrame, columns: Sequence[str], factor: float = IQR_FACTOR
     )
 
 
-def mad_scale(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def mad_scale(df: DataFrame, columns: Sequence[str], known: DataFrame | None = None) -> DataFrame:
     """Median and median absolute deviation per column; columns without spread are left out."""
-    med = exact_quantiles(df, columns, (0.5,)).filter(F.col("n") >= MIN_VALUES)
+    med = (known or exact_quantiles(df, columns, (0.5,))).filter(F.col("n") >= MIN_VALUES)
     med = med.select("column", "n", F.col("q50").alias("median"))
     center = fitted(med)
     names = [c for c in columns if c in center]
@@ -123,8 +129,9 @@ def zscore_report(df: DataFrame, columns: Sequence[str], limit: float = ZSCORE_L
 
 def flag_univariate(df: DataFrame, columns: Sequence[str], factor: float = IQR_FACTOR) -> DataFrame:
     """Row flags: outside the fences, or beyond the robust z-limit, on any column."""
-    bounds = fitted(iqr_bounds(df, columns, factor))
-    scale = fitted(mad_scale(df, columns))
+    known = quartiles(df, columns)
+    bounds = fitted(iqr_bounds(df, columns, factor, known))
+    scale = fitted(mad_scale(df, columns, known))
     return df.withColumns(
         {"_outlier_iqr": _any(iqr_flags(bounds)), "_outlier_zscore": _any(zscore_flags(scale))}
     )

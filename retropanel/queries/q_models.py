@@ -156,6 +156,71 @@ def m7_two(spark, sf):
     return E.round_doubles(spark.createDataFrame(RI.alpha_errors(folded, ALPHAS), "alpha double, rmse double"), 6)
 
 
+FOLDS = f"""r AS (SELECT date_id, CAST(nb_dpe_total AS DOUBLE) AS x, CAST(nb_installations_pac AS DOUBLE) AS y FROM v_facts WHERE date_id <= {TRAIN_END}),
+m AS (SELECT date_id, count(*) AS c FROM r GROUP BY 1),
+b AS (SELECT date_id, least(floor(coalesce(sum(c) OVER (ORDER BY date_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) * 4 / (SELECT sum(c) FROM m)), 3) AS block FROM m),
+f AS (SELECT r.*, block FROM r JOIN b ON r.date_id = b.date_id), k AS (SELECT unnest([1, 2, 3]) AS k)"""
+
+
+@query(
+    "m11_one_feature_folds",
+    f"""WITH {FOLDS}, t AS (SELECT k, avg(x) AS mx, avg(y) AS my, regr_sxy(y, x) / (regr_sxx(y, x) + {ALPHA}) AS slope FROM f JOIN k ON block < k GROUP BY k),
+p AS (SELECT k, y AS label, my + slope * (x - mx) AS prediction FROM t JOIN f ON block = k), e AS (SELECT k, {METRICS} FROM p GROUP BY k)
+SELECT {', '.join(f"{he(f'avg({m})', 4)} AS {m}_mean, {he(f'stddev_pop({m})', 4)} AS {m}_std" for m in ('rmse', 'mae', 'mape', 'r2'))} FROM e""",
+)
+def m11_one(spark, sf):
+    """All metrics of the folds on one input."""
+    from pyspark.ml.feature import VectorAssembler
+
+    train = B.facts(spark, sf).filter(F.col("date_id") <= TRAIN_END).withColumn("label", F.col(TARGET).cast("double"))
+    rows = VectorAssembler(inputCols=["nb_dpe_total"], outputCol="features").transform(train)
+    folded = materialize(PR.expanding_folds(rows).select("block", "label", "features"))
+    return E.round_doubles(TR.cv_summary(E.round_doubles(RI.fold_metrics(folded, ALPHA), 5)), 4)
+
+
+PAIR = ("nb_dpe_total", "nb_installations_clim")
+
+
+@query(
+    "m5_scaled_columns",
+    f"""WITH r AS (SELECT date_id, dept, {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in PAIR)} FROM v_facts),
+q AS (SELECT {', '.join(f'quantile_cont({c}, {p}) AS {c}_{n}' for c in PAIR for p, n in ((0.25, 'a'), (0.5, 'm'), (0.75, 'z')))} FROM r WHERE date_id <= {TRAIN_END})
+SELECT date_id, dept, {', '.join(he(f'({c} - {c}_m) / nullif({c}_z - {c}_a, 0)', 6) + f' AS {c}' for c in PAIR)} FROM r, q""",
+)
+def m5_columns(spark, sf):
+    """Median and quartile range of the training months, applied to all."""
+    df = B.facts(spark, sf)
+    scale = PR.RobustScale.fit(df.filter(F.col("date_id") <= TRAIN_END), PAIR)
+    named = [c.alias(n) for n, c in zip(PAIR, scale.columns(PAIR).values())]
+    return E.round_doubles(df.select("date_id", "dept", *named), 6)
+
+
+def one_input(spark, sf):
+    """The regressor on one input, and what it was fitted on."""
+    from pyspark.ml.feature import VectorAssembler
+
+    rows = PR.temporal_split(B.facts(spark, sf), TRAIN_END, VAL_END).withColumn("label", F.col(TARGET).cast("double"))
+    rows = VectorAssembler(inputCols=["nb_dpe_total"], outputCol="features").transform(rows)
+    prep = PR.Prepared(rows, ["nb_dpe_total"], {}, PR.RobustScale((0.0,), (1.0,)))
+    return prep, TR.fit_ridge(rows.filter("split = 'train'"), ALPHA)
+
+
+SLOPE = f"SELECT regr_sxy(y, x) / (regr_sxx(y, x) + {ALPHA}) AS slope FROM (SELECT date_id, CAST(nb_dpe_total AS DOUBLE) AS x, CAST(nb_installations_pac AS DOUBLE) AS y FROM v_facts) WHERE date_id <= {TRAIN_END}"
+
+
+@query("m15_one_feature", f"SELECT 'nb_dpe_total' AS feature, {he('abs(slope)', 6)} AS importance FROM ({SLOPE})")
+def m15_one(spark, sf):
+    return E.round_doubles(TR.importance(*one_input(spark, sf)), 6)
+
+
+@query(
+    "m16_one_feature",
+    f"WITH s AS ({SLOPE}), m AS (SELECT avg(CAST(nb_dpe_total AS DOUBLE)) AS m FROM v_facts) SELECT 'nb_dpe_total' AS feature, {he('avg(abs(slope * (nb_dpe_total - m)))', 6)} AS attribution FROM v_facts, s, m",
+)
+def m16_one(spark, sf):
+    return E.round_doubles(TR.linear_attribution(*one_input(spark, sf)), 6)
+
+
 @query("m8_gradient_boosting")
 def m8(spark, sf):
     prep = prepared(spark, sf)

@@ -18,6 +18,8 @@ from retropanel.plans import star
 from retropanel.queries import bindings as B
 from retropanel.queries.registry import query
 from retropanel.queries.sqlviews import WX_ORDER, change, date_id, filled, he, interpolated, next_id, pad
+from retropanel.session import scratch_path
+from retropanel.sources import sinks as K
 from retropanel.sources.dimensions import calendar, geo_dimension
 
 
@@ -188,6 +190,23 @@ def j3(spark, sf):
     )
 
 
+def bucketed_star(spark, sf):
+    """Facts, weather and permits at the panel grain, each stored by (date_id, dept)."""
+    parts = {"facts": B.facts(spark, sf), "weather": P.weather_features(B.wx(spark, sf)), "permits": P.permit_features(B.permit_raw(spark, sf))}
+    return {name: K.write_bucketed(df, scratch_path(spark, name), ["date_id", "dept"]) for name, df in parts.items()}
+
+
+@query(
+    "k2_bucketed_star",
+    """SELECT f.date_id, f.dept, nb_dpe_total, temp_mean, hdd_sum, nb_logements_autorises FROM v_facts f
+LEFT JOIN v_wx_month w ON f.date_id = w.date_id AND f.dept = w.dept LEFT JOIN v_permit p ON f.date_id = p.date_id AND f.dept = p.dept""",
+)
+def k2_bucketed(spark, sf):
+    star = bucketed_star(spark, sf)
+    out = star["facts"].join(star["weather"], ["date_id", "dept"], "left").join(star["permits"], ["date_id", "dept"], "left")
+    return out.select("date_id", "dept", "nb_dpe_total", "temp_mean", "hdd_sum", "nb_logements_autorises")
+
+
 @query(
     "j4_join_attributes",
     "SELECT f.date_id, f.dept, revenu_median, pct_maisons, altitude FROM v_facts f LEFT JOIN v_attr a ON f.dept = a.dept",

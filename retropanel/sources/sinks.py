@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,6 +39,15 @@ def read_by_year(spark: SparkSession, path: str, date: str, first: str, last: st
     )
 
 
+def write_bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int | None = None) -> DataFrame:
+    """A table bucketed and sorted by its keys: tables of the same buckets join on these keys without moving a
+    row. As many buckets as the session's shuffles have partitions, if not said otherwise; one file for each."""
+    spark = df.sparkSession
+    n, name = buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), f"bucketed_{uuid.uuid4().hex}"
+    df.repartition(n, *keys).write.bucketBy(n, *keys).sortBy(*keys).option("path", path).format("parquet").saveAsTable(name)
+    return spark.table(name)
+
+
 #: Rows a bucket of a merged table holds at most; one task rewrites one bucket.
 BUCKET_ROWS = 1 << 20
 

@@ -290,3 +290,18 @@ def test_boosted_forecast_is_one_walk(features, prep):
         one = FC.forecast_recursive(features, prep, model, 5, 4.0, overrides).orderBy("dept", "date_id").collect()
         steps = FC._recursive_steps(features, prep, model, 5, 4.0, overrides).orderBy("dept", "date_id").collect()
         assert len(one) == 15 and [tuple(r) for r in one] == [tuple(r) for r in steps]
+
+
+def test_a_planted_trend_break_is_found(spark):
+    """The slope turns in month 40 of 72; a straight trend cannot follow, and every department gets its model."""
+    rows = []
+    for k, dept in enumerate(("01", "38", "69")):
+        for t in range(84):
+            level = 100 + 3 * t if t < 40 else 220 - 2 * (t - 40)
+            rows.append((201801 + t // 12 * 100 + t % 12, dept, float(level + 10 * k + 5 * math.sin(2 * math.pi * t / 12)), "train" if t < 72 else "test"))
+    df = spark.createDataFrame(rows, "date_id int, dept string, y double, split string")
+    error = lambda s: {r["dept"]: r["e"] for r in TR.fit_seasonal(df, "y", (), stiffness=s).filter("split = 'test'").groupBy("dept").agg(F.avg(F.abs(F.col("label") - F.col("prediction"))).alias("e")).collect()}
+    bent, straight = error(1.0), error(1e9)
+    assert set(bent) == {"01", "38", "69"}
+    assert max(bent.values()) < 12 and min(straight.values()) > 40
+    assert len(TR.trend_breaks(np.arange(20.0))) == 0 and TR.trend_breaks(np.arange(72.0)).max() <= 0.8 * 71

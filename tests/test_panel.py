@@ -179,3 +179,18 @@ def test_year_filter_prunes_directories(spark, tmp_path):
     assert got.count() == 365
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in plan
+
+
+def test_bucketed_tables_join_in_place(spark, tmp_path):
+    """Facts, weather and permits by (date_id, dept): two joins and an aggregate by the keys, no exchange."""
+    left = spark.range(500).selectExpr("cast(id % 50 AS int) AS date_id", "cast(id % 7 AS string) AS dept", "id AS v").dropDuplicates(["date_id", "dept"])
+    one, two, three = (K.write_bucketed(left.withColumnRenamed("v", n), str(tmp_path / n), ["date_id", "dept"], 4) for n in "abc")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = one.join(two, ["date_id", "dept"], "left").join(three, ["date_id", "dept"]).groupBy("date_id", "dept").agg({"a": "sum", "b": "sum", "c": "sum"})
+        assert out.count() == left.count()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("SortMergeJoin") >= 2 and "Exchange" not in plan
