@@ -37,6 +37,9 @@ BLOCK = 4096
 SEGMENT_IDS = 1 << 16
 _HOLDS = np.array([ZERO_RUN, 1] + [n for n, _ in PACKS], np.int64)
 _BITS = np.array([0, 0] + [b for _, b in PACKS], np.uint64)
+_LIMITS = np.array([1 << b for _, b in PACKS], np.uint64)
+#: The first of PACKS that each small value fits.
+_WIDTHS = np.searchsorted(_LIMITS, np.arange(1 << 17, dtype=np.uint64), "right").astype(np.int8)
 
 
 def _runs(fits: np.ndarray, holds: int) -> np.ndarray:
@@ -59,23 +62,44 @@ def _selectors(values: np.ndarray) -> np.ndarray:
     if not n:
         return out
     top = int(values.max())
-    anything = np.ones(n, bool)
+    width = _WIDTHS[values] if top < len(_WIDTHS) else np.searchsorted(_LIMITS, values, "right").astype(np.int8)
+    all_fit = [k for k, (_, bits) in enumerate(PACKS) if not top >> bits]
     for k in range(len(PACKS) - 1, -1, -1):
-        holds, bits = PACKS[k]
-        out[_runs(values < np.uint64(1 << bits) if top >> bits else anything, holds)] = k + 2
+        holds = PACKS[k][0]
+        if k in all_fit[1:]:  # a denser word fits everywhere but at the end of a block
+            for end in [*range(BLOCK, n, BLOCK), n]:
+                out[max(end - PACKS[all_fit[0]][0] + 1, end - BLOCK, 0) : max(end - holds + 1, 0)] = k + 2
+        else:
+            out[_runs(width <= k, holds)] = k + 2
     out[_runs(values == 0, ZERO_RUN)] = 0
     return out
 
 
+def _word_starts(holds: np.ndarray) -> np.ndarray:
+    """Where the words begin if a word at each place holds so many values: pointer jumps of 16 words are
+    composed from single ones, walked, and filled in."""
+    n = len(holds)
+    one = np.append(np.minimum(np.arange(n) + holds, n), n)
+    far = one
+    for _ in range(4):
+        far = far[far]
+    jump, heads, at = memoryview(np.ascontiguousarray(far)), [], 0
+    while at < n:
+        heads.append(at)
+        at = jump[at]
+    steps = np.empty((len(heads), 16), np.int64)
+    steps[:, 0] = heads
+    for k in range(1, 16):
+        steps[:, k] = one[steps[:, k - 1]]
+    starts = steps.ravel()
+    return starts[starts < n]
+
+
 def encode(values: np.ndarray) -> bytes:
     values = np.ascontiguousarray(values, np.uint64)
     n = len(values)
     selector = _selectors(values)
-    hop, starts, at = _HOLDS[selector].tolist(), [], 0
-    while at < n:
-        starts.append(at)
-        at += hop[at]
-    starts = np.array(starts, np.int64)
+    starts = _word_starts(_HOLDS[selector])
     chosen = selector[starts].astype(np.int64)
     words = chosen.astype(np.uint64) << np.uint64(60)
     for k in np.unique(chosen[chosen > 1]).tolist():
@@ -152,7 +176,7 @@ def write(docs: DataFrame, vocabulary: str, path: str, end_id: int = 0, doc_id:
 
         for batch in batches:
             numbers = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False)
-            for at, chunk in ragged.chunks(ragged.texts(batch.column(1)), 4 * SEGMENT_IDS):
+            for at, chunk in ragged.chunks(ragged.texts(batch.column(1)), 8 * SEGMENT_IDS):
                 ids, bounds = encoder.ids(chunk)
                 parts.append(np.insert(ids, bounds[1:], end_id))
                 sizes.append(np.diff(bounds) + 1)

@@ -242,3 +242,32 @@ def test_slots_and_memo_hold_every_key():
 
         assert np.array_equal(memo.get(keys, compute), np.stack([keys * 2.0, keys * 3.0], 1))
     assert len(calls) > len(set(calls))
+
+
+def greedy(values):
+    """The selectors of the words, one word at a time."""
+    out, at = [], 0
+    while at < len(values):
+        left = min(len(values), (at // token_files.BLOCK + 1) * token_files.BLOCK) - at
+        if left >= 240 and not any(values[at : at + 240]):
+            out.append(0)
+            at += 240
+            continue
+        fits = [(k + 2, n) for k, (n, bits) in enumerate(token_files.PACKS) if n <= left and all(v >> bits == 0 for v in values[at : at + n])]
+        k, n = fits[0] if fits else (1, 1)
+        out.append(k)
+        at += n
+    return out
+
+
+@pytest.mark.parametrize("top", [1, 2, 300, 50_000, 1 << 40, 1 << 62])
+def test_words_are_the_greedy_ones(top):
+    rng = np.random.default_rng(top % 1000)
+    for size in (0, 1, 59, 60, 61, 300, 4095, 4096, 4097, 9000):
+        values = rng.integers(0, top, size).astype(np.uint64)
+        values[rng.random(size) < 0.6] = 0
+        if size > 50:
+            values[size // 2] = np.uint64((1 << 64) - 1)
+        raw = token_files.encode(values)
+        assert np.array_equal(token_files.decode(raw), values)
+        assert (token_files._parts(raw)[2] >> np.uint64(60)).astype(int).tolist() == greedy(values.tolist())
