@@ -4,7 +4,8 @@ A model predicts each letter of a word, and the word's end, from up to four char
 word. Spark counts the n-grams of all training texts and derives the continuation counts, and every n-gram is
 kept. Tables of at most CELLS numbers go to the tasks as sorted arrays of n-gram hashes; larger ones stay
 tables and are joined to the distinct n-grams of the texts, with the same result. A text takes the language
-with the lowest cross-entropy per character.
+with the lowest cross-entropy per character. The score's temperature and the limit of rejection are taken over
+all training texts.
 """
 
 from __future__ import annotations
@@ -15,20 +16,23 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from retropanel.llm import ragged
 from retropanel.llm.common import bounded_batches, fields, release, stored, with_text_columns, worker_object
 from retropanel.llm.letters import code_points, letters
+from retropanel.operators.quantiles import exact_quantiles, quantile_name
 
 ORDER = 5
 #: N-grams times languages up to which models are arrays in every task.
 CELLS = 1 << 22
 SALTS = 16
-CALIBRATION = 2000
-LONGEST = 1 << 15
-MARGIN = 1.5
+#: The limit of rejection: MARGIN times this quantile of the training texts' cross-entropies.
+MARGIN, RANK = 1.5, 0.999
+TEMPERATURES = tuple(2.0**k for k in range(-6, 5))
 #: A character takes some hundred bytes on the way.
 CHUNK_BYTES = 1 << 19
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xD6E8FEB86659FD93], np.uint64)
@@ -213,12 +217,14 @@ def log_shares(models: Models, columns: list[np.ndarray]) -> np.ndarray:
 
 
 def row_grams(rows: DataFrame) -> DataFrame:
-    """(num, g, n): the distinct highest-order n-grams of every row of (num, text)."""
+    """The distinct highest-order n-grams of every row's ``text``, the last column: (others, g, n)."""
+    keys = rows.columns[:-1]
+    schema = T.StructType([*rows.schema.fields[:-1], *fields(g="string", n="bigint").fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
         for batch in batches:
-            for at, chunk in ragged.chunks(ragged.texts(batch.column(1)), CHUNK_BYTES):
+            for at, chunk in ragged.chunks(ragged.texts(batch.column(len(keys))), CHUNK_BYTES):
                 columns, bounds = events(chunk)
                 row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
                 key = gram_hashes(columns)
@@ -226,15 +232,16 @@ def row_grams(rows: DataFrame) -> DataFrame:
                     which, _, first = ragged.distinct(ragged.mix(key ^ ragged.mix(row.astype(np.uint64) + np.uint64(1))))
                 text = np.stack([c[first] for c in reversed(columns)], 1).astype("<u4").tobytes().decode("utf-32-le", "replace")
                 grams = pa.array([text[i : i + ORDER] for i in range(0, len(text), ORDER)], pa.string())
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at + row[first])), grams, pa.array(np.bincount(which, minlength=len(first)))], ["num", "g", "n"])
+                own = [batch.column(i).take(pa.array(at + row[first])) for i in range(len(keys))]
+                yield pa.RecordBatch.from_arrays([*own, grams, pa.array(np.bincount(which, minlength=len(first)))], schema.fieldNames())
 
-    return bounded_batches(rows).mapInArrow(run, "num bigint, g string, n bigint")
+    return bounded_batches(rows).mapInArrow(run, schema)
 
 
 def table_entropies(rows: DataFrame, models: TableModels) -> DataFrame:
-    """(num, h, n): the mean cross-entropy in every language and the number of events of each row of (num,
-    text) that has any. Every distinct n-gram of the texts is worked out once, then joined back; each goes to
-    SALTS parts of the rows, as texts share their common n-grams."""
+    """(num, others, h, n): the mean cross-entropy in every language and the number of events of each row of
+    (num, others, text) that has any. Every distinct n-gram of the texts is worked out once, then joined back;
+    each goes to SALTS parts of the rows, as texts share their common n-grams."""
     found = stored(row_grams(rows), "row-grams")
     each = found.select("g").distinct().withColumn("p", F.array(*[F.lit(1.0 / models.alphabet)] * len(models.langs)))
     for order in range(1, ORDER + 1):
@@ -250,7 +257,7 @@ def table_entropies(rows: DataFrame, models: TableModels) -> DataFrame:
     logs = logs.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     met = found.withColumn("salt", F.pmod(F.xxhash64("num"), F.lit(SALTS)).cast("int")).join(logs, ["g", "salt"])
     sums = [-F.sum(F.col("n") * F.col("logs")[k]) / F.sum("n") for k in range(len(models.langs))]
-    return met.groupBy("num").agg(F.array(*sums).alias("h"), F.sum("n").alias("n"))
+    return met.groupBy(*rows.columns[:-1]).agg(F.array(*sums).alias("h"), F.sum("n").alias("n"))
 
 
 class Identifier:
@@ -283,46 +290,69 @@ class Identifier:
         return lang, np.where(none, 0.0, 1 / odds.sum(1)), none | (h.min(1) > self.models.worst)
 
 
-def fit(training: DataFrame, sample: int = CALIBRATION, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> Models | TableModels:
+def own_and_losses(h: np.ndarray, n: np.ndarray, own: pa.Array, langs: list[str]) -> pa.RecordBatch:
+    """One row of what rows with cross-entropies ``h`` and the languages ``own`` give to the calibration: their
+    own languages' cross-entropies, and their summed loss (cross-entropy of the score) at each temperature."""
+    truth = pc.fill_null(pc.index_in(own, pa.array(langs, pa.string())), -1).to_numpy(zero_copy_only=False)
+    use = (n > 0) & (truth >= 0)
+    h, n, truth = h[use], n[use], truth[use]
+    own_h = h[np.arange(len(h)), truth]
+    losses = []
+    for temperature in TEMPERATURES:
+        z = -(h - own_h[:, None]) * np.sqrt(n)[:, None] / temperature
+        top = z.max(1)
+        losses.append(float((top + np.log(np.exp(z - top[:, None]).sum(1))).sum()))
+    return pa.RecordBatch.from_arrays([pa.array([own_h.tolist()], pa.list_(pa.float64())), pa.array([losses], pa.list_(pa.float64()))], ["own", "losses"])
+
+
+def calibrate(rows: DataFrame, models: Models | TableModels) -> Models | TableModels:
+    """The models with the temperature of the lowest loss and the limit of rejection, over all ``rows`` (text,
+    lang). One pass; what it gives, a number a row, is stored."""
+    schema, spark = "own array<double>, losses array<double>", rows.sparkSession
+    if isinstance(models, TableModels):
+        langs = models.langs
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            release()
+            for batch in batches:
+                h = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, len(langs))
+                yield own_and_losses(h, batch.column(2).to_numpy(), batch.column(0), langs)
+
+        numbered = rows.select(F.monotonically_increasing_id().alias("num"), "lang", "text")
+        found = stored(table_entropies(numbered, models).select("lang", "h", "n").mapInArrow(run, schema), "calibration")
+    else:
+        shared, key = spark.sparkContext.broadcast(tuple(models)), f"languages {uuid.uuid4().hex}"
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            identifier = worker_object(key, lambda: Identifier(Models(*shared.value)))
+            for batch in batches:
+                for at, chunk in ragged.chunks(ragged.texts(batch.column(1)), CHUNK_BYTES):
+                    h, n = identifier.entropies(chunk)
+                    yield own_and_losses(h, n, batch.column(0).slice(at, len(n)), identifier.models.langs)
+
+        found = stored(bounded_batches(rows.select("lang", "text")).mapInArrow(run, schema), "calibration")
+        shared.unpersist()
+    count, *losses = found.agg(F.sum(F.size("own")), *[F.sum(F.col("losses")[k]) for k in range(len(TEMPERATURES))]).first()
+    if not count:
+        return models
+    limit = exact_quantiles(found.select(F.explode("own").alias("own")), ["own"], [RANK]).first()[quantile_name(RANK)]
+    return models._replace(temperature=TEMPERATURES[int(np.argmin(losses))], worst=MARGIN * limit)
+
+
+def fit(training: DataFrame, text: str = "text", lang: str = "lang") -> Models | TableModels:
     """Models of the languages of ``training``, calibrated.
 
-    Counts cover every training row, and all n-grams are kept. Models of over CELLS numbers are tables.
-    ``sample`` rows (those with the smallest hashes of id and text, of at most LONGEST bytes) set the score's temperature by cross-entropy and
-    the rejection limit: MARGIN times the 99.9th percentile of their own language's cross-entropy.
+    Counts cover every training row, and all n-grams are kept. Models of over CELLS numbers are tables. All
+    training rows, whole, set the score's temperature by cross-entropy and the rejection limit: MARGIN times the
+    99.9th percentile of their own language's cross-entropy.
     """
-    rows = training.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"), F.col(f"`{lang}`").alias("lang")).filter("lang IS NOT NULL AND text IS NOT NULL")
+    rows = training.select(F.col(f"`{text}`").cast("string").alias("text"), F.col(f"`{lang}`").alias("lang")).filter("lang IS NOT NULL AND text IS NOT NULL")
     kept, discounts, size = tables(gram_counts(rows))
     if size * max(map(len, discounts)) <= CELLS:
         models = assemble([x.select("lang", "g", "n", "total").toArrow() for x in kept], discounts)
     else:
         models = as_tables(kept, discounts)
-    short = rows.filter(F.octet_length("text") <= LONGEST).withColumn("h", F.xxhash64("doc_id", "text"))
-    limits = [r["h"] for r in short.select("h").orderBy("h").limit(sample).collect()]  # no text travels for what is not chosen
-    got = short.filter(F.col("h") <= (limits[-1] if limits else 0)).orderBy("h", "doc_id").limit(sample).toArrow()
-    if not models.langs or not got.num_rows:
-        return models
-    if isinstance(models, TableModels):
-        numbered = training.sparkSession.createDataFrame(got.select(["text"]).add_column(0, "num", pa.array(np.arange(got.num_rows))))
-        h, n = np.zeros((got.num_rows, len(models.langs))), np.zeros(got.num_rows, np.int64)
-        for r in table_entropies(numbered, models).collect():
-            h[r["num"]], n[r["num"]] = r["h"], r["n"]
-    else:
-        parts = [Identifier(models).entropies(c) for _, c in ragged.chunks(ragged.texts(got["text"]), CHUNK_BYTES)]
-        h, n = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-    truth = np.array([models.langs.index(x) if x in models.langs else -1 for x in got["lang"].to_pylist()])
-    use = (n > 0) & (truth >= 0)
-    if not use.any():
-        return models
-    h, n, truth = h[use], n[use], truth[use]
-    own = h[np.arange(len(h)), truth]
-
-    def loss(temperature: float) -> float:
-        z = -(h - own[:, None]) * np.sqrt(n)[:, None] / temperature
-        top = z.max(1)
-        return float((top + np.log(np.exp(z - top[:, None]).sum(1))).mean())
-
-    temperature = min((2.0**k for k in range(-6, 5)), key=loss)
-    return models._replace(temperature=temperature, worst=float(MARGIN * np.quantile(own, 0.999)))
+    return calibrate(rows, models) if models.langs else models
 
 
 def identify(docs: DataFrame, models: Models | TableModels, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
