@@ -41,7 +41,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_foreign(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that operator 2 has learned from the others' ``lang``; those without letters
-    (null included) or beyond the calibrated limit go."""
+    (null included) or beyond the limit calibrated on all documents learned from go."""
     names = aside(docs)
     models = language_id.fit(docs.select("doc_id", "text", "lang").filter(check_sum(4) != 2))
     rows = language_id.identify(put_aside(docs, names), models, names["text"], tuple(names.values()))

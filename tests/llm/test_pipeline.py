@@ -58,3 +58,11 @@ def test_one_of_each_group_stays(spark, empty, sf):
     stage = dict(corpus_pipeline.STAGES)["near_duplicates"]
     assert sorted(r["doc_id"] for r in stage(spark, odd, sf).collect()) == [2, 3, 8]
     assert [r["doc_id"] for r in stage(spark, odd.filter("doc_id IS NULL"), sf).collect()] == [None]
+
+
+def test_long_documents_set_the_language_limit(spark, empty, sf):
+    """The limit comes from all learned documents, so one in unknown letters goes though all others are long."""
+    long = [(i, "der die und schung " * 2000 if i % 2 else "the than and onth " * 2000, "de" if i % 2 else "en", "s", 1) for i in range(16)]
+    docs = spark.createDataFrame([*long, (100, "щи борщ каша " * 30, None, "s", 1), (101, "the than and", None, "s", 1)], empty.schema)
+    stage = dict(corpus_pipeline.STAGES)["language_id"]
+    assert sorted(r["doc_id"] for r in stage(spark, docs, sf).collect()) == [*range(16), 101]
