@@ -381,15 +381,32 @@ def u1(spark, sf):
     return K.read_merged(spark, target).select("user_id", "event_type", "event_id", "value")
 
 
-def arriving(rows, arrival, path, slices=8):
-    """Files that reach a folder one after another, by ranges of the date ``arrival``; the column goes."""
-    rows = materialize(rows.withColumn("day__", F.datediff(arrival, F.lit("1970-01-01"))))
-    cuts = rows.agg(F.percentile_approx("day__", [k / slices for k in range(1, slices)], 1000)).first()[0]
-    bounds = [None, *sorted(set(cuts or [])), None]
-    for low, high in zip(bounds, bounds[1:]):
-        part = rows if low is None else rows.filter(F.col("day__") > low)
-        part = part if high is None else part.filter(F.col("day__") <= high)
-        part.drop("day__", arrival).write.mode("append").parquet(path)
+#: Rows of an arriving file at most.
+FILE_ROWS = 1 << 19
+
+
+def arriving(rows, arrival, path, slices=8, file_rows=FILE_ROWS):
+    """Files that reach a folder one after another, by ranges of the date ``arrival``; the column goes.
+
+    A range is one file: of several, a stream that takes some files at a time could see the range's end before
+    its beginning. Ranges of over ``file_rows`` rows are parted further; a day that has more is several files.
+    """
+    day = F.datediff(arrival, F.lit("1970-01-01"))
+    dated = rows.withColumn("day__", day).filter(F.col("day__").isNotNull())
+    days = [tuple(r) for r in dated.groupBy("day__").count().orderBy("day__").collect()]  # the calendar
+    most, cuts, files, held = min(-(-sum(n for _, n in days) // slices), file_rows), [], [1], 0
+    for d, n in days:
+        if held and held + n > most:
+            files, held = [*files, 1], 0
+        files[-1], held = max(files[-1], -(-n // file_rows)), held + n
+        cuts.append((d, len(files) - 1, files[-1]))
+    cuts = rows.sparkSession.createDataFrame(cuts, "day__ int, slice__ int, files__ int")
+    salt = F.pmod(F.xxhash64(*rows.columns), "files__")
+    ranges = dated.join(F.broadcast(cuts), "day__").repartition("slice__", salt).select(*rows.columns, "slice__")
+    ranges = materialize(ranges, "slice__")
+    for k, n in enumerate(files):
+        part = ranges.filter(F.col("slice__") == k).drop("slice__", arrival)
+        (part.coalesce(1) if n == 1 else part.repartition(n)).write.mode("append").parquet(path)
     return path
 
 

@@ -82,7 +82,8 @@ def closed_months(stream: DataFrame, ts: str, entity: str, measures: Sequence[st
     A group of state is a month's running sums for one entity. It is read and written by the batches that
     bring rows of that month only, and a timer at the month's end gives its row and frees it: nothing that was
     emitted is rewritten, and the state holds the open months. Late rows count as long as they are not behind
-    the watermark, later ones are dropped. ``delay`` sets the watermark where the stream has none yet.
+    the watermark of the batch before, later ones are dropped; a month that the batch's own watermark has passed
+    is given at once with them. ``delay`` sets the watermark where the stream has none yet.
     Measures are whole numbers, null as 0; rows without ``ts`` or entity are left out.
     """
     stream = stream.withWatermark(ts, delay) if delay else stream
@@ -92,16 +93,24 @@ def closed_months(stream: DataFrame, ts: str, entity: str, measures: Sequence[st
     rows = stream.filter(F.col(ts).isNotNull() & F.col(entity).isNotNull()).select(ts, month.alias("date_id"), F.col(entity).cast("string").alias(entity), end.alias("month_end"), *sums)
     totals = ", ".join(["n bigint", *(f"`{m}` bigint" for m in measures)])
 
+    def closed(key: tuple, found: Sequence[int]) -> pd.DataFrame:
+        return pd.DataFrame({"date_id": [key[0]], entity: [key[1]], **{k: [v] for k, v in zip(["n", *measures], found)}})
+
     def add(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
-            found = dict(zip(["n", *measures], state.get))
+            found = state.get
             state.remove()
-            yield pd.DataFrame({"date_id": [key[0]], entity: [key[1]], **{k: [v] for k, v in found.items()}})
+            yield closed(key, found)
             return
         now, ends = list(state.get) if state.exists else [0] * (1 + len(measures)), None
         for batch in batches:
             now = [a + int(b) for a, b in zip(now, [len(batch), *(batch[m].sum() for m in measures)])]
             ends = int(batch["month_end"].iloc[0])
+        if ends < state.getCurrentWatermarkMs():  # no timer can be set there; the next batch drops the month's rows
+            if state.exists:
+                state.remove()
+            yield closed(key, now)
+            return
         state.update(tuple(now))
         state.setTimeoutTimestamp(ends)
 

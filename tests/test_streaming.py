@@ -160,6 +160,40 @@ def test_late_and_replayed_files_give_the_batch_answer(spark, tmp_path):
     assert all(n <= 2 for n in held)  # the last month and its row
 
 
+def test_a_month_that_ends_before_its_batch_is_given_once(spark, tmp_path):
+    """Rows between the watermark of the batch before and the batch's own, with and without sums kept so far."""
+    src, out, mark = (str(tmp_path / n) for n in ("src", "out", "mark"))
+    first = [(1, "69", "2023-03-05", 1), (2, "69", "2023-07-30", 0)]
+    behind = [(3, "69", "2023-03-20", 1), (4, "38", "2023-04-02", 1), (5, "38", "2023-04-30", 0)]
+    late = [(6, "69", "2023-03-21", 1), (7, "38", "2023-04-03", 1), (8, "01", "2023-12-31", 1)]
+    for rows in (first, behind, late):
+        feed(spark, src, rows)
+    I.append_available(month_stream(spark, src), out, mark)
+    want = [(202303, "69", 2, 2), (202304, "38", 2, 1), (202307, "69", 1, 0)]
+    assert sorted(map(tuple, spark.read.parquet(out).collect())) == want
+
+
+def test_arriving_files_follow_their_dates(spark, tmp_path):
+    """Whatever the number of tasks: a file's dates are after those of the files before it, and all rows come."""
+    from retropanel.queries.q_quality import arriving
+
+    rows = spark.range(3000, numPartitions=7).select("id", F.date_add(F.lit("2023-01-01").cast("date"), F.pmod(F.col("id") * 37, F.lit(400)).cast("int")).alias("ts"))
+    rows = rows.unionByName(rows.select(F.col("id") + 3000, F.lit("2023-05-05").cast("date").alias("ts")).toDF("id", "ts")).withColumn("arrival", F.col("ts"))
+    rows = rows.unionByName(rows.limit(1).withColumn("arrival", F.lit(None).cast("date")))
+    path = tmp_path / "files"
+    arriving(rows, "arrival", str(path), 8)
+    spans = [spark.read.parquet(str(f)).agg(F.min("ts"), F.max("ts"), F.count("id")).first() for f in sorted(path.glob("part-*"), key=lambda f: f.stat().st_mtime_ns)]
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:])) and len(spans) >= 5
+    assert sum(s[2] for s in spans) == 6000 == spark.read.parquet(str(path)).select("id").distinct().count()
+    small = tmp_path / "small"
+    arriving(rows, "arrival", str(small), 8, 300)
+    spans = [spark.read.parquet(str(f)).agg(F.min("ts"), F.max("ts"), F.count("id")).first() for f in sorted(small.glob("part-*"), key=lambda f: f.stat().st_mtime_ns)]
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:])) and sum(s[2] for s in spans) == 6000
+    assert max(s[2] for s in spans) < 600 and sum(s[0] == s[1] for s in spans) >= 8  # 3,000 rows have one date
+    arriving(rows.limit(0), "arrival", str(tmp_path / "none"))
+    assert spark.read.schema("id bigint, ts date").parquet(str(tmp_path / "none")).count() == 0
+
+
 def test_repeats_are_dropped_in_any_batch_with_bounded_state(spark, tmp_path):
     src, out, mark = (str(tmp_path / n) for n in ("src", "out", "mark"))
     schema = spark.createDataFrame([], STAMPED).selectExpr("id", "dept", "cast(day AS timestamp) AS ts", "pac").schema
