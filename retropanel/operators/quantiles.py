@@ -18,6 +18,8 @@ from retropanel.session import materialize
 
 #: Rows inside a bracket that are ordered at once.
 FEW_ROWS = 1 << 16
+#: Rows of a sorted range partition that are ranked at once.
+CHUNK_ROWS = 1 << 17
 #: Columns up to which whole-table brackets are aggregates side by side; more of them become rows.
 WIDE_ROW = 16
 
@@ -267,55 +269,79 @@ def average_ranks(counts: DataFrame, keys: Sequence[str], value: str, count: str
     )
 
 
-def attach_ranks(rows: DataFrame, key: str, value: str, weight: str, name: str) -> DataFrame:
+def attach_ranks(rows: DataFrame, key: str | None, value: str, weight: str | Sequence[str], name: str | Sequence[str], centred: bool = False, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """The rows with ``name``, the average rank of ``value`` inside ``key``, a row counting ``weight`` times.
 
-    Rows are sorted in range partitions, where each finds what weighs before it; the totals of earlier
-    partitions come by (key, partition). A value whose rows span partitions is the last one of each partition
-    but the last, so its weight is summed up from one number a partition. No row is looked up by its value:
-    a value that fills a third of the rows is spread over partitions like any other.
+    Several weights give a rank each from one sort. ``centred`` ranks are less their key's mean rank. Rows are
+    sorted in range partitions and read there in chunks, each of which finds what weighs before a row in it; the
+    totals of earlier chunks come by (key, chunk). A value whose rows span chunks is the last one of each chunk
+    but the last, so its weight is summed up from one number a chunk. No row is looked up by its value: a value
+    that fills a third of the rows is spread over partitions like any other, by the tasks its rows come from.
     """
-    others = [c for c in rows.columns if c not in (key, value)]
-    order = [key, value, *others]
-    placed = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    at_key, at_value, at_weight = (rows.columns.index(c) for c in (key, value, weight))
-    schema = T.StructType([*rows.schema.fields, *T.StructType.fromDDL("part__ int, before__ double, run__ double").fields])
-
-    def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(held) if (held := list(batches)) else None  # one range partition
-        if table is None or not table.num_rows:
-            return
-        keys = table.column(at_key).combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+    keys = [key] if key else []
+    weights, names = ([weight], [name]) if isinstance(weight, str) else (list(weight), list(name))
+    spread = rows.withColumn("tie__", F.spark_partition_id()).repartitionByRange(*keys, value, "tie__")
+    placed = spread.sortWithinPartitions(*keys, value).drop("tie__")
+    at_key, at_value, *at_weights = (rows.columns.index(c) if c else None for c in (key, value, *weights))
+    mids = [f"mid{i}__" for i in range(len(weights))]
+    schema = T.StructType([*rows.schema.fields, *T.StructType.fromDDL(", ".join(["part__ bigint", *(f"{m} double" for m in mids)])).fields])
+
+    def ranked(held: list[pa.RecordBatch], part: int) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(held).combine_chunks()
+        new_key = np.zeros(table.num_rows, bool)
+        if at_key is not None:
+            keys = table.column(at_key).combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+            new_key[1:] = keys[1:] != keys[:-1]
         v = table.column(at_value).to_numpy()
-        w = table.column(at_weight).to_numpy().astype(float)
-        new_key = np.concatenate([[True], keys[1:] != keys[:-1]])
-        new_run = new_key | np.concatenate([[True], v[1:] != v[:-1]])
-        upto = np.cumsum(w) - w
-        key_start = upto[np.flatnonzero(new_key)][np.cumsum(new_key) - 1]
-        starts = np.flatnonzero(new_run)
-        which = np.cumsum(new_run) - 1
-        sums = np.add.reduceat(w, starts)
-        part = np.full(len(w), TaskContext.get().partitionId(), np.int32)
-        columns = [*(c.combine_chunks() for c in table.columns), pa.array(part), pa.array(upto[starts][which] - key_start), pa.array(sums[which])]
+        new_run = new_key.copy()
+        new_run[1:] |= (v[1:] != v[:-1]) & ((v[1:] == v[1:]) | (v[:-1] == v[:-1]))  # NaN equals NaN
+        new_key[0] = new_run[0] = True
+        starts, which = np.flatnonzero(new_run), np.cumsum(new_run) - 1
+        of_key = np.flatnonzero(new_key[starts])[np.cumsum(new_key[starts]) - 1]  # the first run of a run's key
+        columns = [*table.columns, pa.array(np.full(table.num_rows, part))]
+        for at in at_weights:
+            sums = np.add.reduceat(table.column(at).to_numpy().astype(float), starts)
+            before = np.cumsum(sums) - sums
+            columns.append(pa.array((before - before[of_key] + (sums + 1) / 2.0)[which]))
         yield from pa.Table.from_arrays(columns, schema.fieldNames()).to_batches(max_chunksize=10_000)
 
+    def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, part = [], TaskContext.get().partitionId() << 32
+        for batch in batches:
+            for k in range(0, batch.num_rows, chunk_rows):
+                held.append(batch.slice(k, chunk_rows))
+                if sum(b.num_rows for b in held) >= chunk_rows:
+                    yield from ranked(held, part)
+                    held, part = [], part + 1
+        if held:
+            yield from ranked(held, part)
+
     placed = materialize(placed.mapInArrow(inside, schema))
-    first, last = F.min(F.struct(value, "run__")), F.max(F.struct(value, "run__"))
-    parts = placed.groupBy(key, "part__").agg(F.sum(weight).cast("double").alias("total__"), first.alias("first__"), last.alias("last__"))
-    by = Window.partitionBy(key).orderBy("part__")  # one row a partition
-    parts = parts.withColumn("offset__", F.coalesce(F.sum("total__").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
+    # ranks don't fall as values rise: a chunk's least and greatest belong to its first and last value
+    cells = {"low__": F.min(value), "high__": F.max(value)}
+    for i, w in enumerate(weights):
+        cells |= {f"total{i}__": F.sum(w).cast("double"), f"first{i}__": F.min(mids[i]), f"last{i}__": F.max(mids[i])}
+    parts = placed.groupBy(*keys, "part__").agg(*[c.alias(n) for n, c in cells.items()])
+    by = Window.partitionBy(*keys).orderBy("part__").rowsBetween(Window.unboundedPreceding, -1)  # one row a chunk
+    mean = (lambda i: (F.sum(f"total{i}__").over(Window.partitionBy(*keys)) + 1) / 2.0) if centred else lambda i: F.lit(0.0)
+    parts = parts.withColumns({n: c for i in range(len(weights)) for n, c in ((f"offset{i}__", F.coalesce(F.sum(f"total{i}__").over(by), F.lit(0.0))), (f"mean{i}__", mean(i)))})
     # the runs at the borders, each with all its weight and where it begins
-    ends = F.array(F.struct(F.col(f"first__.{value}").alias("v"), F.col("first__.run__").alias("w"), F.col("offset__").alias("s")), F.struct(F.col(f"last__.{value}").alias("v"), F.col("last__.run__").alias("w"), (F.col("offset__") + F.col("total__") - F.col("last__.run__")).alias("s")))
-    edges = parts.select(key, "part__", F.explode(F.array_distinct(ends)).alias("e"))
-    whole = Window.partitionBy(key, "e.v")
-    edges = edges.withColumns({"sum__": F.sum("e.w").over(whole), "start__": F.min("e.s").over(whole)})
-    low = F.min(F.struct("e.v", "start__", "sum__")).alias("low__")
-    high = F.max(F.struct("e.v", "start__", "sum__")).alias("high__")
-    borders = edges.groupBy(key, "part__").agg(low, high).join(parts.select(key, "part__", "offset__"), [key, "part__"])
-    joined = placed.join(borders, [key, "part__"])
-
-    def pick(field: str, own: Column) -> Column:
-        return F.when(F.col(value) == F.col("low__.v"), F.col(f"low__.{field}")).when(F.col(value) == F.col("high__.v"), F.col(f"high__.{field}")).otherwise(own)
-
-    rank = pick("start__", F.col("offset__") + F.col("before__")) + (pick("sum__", F.col("run__")) + 1) / 2.0
-    return joined.select(*rows.columns, rank.alias(name))
+    first, last = [F.col("low__").alias("v__")], [F.col("high__").alias("v__")]
+    for i in range(len(weights)):
+        total, offset, own = F.col(f"total{i}__"), F.col(f"offset{i}__"), F.col(f"last{i}__")
+        first += [(F.col(f"first{i}__") * 2 - 1).alias(f"w{i}__"), offset.alias(f"s{i}__")]
+        last += [((total - own) * 2 + 1).alias(f"w{i}__"), (offset + own * 2 - total - 1).alias(f"s{i}__")]
+    ends = F.when(F.col("low__") == F.col("high__"), F.array(F.struct(*first))).otherwise(F.array(F.struct(*first), F.struct(*last)))
+    shifts = [f"{k}{i}__" for i in range(len(weights)) for k in ("offset", "mean")]
+    edges = parts.select(*keys, "part__", *shifts, F.inline(ends))
+    whole = Window.partitionBy(*keys, "v__")
+    edges = edges.withColumns({f"r{i}__": F.min(f"s{i}__").over(whole) + (F.sum(f"w{i}__").over(whole) + 1) / 2.0 for i in range(len(weights))})
+    end = F.struct("v__", *[f"r{i}__" for i in range(len(weights))])
+    borders = edges.groupBy(*keys, "part__").agg(F.min(end).alias("low__"), F.max(end).alias("high__"), *[F.max(c).alias(c) for c in shifts])
+    joined = placed.join(F.broadcast(borders), [*keys, "part__"])  # one row for ``chunk_rows`` rows
+
+    def rank(i: int) -> Column:
+        own = F.col(f"offset{i}__") + F.col(mids[i])
+        return F.when(F.col(value) == F.col("low__.v__"), F.col(f"low__.r{i}__")).when(F.col(value) == F.col("high__.v__"), F.col(f"high__.r{i}__")).otherwise(own) - F.col(f"mean{i}__")
+
+    return joined.select(*rows.columns, *[rank(i).alias(n) for i, n in enumerate(names)])

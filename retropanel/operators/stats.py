@@ -162,24 +162,20 @@ def lag_correlations(df: DataFrame, variables: Sequence[str], lags: Sequence[int
 def spearman(df: DataFrame, columns: Sequence[str], target: str, min_rows: int = 100) -> DataFrame:
     """Rank correlation with average ranks over complete pairs.
 
-    Rows collapse to (column, x, y) counts, which get the rank of x and then that of y in range partitions
-    and end in one sum of products.
+    The rows are sorted once by the target, which gets a rank among the pairs of each column. Its ranks are summed
+    up by (column, x), so the values of x get theirs, and the sums of products come from one row a value.
     """
-    pairs = unpivot_values(
-        df.filter(F.col(target).isNotNull()).withColumn("_y", F.col(target).cast("double")),
-        ["_y"],
-        columns,
-        "column",
-        "x",
-    )
-    cells = pairs.groupBy("column", "x", F.col("_y").alias("y")).agg(F.count(F.lit(1)).alias("w"))
-    ranked = attach_ranks(attach_ranks(cells, "column", "x", "w", "rx"), "column", "y", "w", "ry")
-    # ranks average (n + 1) / 2, so the sums of products are taken around it
-    n, w = F.sum("w"), F.col("w")
-    middle = (n + 1) / 2.0
-    centred = lambda a, b: F.sum(w * F.col(a) * F.col(b)) - n * middle * middle
-    return ranked.groupBy("column").agg(
-        n.alias("n"), F.try_divide(centred("rx", "ry"), F.sqrt(centred("rx", "rx")) * F.sqrt(centred("ry", "ry"))).alias("rho")
+    ids = range(len(columns))
+    xs, ws, rs = ([f"{k}{i}" for i in ids] for k in "xwr")
+    wide = df.filter(F.col(target).isNotNull()).select(F.col(target).cast("double").alias("y"), *[F.col(c).cast("double").alias(x) for c, x in zip(columns, xs)])
+    wide = wide.filter(F.coalesce(*xs).isNotNull()).withColumns({w: F.col(x).isNotNull().cast("int") for w, x in zip(ws, xs)})
+    cells = [F.struct(F.lit(c).alias("column"), F.col(x).alias("x"), F.col(r).alias("ry")) for c, x, r in zip(columns, xs, rs)]
+    pairs = attach_ranks(wide, None, "y", ws, rs, centred=True).select(F.inline(F.array(*cells))).filter(F.col("x").isNotNull())
+    values = pairs.groupBy("column", "x").agg(F.count(F.lit(1)).alias("w"), F.sum("ry").alias("sy"), F.sum(F.col("ry") * F.col("ry")).alias("syy"))
+    rx, n = F.col("rx"), F.sum("w")
+    spread = F.sqrt(F.sum(F.col("w") * rx * rx)) * F.sqrt(F.sum("syy"))
+    return attach_ranks(values, "column", "x", "w", "rx", centred=True).groupBy("column").agg(
+        n.alias("n"), F.try_divide(F.sum(rx * F.col("sy")), spread).alias("rho")
     ).filter(F.col("n") >= min_rows)
 
 

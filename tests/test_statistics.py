@@ -80,6 +80,40 @@ def test_ranks_of_values_that_span_partitions(spark):
         assert {o: got[k, o] for o in rows["o"]} == want.to_dict()
 
 
+def test_ranks_of_long_partitions_are_found_in_chunks(spark):
+    """A chunk of a range partition is all that is held: values that fill chunks, span them or end with them, two weights."""
+    from retropanel.operators.quantiles import attach_ranks
+
+    rng = np.random.default_rng(13)
+    for values, keys in ((rng.integers(0, 9, 4000) ** 3.0, ["a"]), (rng.normal(0, 1, 4000).round(3), ["a", "b", "c"]), (np.repeat([1.0, 2.0, np.nan, 3.0], 1000), ["a"])):
+        pdf = pd.DataFrame({"k": rng.choice(keys, 4000), "v": values, "o": rng.permutation(4000), "w": rng.integers(1, 4, 4000), "u": rng.integers(0, 2, 4000)})
+        df = spark.createDataFrame(pdf).withColumn("v", F.coalesce("v", F.lit(float("nan")))).repartition(1)
+        for key in ("k", None):
+            out = attach_ranks(df, key, "v", ["w", "u"], ["rw", "ru"], chunk_rows=64)
+            got = out.toPandas().set_index("o").sort_index()
+            assert len(got) == 4000
+            for _, rows in pdf.groupby("k") if key else [(None, pdf)]:
+                for weight, name in (("w", "rw"), ("u", "ru")):
+                    long = rows.loc[rows.index.repeat(rows[weight])]
+                    want = long["v"].fillna(1e9).rank().groupby(long["o"]).first()
+                    assert (got.loc[want.index, name] == want).all()
+
+
+def test_spearman_sorts_the_rows_once(spark, monkeypatch):
+    """However many columns there are, one row of the table is ranked; then one row of each value."""
+    ranked = []
+    found = T.attach_ranks
+    monkeypatch.setattr(T, "attach_ranks", lambda rows, *a, **b: ranked.append(rows.count()) or found(rows, *a, **b))
+    rng = np.random.default_rng(14)
+    pdf = pd.DataFrame({"t": rng.normal(0, 1, 500), "a": rng.integers(0, 5, 500).astype(float), "b": rng.integers(0, 3, 500).astype(float), "c": 1.0})
+    pdf.loc[::7, "a"] = np.nan
+    got = {r["column"]: r["rho"] for r in T.spearman(frame(spark, pdf), ["a", "b", "c"], "t").collect()}
+    assert ranked == [500, 9] and got["c"] is None
+    for c in ("a", "b"):
+        p = pdf[[c, "t"]].dropna()
+        assert got[c] == pytest.approx(p[c].rank().corr(p["t"].rank()), abs=1e-12)
+
+
 def test_spearman_matches_pandas(spark):
     rng = np.random.default_rng(6)
     pdf = pd.DataFrame({"t": rng.normal(0, 1, 400).round(1), "a": rng.normal(0, 1, 400).round(1), "b": rng.integers(0, 4, 400).astype(float)})
